@@ -36,7 +36,7 @@ def money_at_spots(locs: DataFrame, amount: str) -> DataFrame:
     priced = keyed_join(spots, shares, ["project_id"], [F.col("longitude"), F.col("latitude")])
     return priced.groupBy("layer", "longitude", "latitude").agg(
         F.sum(F.col("financials_per_loc").cast("decimal(24,2)") * F.col("n").cast("decimal(14,0)")).cast(MONEY).alias("financials")
-    )
+    ).filter("financials is not null")
 
 
 def allocate(locs: DataFrame, amount: str, areas: DataFrame, grid: Grid, metres: float = DISC_METRES) -> DataFrame:

@@ -35,10 +35,15 @@ def query(run: Query) -> Query:
 
 
 def cents(name: str) -> F.Column:
-    return (F.col(name) * 100).cast("bigint")
+    """Money as whole cents; unknown amounts show as -1."""
+    return F.coalesce((F.col(name) * 100).cast("bigint"), F.lit(-1).cast("bigint"))
 
 
-def rounded(name: str, places: int = 4) -> F.Column:
+def settled(name: str) -> F.Column:
+    return (F.floor(F.col(name) * 10000 + fx.OFF_TIE) / 10000.0).alias(name)
+
+
+def rounded(name: str, places: int) -> F.Column:
     return F.round(name, places).alias(name)
 
 
@@ -143,7 +148,7 @@ def gazetteer_lookup(spark, sf):
 def gazetteer_file(spark, sf):
     path = scratch_dir(spark, "gazetteer")
     de.write_delimited(fx.gazetteer(spark, sf), path, "\t", header=False)
-    return de.read_gazetteer(spark, path).select("geonameid", "name", "alternatenames", "latitude", "longitude", "population", "dem", "modificationdate")
+    return de.read_gazetteer(spark, path).select("geonameid", "name", "alternatenames", "latitude", "longitude", "population", "dem", F.col("modificationdate").cast("string").alias("modificationdate"))
 
 
 def _geocode(spark, sf, errors):
@@ -224,7 +229,7 @@ def spread_over_cells(spark, sf):
     shapes = fx.areas(spark, sf)
     sums = ar.sum_by_area(_located(spark, sf), "5 6 8", "0", shapes)
     cells = gr.spread_over_cells(sums.join(shapes.select("gid", "geom"), "gid"), "financials", fx.GRID)
-    return cells.select("gid", "col", "row", rounded("value"))
+    return cells.select("gid", "col", "row", "value")
 
 
 def _spots(spark, sf):
@@ -240,7 +245,7 @@ def _countries(spark, sf):
 @query
 def spread_over_disc(spark, sf):
     cells = gr.spread_over_disc(_spots(spark, sf), ["longitude", "latitude"], "financials", fx.DISC_METRES, _countries(spark, sf), fx.GRID)
-    return cells.select("longitude", "latitude", "gid", "col", "row", rounded("value"))
+    return cells.select("longitude", "latitude", "gid", "col", "row", "value")
 
 
 @query
@@ -256,13 +261,13 @@ def overlapping_discs(spark, sf):
 @query
 def allocate_money(spark, sf):
     cells = allocate(fx.locations(spark, sf), "amount", fx.areas(spark, sf), fx.GRID, fx.DISC_METRES)
-    return cells.select("layer", "col", "row", rounded("value"))
+    return cells.select("layer", "col", "row", settled("value"))
 
 
 @query
 def total_layers(spark, sf):
     cells = allocate(fx.locations(spark, sf), "amount", fx.areas(spark, sf), fx.GRID, fx.DISC_METRES)
-    return gr.total_layers(cells).select("col", "row", rounded("value"))
+    return gr.total_layers(cells).select("col", "row", settled("value"))
 
 
 @query
@@ -283,7 +288,8 @@ def export_grid(spark, sf):
 
 @query
 def project_extract(spark, sf):
-    return ex.project_extract(fx.project_tables(spark, sf))
+    out = ex.project_extract(fx.project_tables(spark, sf))
+    return out.withColumns({c: F.col(c).cast("string") for c in ("start_date", "end_date", "commitment_date", "effective_date")})
 
 
 @query
@@ -394,7 +400,7 @@ def download_manifest(spark, sf):
 @query
 def jalaali_dates(spark, sf):
     orders = fx.table(spark, sf, "orders").select("o_orderkey", dt.date_to_jalaali(F.col("o_orderdate"), "dmy").alias("jalaali"))
-    return orders.withColumn("gregorian", dt.jalaali_to_date(F.col("jalaali"), "dmy"))
+    return orders.withColumn("gregorian", dt.jalaali_to_date(F.col("jalaali"), "dmy").cast("string"))
 
 
 @query

@@ -13,6 +13,9 @@ from almoner.functions.geo import Grid
 
 GRID = Grid(x0=-180.0, y0=90.0, px=1.0, ncols=360, nrows=180)
 DISC_METRES = 150000.0
+# Sums of doubles depend on their order in the last bit; results are cut at a
+# place where no quotient of cents by a cell count can lie.
+OFF_TIE = 0.41421356
 
 # --- located aid: one lineitem is one location of the project that is its order
 CODE = "case when l_linenumber = 7 then '8' else cast(l_linenumber as varchar(1)) end"
@@ -25,14 +28,14 @@ CENTS = (
     " + case when l_orderkey % 50 = 0 and l_linenumber % 2 = 0 then 100000 else 0 end end"
 )
 
-# --- areas: a 5 x 5 layout of slanted quadrilaterals, one per nation; corners a b c d
+# --- areas: a 5 x 5 layout of slanted quadrilaterals, one per nation; corners p q r s
 LEFT = "(-178e0 + 72 * (n_nationkey % 5))"
 LOW = "(-88e0 + 35 * floor(n_nationkey / 5e0))"
 CORNERS = {
-    "ax": LEFT, "ay": LOW,
-    "bx": f"({LEFT} + 67.5e0)", "by": f"({LOW} + 0.75e0)",
-    "cx": f"({LEFT} + 66e0)", "cy": f"({LOW} + 32e0)",
-    "dx": f"({LEFT} + 1.25e0)", "dy": f"({LOW} + 31.125e0)",
+    "px": LEFT, "py": LOW,
+    "qx": f"({LEFT} + 67.5e0)", "qy": f"({LOW} + 0.75e0)",
+    "rx": f"({LEFT} + 66e0)", "ry": f"({LOW} + 32e0)",
+    "sx": f"({LEFT} + 1.25e0)", "sy": f"({LOW} + 31.125e0)",
 }
 # the twelfth nation has a hole
 HOLED = 12
@@ -41,8 +44,8 @@ HOLE = [("20e0", "8e0"), ("38e0", "9.5e0"), ("36e0", "21e0"), ("21.5e0", "20e0")
 
 def corner(axis: str, u: str, v: str) -> str:
     """A point of the quadrilateral at relative position u, v."""
-    a, b, c, d = (f"{k}{axis}" for k in "abcd")
-    return f"((1 - {u}) * ((1 - {v}) * {a} + {v} * {d}) + {u} * ((1 - {v}) * {b} + {v} * {c}))"
+    p, q, r, s = (f"{k}{axis}" for k in "pqrs")
+    return f"((1 - {u}) * ((1 - {v}) * {p} + {v} * {s}) + {u} * ((1 - {v}) * {q} + {v} * {r}))"
 
 
 # --- gazetteer: parts as places
@@ -137,7 +140,7 @@ def areas(spark: SparkSession, sf: str) -> DataFrame:
         )
         at = lambda u, v: F.struct(F.expr(corner("x", u, v)).alias("x"), F.expr(corner("y", u, v)).alias("y"))
         outer = F.array(at("u0", "v0"), at("u1", "v0"), at("u1", "v1"), at("u0", "v1"))
-        hole = F.array(*[F.struct(F.expr(f"ax + {x}").alias("x"), F.expr(f"ay + {y}").alias("y")) for x, y in HOLE])
+        hole = F.array(*[F.struct(F.expr(f"px + {x}").alias("x"), F.expr(f"py + {y}").alias("y")) for x, y in HOLE])
         rings = F.when((F.col("n_nationkey") == HOLED) & F.lit(number == 0), F.array(outer, hole)).otherwise(F.array(outer))
         gid = F.lit(number * 1000000) + F.col("n_nationkey") * 100 + F.col("part")
         return cut.select(gid.cast("bigint").alias("gid"), F.lit(str(number)).alias("adm_level"), rings.alias("geom"))
@@ -156,10 +159,11 @@ def gazetteer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def place_docs(spark: SparkSession, sf: str) -> DataFrame:
-    """``doc_id, lang, text``: every document names the place with its own number."""
+    """``doc_id, lang, text``: documents name the place with their own number, if there is one."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
     places = table(spark, sf, "part").select("p_partkey", "p_name")
-    return docs.join(places, docs["doc_id"] == places["p_partkey"]).select("doc_id", "lang", F.expr(PLACE_TEXT).alias("text"))
+    joined = docs.join(places, docs["doc_id"] == places["p_partkey"], "left")
+    return joined.select("doc_id", "lang", F.coalesce(F.expr(PLACE_TEXT), "text").alias("text"))
 
 
 def candidate_docs(spark: SparkSession, sf: str) -> DataFrame:

@@ -18,7 +18,7 @@ def build_session(app: str = "almoner", master: str | None = None, partitions: i
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     return builder.getOrCreate()

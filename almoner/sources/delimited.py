@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # A character that occurs in no text: switches quoting off while NULs stay ordinary data.
 NO_QUOTE = "￿"
 
 # The nineteen gazetteer columns, tab separated and without a header.
-GAZETTEER = T.StructType.fromDDL(
+GAZETTEER = (
     "geonameid bigint, name string, asciiname string, alternatenames string, latitude double, longitude double,"
     " featureclass string, featurecode string, countrycode string, cc2 string, admin1code string, admin2code string,"
     " admin3code string, admin4code string, population bigint, elevation string, dem int, timezone string,"
@@ -68,7 +67,8 @@ def bucket_gazetteer(gaz: DataFrame, table: str, buckets: int, location: str | N
 def write_delimited(df: DataFrame, path: str, sep: str, header: bool = True, quote: str | None = None) -> None:
     """Delimited text. Without ``quote`` fields are written as they are, so scrub the separator first."""
     df.write.mode("overwrite").csv(
-        path, sep=sep, header=header, quote=quote or NO_QUOTE, escape=quote or NO_QUOTE, emptyValue="",
+        path, sep=sep, header=header, quote=quote or "", escape=quote or "\\", emptyValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
 
 

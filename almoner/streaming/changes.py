@@ -41,7 +41,7 @@ def is_newer(pages: DataFrame, page_text: str, files: DataFrame, path: str) -> D
     Remote is the latest ``dd/mm/yyyy`` in the pages; local the ISO date in
     the path that sorts last among release files.
     """
-    dates = pages.select(dmy_to_date(F.explode(page_dates(F.col(page_text)))).alias("d"))
+    dates = pages.select(F.explode(page_dates(F.col(page_text))).alias("d")).select(dmy_to_date(F.col("d")).alias("d"))
     releases = files.filter(F.col(path).rlike(r"(?i)^.*crs.*[.]txt$"))
     local = releases.agg(date_in_path(F.max(path)).alias("d"))
     return dates.agg(F.date_format(F.max("d"), "yyyy-MM-dd").alias("remote_latest")).select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from almoner.functions import text as tx
 from almoner.functions.text import NON_WORD, WORD, let
-from almoner.operators.skew import broadcast_if_small
+from almoner.operators.skew import widen
 
 # Fixed value: the score of an exact match.
 EXACT_SCORE = 9999
@@ -176,13 +176,16 @@ def match_sentences(sentences: DataFrame, candidates: DataFrame, errors: int = 5
     has at most ``errors`` edits; least cost, then leftmost, then longest.
     """
     q = gram_size(errors, min_per_error)
+    candidates = widen(candidates)
     limited = sentences.withColumn("allowed", allowed_errors(F.length("sentence"), errors, min_per_error))
     seeds = sentence_seeds(limited, q)
+    sizes = {row["mode"]: row["count"] for row in seeds.groupBy("mode").count().collect()}
+    # three sizes at most decide which lookups are needed and which may be broadcast
     hits = None
-    for mode in ("word", "free", "short"):
-        of_mode, small = broadcast_if_small(seeds.filter(F.col("mode") == mode).drop("mode"), BROADCAST_SEEDS)
-        if small and of_mode.isEmpty():
-            continue
+    for mode in sizes:
+        of_mode = seeds.filter(F.col("mode") == mode).drop("mode")
+        if sizes[mode] <= BROADCAST_SEEDS:
+            of_mode = F.broadcast(of_mode)
         met = candidate_grams(candidates, mode, q).join(of_mode, ["source_id", "gram"])
         found = met.select("source_id", "sentence_no", "hit_id", (F.col("place") - F.col("offset")).alias("place"))
         hits = found if hits is None else hits.unionByName(found)

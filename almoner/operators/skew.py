@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key holds a large part of the rows."""
+"""Balanced work: joins with hot keys, inputs with too few splits, checked broadcasts."""
 
 from __future__ import annotations
 
@@ -22,7 +22,16 @@ def keyed_join(big: DataFrame, small: DataFrame, keys: list[str], spread_by: lis
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
-def broadcast_if_small(df: DataFrame, rows: int) -> tuple[DataFrame, bool]:
-    """Mark ``df`` for broadcast only after counting that it has at most ``rows`` rows."""
-    small = df.limit(rows + 1).count() <= rows
-    return (F.broadcast(df) if small else df), small
+SPLIT_BYTES = 128 * 1024 * 1024
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a small stored input over all cores before heavy work per row.
+
+    An input of less than one split per core would leave cores idle; its rows
+    are dealt out evenly. Larger inputs already have enough splits and are
+    returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SPLIT_BYTES else df

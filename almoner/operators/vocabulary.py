@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.functions import text as tx
-from almoner.operators.skew import keyed_join
+from almoner.operators.skew import keyed_join, widen
 
 
 def tokens(text: Column, html: bool = False) -> Column:
@@ -37,7 +37,7 @@ def bag_of_words(
     """
     per_row = F.array_distinct(tokens(F.col(text), html))
     terms = (
-        df.select(F.explode(per_row).alias("term"))
+        widen(df.select(text)).select(F.explode(per_row).alias("term"))
         .filter(tx.longer_than(F.col("term"), min_len))
         .distinct()
     )

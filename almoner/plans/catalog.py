@@ -319,8 +319,8 @@ def cross_references(spark, sf):
 
 @query
 def distinct_difference(spark, sf):
-    used = de.distinct_values(fx.table(spark, sf, "lineitem"), "l_partkey").withColumnRenamed("l_partkey", "p_partkey")
-    return de.difference(fx.table(spark, sf, "part").select("p_partkey", "p_name"), used, ["p_partkey"])
+    used = de.distinct_values(fx.table(spark, sf, "lineitem"), "l_orderkey").withColumnRenamed("l_orderkey", "o_orderkey")
+    return de.difference(fx.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), used, ["o_orderkey"])
 
 
 @query

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almoner.functions.geo import Grid
+from almoner.operators.skew import widen
 
 GRID = Grid(x0=-180.0, y0=90.0, px=1.0, ncols=360, nrows=180)
 DISC_METRES = 150000.0
@@ -160,7 +161,7 @@ def gazetteer(spark: SparkSession, sf: str) -> DataFrame:
 
 def place_docs(spark: SparkSession, sf: str) -> DataFrame:
     """``doc_id, lang, text``: documents name the place with their own number, if there is one."""
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = widen(table(spark, sf, "documents").select("doc_id", "lang", "text"))
     places = table(spark, sf, "part").select("p_partkey", "p_name")
     joined = docs.join(places, docs["doc_id"] == places["p_partkey"], "left")
     return joined.select("doc_id", "lang", F.coalesce(F.expr(PLACE_TEXT), "text").alias("text"))
@@ -170,7 +171,7 @@ def candidate_docs(spark: SparkSession, sf: str) -> DataFrame:
     """``source_id, doc_id, text``: every document is a candidate of one passage."""
     passages = table(spark, sf, "benchmark")
     count = passages.agg(F.count("*").alias("n"))
-    docs = table(spark, sf, "documents").select("doc_id", "text").withColumn("item", F.col("doc_id") % count.scalar())
+    docs = widen(table(spark, sf, "documents").select("doc_id", "text")).withColumn("item", F.col("doc_id") % count.scalar())
     return docs.alias("d").join(passages.alias("b"), F.col("d.item") == F.col("b.item_id")).select(
         F.col("item_id").alias("source_id"), "doc_id", F.concat(F.col("d.text"), F.lit(" "), F.expr(NEAR_COPY)).alias("text")
     )

@@ -137,12 +137,19 @@ RUNS = f"""pieces as (
                p || lead(p, 1) over d || lead(p, 2) over d || lead(w, 3) over d as r4
         from pieces window d as (partition by doc_id order by i)),
     runs as (select * from (select doc_id, i, unnest([r1, r2, r3, r4]) as run from led) where run is not null)"""
-FOUND = """found as (
-        select distinct placename, run, cost from (
-            select n.placename, u.run, levenshtein(n.placename, regexp_replace(u.run, '[^\\x00-\\x7f]', '~', 'g')) as cost
-            from (select distinct placename from names where length(placename) > {e}) n
-            join (select distinct run from runs) u on length(u.run) between length(n.placename) - {e} and length(n.placename) + {e})
-        where cost <= {e})"""
+# one edit leaves either the first or the second half of a name as it is
+ONE_EDIT = """halves as (
+        select distinct placename, length(placename) as m, placename[:length(placename) // 2] as head, placename[length(placename) // 2 + 1:] as tail
+        from names where length(placename) > 1),
+    texts as (
+        select run, m, run[:m // 2] as head, right(run, m - m // 2) as tail
+        from (select run, unnest([length(run) - 1, length(run), length(run) + 1]) as m from (select distinct run from runs))),
+    met as (
+        select placename, run from halves join texts using (m, head) union select placename, run from halves join texts using (m, tail)),
+    found as (
+        select placename, run, cost from (
+            select *, levenshtein(placename, regexp_replace(run, '[^\\x00-\\x7f]', '~', 'g')) as cost from met)
+        where cost <= 1)"""
 EXACTLY = "found as (select distinct placename, placename as run, 0 as cost from names where length(placename) > 0)"
 BEST = """best as (
         select doc_id, placename, run, cost from runs join found using (run)
@@ -156,7 +163,7 @@ def _geocode(found: str) -> str:
 HIT = "geonameid, latitude, longitude, placename, replace(run, '|', '') as match_text"
 ORACLE["geocode_exact"] = f"{_geocode(EXACTLY)} select {HIT}, cast(cost as int) as cost, doc_id from best join names using (placename)"
 ORACLE["geocode_fuzzy"] = f"""
-    {_geocode(FOUND.format(e=1))} select {HIT}, cast(cost as int) as cost, doc_id from best join names using (placename)"""
+    {_geocode(ONE_EDIT)} select {HIT}, cast(cost as int) as cost, doc_id from best join names using (placename)"""
 ORACLE["geocode_listing"] = f"""
     {_geocode(EXACTLY)} select {HIT}, doc_id, lang, text from best join names using (placename) join docs using (doc_id)"""
 
@@ -324,7 +331,7 @@ LAYERS = """layers as (
         union all select 'prec' || replace(codes, ' ', ''), col, row, sum(value) from area_values group by codes, col, row)"""
 ALLOCATED = f"with {LOCS}, {AREAS}, {SPOT_AREAS}, {AREA_CELLS}, {AREA_VALUES}, {DISCS}, {CELL_SUMS}, {LAYERS}"
 ORACLE["allocate_money"] = f"{ALLOCATED} select layer, {INT_CELL}, {settled("value")} as value from layers where value is not null"
-ORACLE["total_layers"] = f"{ALLOCATED} select {INT_CELL}, {settled("sum(value)")} as value from layers group by col, row"
+ORACLE["total_layers"] = f"{ALLOCATED} select {INT_CELL}, {settled("sum(value)")} as value from layers where value is not null group by col, row"
 
 # --- extracts --------------------------------------------------------------------
 
@@ -381,7 +388,7 @@ ORACLE["cross_references"] = rf"""
     with lines as (select doc_id, {fx.OWN_CODE} as own, unnest(string_split({fx.CODED_TEXT}, chr(10))) as line from documents)
     select doc_id, line, array_to_string(regexp_extract_all(line, 'P[0-9]{{6}}'), ',') as codes from lines
     where regexp_matches(line, 'P[0-9]{{6}}') and not regexp_matches(line, '\b' || own || '\b')"""
-ORACLE["distinct_difference"] = "select p_partkey, p_name from part where p_partkey not in (select l_partkey from lineitem)"
+ORACLE["distinct_difference"] = "select o_orderkey, o_orderstatus from orders where o_orderkey not in (select l_orderkey from lineitem)"
 ORACLE["top_amount"] = "select o_orderkey from orders order by o_totalprice desc, o_orderkey desc limit 1"
 
 # --- formats ---------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almoner.functions import text as tx
-from almoner.operators.skew import keyed_join
+from almoner.operators.skew import keyed_join, widen
 from almoner.operators.vocabulary import keep_pos, known_terms
 
 
@@ -22,7 +22,7 @@ def term_freq(
     Letters outside ASCII vanish (they are not transliterated here); words of
     at most ``min_len`` letters, and words outside ``lexicon``, are dropped.
     """
-    texts = df.filter(F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(text).alias("text")).dropDuplicates()
+    texts = widen(df.select(doc, text)).filter(F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(text).alias("text")).dropDuplicates()
     words = tx.alpha_tokens(tx.drop_non_ascii(F.lower("text")))
     return _counted(texts.select("doc", F.explode(words).alias("term")), lexicon, min_len)
 
@@ -56,7 +56,8 @@ def idf(tf: DataFrame, docs: DataFrame) -> DataFrame:
 
     ``tf`` has one row per document and term, ``docs`` is :func:`document_count`.
     """
-    counted = tf.groupBy("term").agg(F.count("*").alias("df"))
+    # asking for the counts keeps them in the plan, so this reads the same shuffle as the other uses of ``tf``
+    counted = tf.filter("f > 0").groupBy("term").agg(F.count("*").alias("df"))
     return counted.withColumn("idf", F.log10(docs.scalar() / (1 + F.col("df"))))
 
 

@@ -11,6 +11,7 @@ from almoner.operators.extracts import not_null
 from almoner.operators.grid import spread_over_cells, spread_over_disc, sum_by_cell
 from almoner.operators.shares import MONEY, location_share, project_total_share
 from almoner.operators.skew import keyed_join
+from almoner.session import settle
 
 # Precision code -> layer, and layer -> administrative level.
 LAYER_OF_CODE = {"1": "prec1", "2": "prec2", "3": "prec3", "4": "prec4", "5": "prec568", "6": "prec568", "8": "prec568"}
@@ -47,8 +48,8 @@ def allocate(locs: DataFrame, amount: str, areas: DataFrame, grid: Grid, metres:
     spread evenly over the cells. Locations outside all areas are dropped
     unless their code is 1.
     """
-    # read three times below; the reliable checkpoint survives lost executors
-    spots = money_at_spots(locs, amount).checkpoint()
+    # read three times below
+    spots = settle(money_at_spots(locs, amount))
     cells = sum_by_cell(spots.filter("layer = 'prec1'"), grid, "financials").filter(
         F.col("col").between(0, grid.ncols - 1) & F.col("row").between(0, grid.nrows - 1)
     )

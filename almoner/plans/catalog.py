@@ -20,7 +20,7 @@ from almoner.operators import weights as we
 from almoner.operators.benford import benford
 from almoner.plans import fixtures as fx
 from almoner.plans.allocation import allocate
-from almoner.session import scratch_dir
+from almoner.session import scratch_dir, settle
 from almoner.sources import delimited as de
 from almoner.sources import documents as do
 from almoner.streaming import changes as ch
@@ -251,7 +251,7 @@ def spread_over_disc(spark, sf):
 @query
 def overlapping_discs(spark, sf):
     keys = ["longitude", "latitude", "gid"]
-    spots = _spots(spark, sf)
+    spots = settle(_spots(spark, sf))
     discs = gr.disc_cells(spots, keys[:2], "financials", fx.DISC_METRES, _countries(spark, sf), fx.GRID)
     overlaps = gr.overlapping(gr.shape_cells(discs, keys), keys)
     alone = gr.not_overlapping(spots, overlaps, keys).select(*keys, F.lit(False).alias("overlaps"))

@@ -98,16 +98,18 @@ def sentence_seeds(sentences: DataFrame, q: int) -> DataFrame:
     )
 
 
-def candidate_grams(candidates: DataFrame, mode: str, q: int) -> DataFrame:
+def candidate_grams(candidates: DataFrame, mode: str, q: int, lengths: list[int] | None = None) -> DataFrame:
     """``source_id, hit_id, place, gram``: texts of q characters and their zero-based place.
 
     The pattern consumes one character per match, so the position of a match
-    in the array is the position in the line.
+    in the array is the position in the line. For ``short`` the grams are the
+    beginnings of the given lengths at each word start.
     """
+    at_word = rf"(?<!{WORD})(?=({WORD}"
     pattern = {
-        "word": rf"(?s)(?<!{WORD})(?=({WORD}.{{{q - 1}}})).|.",
+        "word": rf"(?s){at_word}.{{{q - 1}}})).|.",
         "free": rf"(?s)(?=(.{{{q}}})).|.",
-        "short": rf"(?s)(?<!{WORD})(?=({WORD}.{{0,{max(q - 2, 0)}}})).|.",
+        "short": rf"(?s){at_word}.{{0,{max(q - 2, 0)}}})).|.",
     }[mode]
     grams = candidates.select(
         "source_id", "hit_id",
@@ -115,8 +117,8 @@ def candidate_grams(candidates: DataFrame, mode: str, q: int) -> DataFrame:
     ).filter("gram != ''")
     if mode != "short":
         return grams
-    prefixes = F.transform(F.sequence(F.lit(1), F.length("gram")), lambda k: F.substring("gram", F.lit(1), k))
-    return grams.select("source_id", "hit_id", "place", F.explode(prefixes).alias("gram"))
+    beginnings = F.array(*[F.substring("gram", 1, k) for k in lengths or range(1, q)])
+    return grams.select("source_id", "hit_id", "place", F.explode(beginnings).alias("gram"))
 
 
 def _best_window(sentence: Column, line: Column, place: Column, allowed: Column) -> Column:
@@ -179,16 +181,21 @@ def match_sentences(sentences: DataFrame, candidates: DataFrame, errors: int = 5
     candidates = widen(candidates)
     limited = sentences.withColumn("allowed", allowed_errors(F.length("sentence"), errors, min_per_error))
     seeds = sentence_seeds(limited, q)
-    sizes = {row["mode"]: row["count"] for row in seeds.groupBy("mode").count().collect()}
-    # three sizes at most decide which lookups are needed and which may be broadcast
+    # a few counts decide which lookups are needed and whether the seeds may be broadcast
+    counted = seeds.groupBy("mode", F.length("gram").alias("size")).count().collect()
+    small = sum(row["count"] for row in counted) <= BROADCAST_SEEDS
+    short = sorted(row["size"] for row in counted if row["mode"] == "short")
+    found = sorted({row["mode"] for row in counted} - {"short"})
+    # without a shuffle one pass over all places serves both kinds; otherwise word starts are far fewer
+    passes = [("free", found)] if small and "free" in found else [(mode, [mode]) for mode in found]
+    if short:
+        passes.append(("short", ["short"]))
     hits = None
-    for mode in sizes:
-        of_mode = seeds.filter(F.col("mode") == mode).drop("mode")
-        if sizes[mode] <= BROADCAST_SEEDS:
-            of_mode = F.broadcast(of_mode)
-        met = candidate_grams(candidates, mode, q).join(of_mode, ["source_id", "gram"])
-        found = met.select("source_id", "sentence_no", "hit_id", (F.col("place") - F.col("offset")).alias("place"))
-        hits = found if hits is None else hits.unionByName(found)
+    for mode, kinds in passes:
+        wanted = seeds.filter(F.col("mode").isin(kinds)).drop("mode")
+        met = candidate_grams(candidates, mode, q, short).join(F.broadcast(wanted) if small else wanted, ["source_id", "gram"])
+        places = met.select("source_id", "sentence_no", "hit_id", (F.col("place") - F.col("offset")).alias("place"))
+        hits = places if hits is None else hits.unionByName(places)
     if hits is None:
         hits = candidates.limit(0).select("source_id", F.lit(0).alias("sentence_no"), "hit_id", F.lit(0).alias("place"))
     windows = (
@@ -196,9 +203,11 @@ def match_sentences(sentences: DataFrame, candidates: DataFrame, errors: int = 5
         .join(limited, ["source_id", "sentence_no"])
         .filter(F.col("place") >= -F.col("allowed"))
         .join(candidates, ["source_id", "hit_id"])
-        .withColumn("best", _best_window(F.col("sentence"), F.col("line"), F.col("place"), F.col("allowed")))
-        .filter("best is not null")
-        .select("source_id", "sentence_no", "hit_id", "sentence", "num_char_source", "best")
+        .select(
+            "source_id", "sentence_no", "hit_id", "sentence", "num_char_source",
+            # exploding drops what does not fit without pricing it a second time in a filter
+            F.explode(F.array_compact(F.array(_best_window(F.col("sentence"), F.col("line"), F.col("place"), F.col("allowed"))))).alias("best"),
+        )
     )
     best = windows.groupBy("source_id", "sentence_no", "hit_id", "sentence", "num_char_source").agg(F.min("best").alias("best"))
     flat = best.select("source_id", "sentence_no", "hit_id", "sentence", "num_char_source", F.col("best.cost").alias("cost"), F.col("best.match").alias("match"))

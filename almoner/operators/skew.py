@@ -11,14 +11,15 @@ SALTS = 8
 def keyed_join(big: DataFrame, small: DataFrame, keys: list[str], spread_by: list[Column], how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join ``big`` with ``small``, whose keys are unique and far fewer.
 
-    A hot key of ``big`` is cut into ``salts`` parts by a hash of
-    ``spread_by``; ``small`` is repeated once per part. Adaptive execution
+    A hot key of ``big`` is cut into ``salts`` parts (a power of two) by a hash
+    of ``spread_by``; ``small`` is repeated once per part. Adaptive execution
     cannot do this by itself here because ``small`` is normally the output of
     an aggregation on the same key. When ``small`` turns out to be tiny,
     adaptive execution still swaps in a broadcast.
     """
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # never null, so no filter on it reaches the inputs and shared shuffles stay shared
+    salted = big.withColumn("_salt", F.xxhash64(*spread_by).bitwiseAND(F.lit(salts - 1).cast("bigint")))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 

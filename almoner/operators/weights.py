@@ -22,7 +22,7 @@ def term_freq(
     Letters outside ASCII vanish (they are not transliterated here); words of
     at most ``min_len`` letters, and words outside ``lexicon``, are dropped.
     """
-    texts = widen(df.select(doc, text)).filter(F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(text).alias("text")).dropDuplicates()
+    texts = widen(df.select(doc, text)).filter(F.col(doc).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(text).alias("text")).dropDuplicates()
     words = tx.alpha_tokens(tx.drop_non_ascii(F.lower("text")))
     return _counted(texts.select("doc", F.explode(words).alias("term")), lexicon, min_len)
 
@@ -35,7 +35,7 @@ def term_freq_tagged(tagged: DataFrame, doc: str, token: str, pos: str, lexicon:
 
 
 def _counted(words: DataFrame, lexicon: DataFrame | None, min_len: int) -> DataFrame:
-    counted = words.filter(tx.longer_than(F.col("term"), min_len)).groupBy("doc", "term").agg(F.count("*").alias("f"))
+    counted = words.filter(F.col("term").isNotNull() & tx.longer_than(F.col("term"), min_len)).groupBy("doc", "term").agg(F.count("*").alias("f"))
     return counted if lexicon is None else known_terms(counted, lexicon)
 
 

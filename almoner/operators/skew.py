@@ -5,18 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 8
+MIN_SALTS, MAX_SALTS = 8, 64
 
 
-def keyed_join(big: DataFrame, small: DataFrame, keys: list[str], spread_by: list[Column], how: str = "inner", salts: int = SALTS) -> DataFrame:
+def salt_count(spark) -> int:
+    """Parts for a hot key: a power of two that grows with the shuffle width of the cluster."""
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions")) // 8
+    salts = MIN_SALTS
+    while salts * 2 <= min(wanted, MAX_SALTS):
+        salts *= 2
+    return salts
+
+
+def keyed_join(big: DataFrame, small: DataFrame, keys: list[str], spread_by: list[Column], how: str = "inner") -> DataFrame:
     """Join ``big`` with ``small``, whose keys are unique and far fewer.
 
-    A hot key of ``big`` is cut into ``salts`` parts (a power of two) by a hash
-    of ``spread_by``; ``small`` is repeated once per part. Adaptive execution
+    A hot key of ``big`` is cut into :func:`salt_count` parts by a hash of
+    ``spread_by``; ``small`` is repeated once per part. Adaptive execution
     cannot do this by itself here because ``small`` is normally the output of
     an aggregation on the same key. When ``small`` turns out to be tiny,
     adaptive execution still swaps in a broadcast.
     """
+    salts = salt_count(big.sparkSession)
     # never null, so no filter on it reaches the inputs and shared shuffles stay shared
     salted = big.withColumn("_salt", F.xxhash64(*spread_by).bitwiseAND(F.lit(salts - 1).cast("bigint")))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))

@@ -92,6 +92,11 @@ def page_text(spark, sf):
     return pages.select("page_id", tx.squeeze(tx.html_to_text(tx.decode_entities(F.expr(fx.ESCAPED_PAGE)))).alias("text"))
 
 
+@query
+def page_body(spark, sf):
+    return fx.table(spark, sf, "pages").select("page_id", tx.body_between(F.col("html"), "<p>").alias("body"))
+
+
 @query
 def term_freq(spark, sf):
     return we.term_freq(fx.table(spark, sf, "documents"), "source", "text")
@@ -379,8 +384,10 @@ def write_delimited(spark, sf):
 @query
 def split_by_key(spark, sf):
     path = scratch_dir(spark, "districts")
-    de.split_by_key(fx.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"), "c_nationkey", path)
-    return spark.read.parquet(path)
+    customers = fx.table(spark, sf, "customer").select("c_custkey", "c_nationkey", F.floor(F.col("c_nationkey") / 5).cast("int").alias("c_level1"))
+    de.split_by_keys(customers, ["c_level1", "c_nationkey"], path)
+    levels = [spark.read.parquet(f"{path}/{key}").select(F.lit(key).alias("level"), "c_custkey", F.col(key).alias("code")) for key in ("c_level1", "c_nationkey")]
+    return de.append(*levels)
 
 
 @query

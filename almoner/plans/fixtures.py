@@ -118,7 +118,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def locations(spark: SparkSession, sf: str) -> DataFrame:
     """``project_id, precision_code, longitude, latitude, amount``."""
-    items = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    items = widen(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
     return items.join(orders, "l_orderkey").select(
         F.col("l_orderkey").alias("project_id"), F.expr(CODE).alias("precision_code"),

@@ -71,6 +71,8 @@ VISIBLE = _replace_all(
     ("<[^>]*>", " ", "g"),
 )
 ORACLE["page_text"] = rf"select page_id, trim(regexp_replace({VISIBLE}, '\s+', ' ', 'g')) as text from pages"
+ORACLE["page_body"] = """
+    select page_id, regexp_replace(regexp_replace(regexp_extract(html, '(?s)<p>.*<p>'), '<[^>]*', '', 'g'), '>', '', 'g') as body from pages"""
 ORACLE["bag_of_words"] = f"""
     select distinct term from (select unnest({words("text")}) as term from documents)
     where length(term) > 2 and term not in ({quoted(fx.STOPWORDS)})"""
@@ -416,7 +418,9 @@ ORACLE["read_utf16"] = "select cast(c_custkey as varchar) as id, c_name || ' é'
 ORACLE["read_uniform"] = "select l_orderkey, l_partkey, l_suppkey from lineitem"
 ORACLE["write_delimited"] = r"""
     select doc_id, lang, trim(regexp_replace(regexp_replace(text, '[|\n\r\t"]+', ' ', 'g'), '\s+', ' ', 'g')) as text from documents"""
-ORACLE["split_by_key"] = "select c_custkey, c_name, c_nationkey from customer"
+ORACLE["split_by_key"] = """
+    select 'c_level1' as level, c_custkey, cast(c_nationkey // 5 as int) as code from customer
+    union all select 'c_nationkey', c_custkey, c_nationkey from customer"""
 ORACLE["column_range"] = "select o_orderkey, o_custkey, o_orderstatus from orders"
 ORACLE["download_manifest"] = """
     select '2011' as year, 'http://docs.example/pdf/PNA' || cast(page_id as varchar) || 'B.pdf' as url from pages"""

@@ -82,6 +82,12 @@ def split_by_key(df: DataFrame, key: str, path: str) -> None:
     coded.hint("rebalance", F.col(key)).write.mode("overwrite").partitionBy(key).parquet(path)
 
 
+def split_by_keys(df: DataFrame, keys: list[str], path: str) -> None:
+    """The same for several levels of codes, each below its own folder."""
+    for key in keys:
+        split_by_key(df, key, f"{path.rstrip('/')}/{key}")
+
+
 def cols(df: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
     """Columns ``start .. end``, counted from 1; all columns unless both are given."""
     if start is None or end is None:

@@ -31,6 +31,7 @@ def with_candidates(sources: DataFrame, hits: DataFrame) -> DataFrame:
     return sources.join(hits, "source_id", "left_semi")
 
 
+# The elements of an activity that are read, in output order.
 ACTIVITY = (
     "title array<string>, description array<string>, `iati-identifier` array<string>, `other-identifier` array<string>,"
     " `participating-org` array<string>, `recipient-country` array<string>, sector array<string>,"

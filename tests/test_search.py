@@ -73,6 +73,17 @@ def test_geocode_equals_brute_force(spark, errors, limit, monkeypatch):
     assert got == want and want
 
 
+def test_empty_inputs_give_no_rows(spark):
+    docs = spark.createDataFrame([(1, "Rome")], "id int, text string")
+    gaz = gaz_table(spark, [("Rome", "")])
+    assert gz.geocode(gaz.limit(0), docs, 1, "id", ["text"]).count() == 0
+    assert gz.geocode(gaz, docs.limit(0), 1, "id", ["text"]).count() == 0
+    src = se.source_sentences(docs, "id", "text")
+    hits = se.clean_candidates(docs.withColumn("h", F.lit(1)), "id", "h", "text")
+    assert se.match_sentences(src.limit(0), hits).count() == 0
+    assert se.match_sentences(src, hits.limit(0)).count() == 0
+
+
 def test_report_has_nine_columns(spark):
     docs = spark.createDataFrame([(1, "Rome", "s", "l")], "id int, title string, short_description string, long_description string")
     columns = ["id", "title", "short_description", "long_description"]

@@ -54,7 +54,7 @@ def gram_size(errors: int, per_error: int) -> int:
 
 
 def sentence_seeds(sentences: DataFrame, q: int) -> DataFrame:
-    """``source_id, sentence_no, mode, gram, offset``: where each sentence must touch its match.
+    """``source_id, sid, mode, gram, offset``: where each sentence must touch its match.
 
     c edits leave one of c + 1 disjoint parts unchanged. ``word`` parts are a
     separator and the q characters from the word start after it; a sentence
@@ -93,8 +93,8 @@ def sentence_seeds(sentences: DataFrame, q: int) -> DataFrame:
     return (
         sentences.withColumn("_chunks", chunks)
         .withColumn("mode", mode)
-        .select("source_id", "sentence_no", "mode", F.explode(seeds).alias("seed"))
-        .select("source_id", "sentence_no", "mode", "seed.*")
+        .select("source_id", "sid", "mode", F.explode(seeds).alias("seed"))
+        .select("source_id", "sid", "mode", "seed.*")
     )
 
 
@@ -179,7 +179,9 @@ def match_sentences(sentences: DataFrame, candidates: DataFrame, errors: int = 5
     """
     q = gram_size(errors, min_per_error)
     candidates = widen(candidates)
-    limited = sentences.withColumn("allowed", allowed_errors(F.length("sentence"), errors, min_per_error))
+    # copies of a sentence within a source are searched once
+    distinct = sentences.select("source_id", "sentence").distinct().withColumn("sid", F.md5("sentence"))
+    limited = distinct.withColumn("allowed", allowed_errors(F.length("sentence"), errors, min_per_error))
     seeds = sentence_seeds(limited, q)
     # a few counts decide which lookups are needed and whether the seeds may be broadcast
     counted = seeds.groupBy("mode", F.length("gram").alias("size")).count().collect()
@@ -194,24 +196,25 @@ def match_sentences(sentences: DataFrame, candidates: DataFrame, errors: int = 5
     for mode, kinds in passes:
         wanted = seeds.filter(F.col("mode").isin(kinds)).drop("mode")
         met = candidate_grams(candidates, mode, q, short).join(F.broadcast(wanted) if small else wanted, ["source_id", "gram"])
-        places = met.select("source_id", "sentence_no", "hit_id", (F.col("place") - F.col("offset")).alias("place"))
+        places = met.select("source_id", "sid", "hit_id", (F.col("place") - F.col("offset")).alias("place"))
         hits = places if hits is None else hits.unionByName(places)
     if hits is None:
-        hits = candidates.limit(0).select("source_id", F.lit(0).alias("sentence_no"), "hit_id", F.lit(0).alias("place"))
+        hits = candidates.limit(0).select("source_id", F.lit("").alias("sid"), "hit_id", F.lit(0).alias("place"))
     windows = (
         hits.distinct()
-        .join(limited, ["source_id", "sentence_no"])
+        .join(limited, ["source_id", "sid"])
         .filter(F.col("place") >= -F.col("allowed"))
         .join(candidates, ["source_id", "hit_id"])
         .select(
-            "source_id", "sentence_no", "hit_id", "sentence", "num_char_source",
+            "source_id", "hit_id", "sentence",
             # exploding drops what does not fit without pricing it a second time in a filter
             F.explode(F.array_compact(F.array(_best_window(F.col("sentence"), F.col("line"), F.col("place"), F.col("allowed"))))).alias("best"),
         )
     )
-    best = windows.groupBy("source_id", "sentence_no", "hit_id", "sentence", "num_char_source").agg(F.min("best").alias("best"))
-    flat = best.select("source_id", "sentence_no", "hit_id", "sentence", "num_char_source", F.col("best.cost").alias("cost"), F.col("best.match").alias("match"))
-    return score_columns(flat, "sentence", "match", "cost", min_per_error).select(
+    best = windows.groupBy("source_id", "hit_id", "sentence").agg(F.min("best").alias("best"))
+    flat = best.select("source_id", "hit_id", "sentence", F.col("best.cost").alias("cost"), F.col("best.match").alias("match"))
+    kept = score_columns(flat, "sentence", "match", "cost", min_per_error)
+    return sentences.join(kept, ["source_id", "sentence"]).select(
         "num_char_text", "num_char_match", "mean_char", "source_id", "num_char_source", "hit_id", "cost",
         "mean_char_per_cost", F.col("sentence").alias("source_text"), F.col("match").alias("matched_text"), "sentence_no",
     )

@@ -145,6 +145,13 @@ def test_sentences_equal_brute_force(spark, errors, per_error, broadcast, monkey
     assert {(r["source_id"], r["sentence_no"], r["hit_id"], r["cost"], r["matched_text"]) for r in found} == want and want
 
 
+def test_every_copy_of_a_sentence_is_reported(spark):
+    src = spark.createDataFrame([(1, "The road is open. Other words here. The road is open. "), (2, "The road is open.")], "s int, t string")
+    hits = spark.createDataFrame([(1, 7, "Now the road is open at last"), (2, 8, "nothing of the kind")], "s int, h int, t string")
+    found = se.match_sentences(se.source_sentences(src, "s", "t"), se.clean_candidates(hits, "s", "h", "t"), 5, 8).collect()
+    assert sorted((r["source_id"], r["sentence_no"], r["hit_id"], r["cost"], r["num_char_source"]) for r in found) == [(1, 0, 7, 2, 3 * 18), (1, 2, 7, 2, 3 * 18)]
+
+
 def test_scores_and_lengths(spark):
     df = spark.createDataFrame([("a" * 29, "a" * 30, 2), ("a" * 29, "a" * 28, 2), ("abc", "abc", 0)], "s string, m string, c int")
     got = [(r["num_char_text"], r["num_char_match"], r["mean_char"], r["mean_char_per_cost"]) for r in se.score_columns(df, "s", "m", "c", 15).collect()]

@@ -32,7 +32,7 @@ DENSE = 0.5
 MAX_DEPTH = 6
 #: A pair is looked at exactly if its tokens agree in this many standard deviations below the threshold.
 SLACK = 5.0
-_CHUNK = 4 << 20
+_CHUNK, MAP_BITS = 4 << 20, 24
 _A = (mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (mix(np.arange(1001, COORDINATES + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
@@ -252,6 +252,17 @@ def _links(runs: int, threshold: float):
     return go
 
 
+def _maybe_in(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose text_hash may be in ``wanted``: a bit map of fixed size (2 MB) spares the others a shuffle."""
+    bit = lambda h: F.pmod(h, F.lit(1 << MAP_BITS))
+    maps = wanted.withColumn("_bit", bit(F.col("text_hash"))).groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_map"))
+    own = docs.withColumn("_bit", bit(F.col("text_hash"))).withColumn("_bucket", F.bitmap_bucket_number("_bit")).withColumn("_at", F.bitmap_bit_position("_bit"))
+    byte = F.conv(F.hex(F.substring(F.col("_map"), (F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    # at most 2 ** MAP_BITS / 32,768 rows of 4 KB
+    found = own.join(F.broadcast(maps), "_bucket").where(F.pmod(F.shiftrightunsigned(byte, (F.col("_at") % 8).cast("int")), F.lit(2)) == 1)
+    return found.select(*docs.columns)
+
+
 def _sorted_groups(rows: DataFrame) -> DataFrame:
     return rows.repartition(F.col("leaf"), F.col("lo"), F.col("hi")).sortWithinPartitions("leaf", "lo", "hi", "own", "key")
 
@@ -295,9 +306,10 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, width: int = 5, recal
     rows = _sorted_groups(_blocked(paths.select("key", "run", "leaf", "n").join(about.drop("copies"), "key")))
     hits = rows.mapInArrow(_candidates(runs, least), "key binary, run int, leaf long, n long")
     hits = keep(hits.distinct(), "candidates")
-    left = keep(hits.select("key").distinct().join(reps.select("key", "text_hash", F.col("doc_id").alias("_id")), "key"), "candidates")
-    texts = named.select("text_hash", "text", "doc_id").join(left.select("text_hash", "key"), "text_hash").dropDuplicates(["key"])
-    sets = keep(texts.select("key", "text").mapInArrow(_sets(width), "key binary, shingles binary"), "shingles")
+    left = keep(hits.select("key").distinct().join(reps.select("key", "text_hash"), "key"), "candidates")
+    texts = _maybe_in(named, left.select("text_hash")).groupBy("text_hash").agg(F.min("text").alias("text"))
+    texts = texts.join(left.select("text_hash", "key"), "text_hash").select("key", "text")
+    sets = keep(texts.mapInArrow(_sets(width), "key binary, shingles binary"), "shingles")
     counted = hits.groupBy("leaf").agg(F.count("*").alias("n"))
     rows = hits.drop("n").join(counted, "leaf").join(about, "key").join(sets, "key")
     found = keep(_sorted_groups(_blocked(rows)).mapInArrow(_links(runs, threshold), "a binary, b binary, links long"), "links")

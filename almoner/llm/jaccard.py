@@ -259,7 +259,7 @@ def _maybe_in(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     own = docs.withColumn("_bit", bit(F.col("text_hash"))).withColumn("_bucket", F.bitmap_bucket_number("_bit")).withColumn("_at", F.bitmap_bit_position("_bit"))
     byte = F.conv(F.hex(F.substring(F.col("_map"), (F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     # at most 2 ** MAP_BITS / 32,768 rows of 4 KB
-    found = own.join(F.broadcast(maps), "_bucket").where(F.pmod(F.shiftrightunsigned(byte, (F.col("_at") % 8).cast("int")), F.lit(2)) == 1)
+    found = own.join(F.broadcast(maps), "_bucket").where(F.floor(byte / F.pow(F.lit(2), F.col("_at") % 8)) % 2 == 1)
     return found.select(*docs.columns)
 
 

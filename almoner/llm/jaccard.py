@@ -21,12 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.llm.components import components
+from almoner.llm.groups import BLOCK, blocked, matrix, sides, sorted_groups, star_rows
 from almoner.llm.tables import cut, keep, same_key_runs, text_bytes
 from almoner.llm.words import mix, shingles, words_of
 
 COORDINATES = 64
-#: A bucket up to this many sets is compared at once, a larger one in pairs of blocks of this size.
-SMALL, BLOCK = 512, 512
+#: A bucket up to this many sets is not split.
+SMALL = BLOCK
 #: A bucket is dense, and not split, if one token is common to this share of it.
 DENSE = 0.5
 MAX_DEPTH = 6
@@ -126,14 +127,6 @@ def _paths(signed: DataFrame, first: int, last: int) -> tuple[DataFrame, DataFra
     return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, deeper) if deeper else None, depth
 
 
-def _blocked(rows: DataFrame) -> DataFrame:
-    """Each row once for every pair of blocks of its bucket that it is needed in."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("key"), blocks).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.struct(F.least(j, own).alias("lo"), F.greatest(j, own).alias("hi")))
-    return rows.withColumn("own", own).withColumn("_b", F.explode(pairs)).select(*rows.columns, "own", "_b.lo", "_b.hi")
-
-
 def _together(tokens: np.ndarray, depths: np.ndarray, a: slice, b: slice, run: int) -> np.ndarray:
     """Of pairs in one bucket of ``run``: those that no earlier run has in one bucket."""
     new = np.ones((len(tokens[a]), len(tokens[b])), bool)
@@ -148,38 +141,24 @@ def _together(tokens: np.ndarray, depths: np.ndarray, a: slice, b: slice, run: i
     return new
 
 
-def _halves(t: pa.Table) -> Iterator[tuple[slice, slice, bool]]:
-    """The two sides to compare of a group sorted by block."""
-    lo, hi, own = t.column("lo")[0].as_py(), t.column("hi")[0].as_py(), t.column("own").to_numpy()
-    if lo == hi:
-        yield slice(0, len(own)), slice(0, len(own)), True
-    else:
-        k = int(np.searchsorted(own, hi))
-        yield slice(0, k), slice(k, len(own)), False
-
-
-def _matrix(column: pa.ChunkedArray, kind, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), width)
-
-
 def _candidates(runs: int, least: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in same_key_runs(batches, ["leaf", "lo", "hi"]):
             if t.num_rows < 2:
                 continue
-            tokens, depths = _matrix(t.column("tokens"), np.uint32, COORDINATES), _matrix(t.column("depths"), np.uint8, runs)
+            tokens, depths = matrix(t.column("tokens"), np.uint32, COORDINATES), matrix(t.column("depths"), np.uint8, runs)
             run, hit = t.column("run")[0].as_py(), np.zeros(t.num_rows, bool)
-            for a, b, same in _halves(t):
-                agree = np.zeros((len(tokens[a]), len(tokens[b])), np.uint8)
-                for j in range(COORDINATES):
-                    agree += tokens[a, j][:, None] == tokens[b, j][None]
-                ok = agree >= least
-                if same:
-                    np.fill_diagonal(ok, False)
-                if ok.any():
-                    ok &= _together(tokens, depths, a, b, run)
-                    hit[a] |= ok.any(1)
-                    hit[b] |= ok.any(0)
+            a, b, same = sides(t)
+            agree = np.zeros((len(tokens[a]), len(tokens[b])), np.uint8)
+            for j in range(COORDINATES):
+                agree += tokens[a, j][:, None] == tokens[b, j][None]
+            ok = agree >= least
+            if same:
+                np.fill_diagonal(ok, False)
+            if ok.any():
+                ok &= _together(tokens, depths, a, b, run)
+                hit[a] |= ok.any(1)
+                hit[b] |= ok.any(0)
             if hit.any():
                 yield from t.select(["key", "run", "leaf", "n"]).filter(pa.array(hit)).combine_chunks().to_batches()
 
@@ -213,41 +192,23 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return inter
 
 
-def local_roots(linked: np.ndarray) -> np.ndarray:
-    """The first member of each row's component in a small symmetric matrix of links."""
-    root = np.arange(len(linked))
-    while True:
-        least = np.where(linked, root[None], len(root)).min(1, initial=len(root))
-        new = np.minimum(root, least)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _links(runs: int, threshold: float):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in same_key_runs(batches, ["leaf", "lo", "hi"]):
             if t.num_rows < 2:
                 continue
-            tokens, depths = _matrix(t.column("tokens"), np.uint32, COORDINATES), _matrix(t.column("depths"), np.uint8, runs)
+            tokens, depths = matrix(t.column("tokens"), np.uint32, COORDINATES), matrix(t.column("depths"), np.uint8, runs)
             sets = [np.frombuffer(s, np.uint64) for s in t.column("shingles").to_pylist()]
-            copies, keys, run = t.column("copies").to_numpy(), np.array(t.column("key").to_pylist(), object), t.column("run")[0].as_py()
+            run = t.column("run")[0].as_py()
             inter = intersections(sets).astype(np.float64)
             sizes = np.diag(inter)
             linked = inter >= threshold * (sizes[:, None] + sizes[None] - inter) - 1e-9
             np.fill_diagonal(linked, False)
-            both = np.zeros_like(linked)
-            for a, b, _ in _halves(t):
-                part = linked[a, b] & _together(tokens, depths, a, b, run)
-                both[a, b] |= part
-                both[b, a] |= part.T
-            has = both.any(1)
-            if has.any():
-                more, root = (both @ copies.astype(np.float64)).astype(np.int64), local_roots(both)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[has].tolist(), pa.binary()), pa.array(keys[root[has]].tolist(), pa.binary()), pa.array(more[has])], ["a", "b", "links"]
-                )
+            a, b, _ = sides(t)
+            part, both = linked[a, b] & _together(tokens, depths, a, b, run), np.zeros_like(linked)
+            both[a, b] |= part
+            both[b, a] |= part.T
+            yield from star_rows(t, both)
 
     return go
 
@@ -263,10 +224,6 @@ def _maybe_in(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.select(*docs.columns)
 
 
-def _sorted_groups(rows: DataFrame) -> DataFrame:
-    return rows.repartition(F.col("leaf"), F.col("lo"), F.col("hi")).sortWithinPartitions("leaf", "lo", "hi", "own", "key")
-
-
 def similar_texts(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.9999) -> DataFrame:
     """Classes of near-duplicate texts and every text's number of links.
 
@@ -303,7 +260,7 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, width: int = 5, recal
         about = about.join(deeper.groupBy("key").agg(F.unhex(F.concat(*each)).alias("depths")), "key", "left")
         about = keep(about.withColumn("depths", F.coalesce("depths", plain)), "about")
     least = math.floor(COORDINATES * (threshold - SLACK * math.sqrt(threshold * (1 - threshold) / COORDINATES)))
-    rows = _sorted_groups(_blocked(paths.select("key", "run", "leaf", "n").join(about.drop("copies"), "key")))
+    rows = sorted_groups(blocked(paths.select("key", "run", "leaf", "n").join(about.drop("copies"), "key")))
     hits = rows.mapInArrow(_candidates(runs, least), "key binary, run int, leaf long, n long")
     hits = keep(hits.distinct(), "candidates")
     left = keep(hits.select("key").distinct().join(reps.select("key", "text_hash"), "key"), "candidates")
@@ -312,7 +269,7 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, width: int = 5, recal
     sets = keep(texts.mapInArrow(_sets(width), "key binary, shingles binary"), "shingles")
     counted = hits.groupBy("leaf").agg(F.count("*").alias("n"))
     rows = hits.drop("n").join(counted, "leaf").join(about, "key").join(sets, "key")
-    found = keep(_sorted_groups(_blocked(rows)).mapInArrow(_links(runs, threshold), "a binary, b binary, links long"), "links")
+    found = keep(sorted_groups(blocked(rows)).mapInArrow(_links(runs, threshold), "a binary, b binary, links long"), "links")
     roots = components(found)
     least_id = roots.join(reps.select(F.col("key").alias("node"), "doc_id"), "node").groupBy("root").agg(F.min("doc_id").alias("class_id"))
     classes = roots.join(least_id, "root").select(F.col("node").alias("key"), "class_id")

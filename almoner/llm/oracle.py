@@ -22,6 +22,23 @@ def _matches(kind: str, rank: int, pattern: str, group: str = "0") -> str:
 
 
 ORACLE = {
+    "op4_near_vectors": """
+with recursive v as (
+  select row_number() over () as r, vec_id, label, cast(embedding as double[]) as e from embeddings
+), good as (
+  select * from v where label is not null and len(e) > 0 and list_bool_and(list_transform(e, lambda x: x is not null and isfinite(x))) and list_bool_or(list_transform(e, lambda x: x <> 0))
+), pairs as (
+  select a.r as a, b.r as b from good a join good b on a.label = b.label and len(a.e) = len(b.e) and a.r <> b.r where list_cosine_similarity(a.e, b.e) >= 0.93
+), reach as (
+  select a, b from pairs union select x.a, p.b from reach x join pairs p on x.b = p.a
+), least as (
+  select x.a as r, min(v.vec_id) as m from reach x join v on v.r = x.b group by 1
+), links as (
+  select a as r, count(*) as n from pairs group by 1
+)
+select vec_id, coalesce(n, 0) as n_links, least(coalesce(m, vec_id), vec_id) as component_id, least(coalesce(m, vec_id), vec_id) = vec_id as kept
+from v left join links using (r) left join least using (r)
+""",
     "op6_secrets": f"""
 with texts as (
   select doc_id, coalesce(text, '') as t from documents

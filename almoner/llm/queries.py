@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from almoner.llm.chat import format_conversations, read_loss, read_turns
 from almoner.llm.contamination import find_matches, hit_words
+from almoner.llm.embeddings import near_vectors
 from almoner.llm.jaccard import similar_texts
 from almoner.llm.mixing import mix_sources
+from almoner.llm.packing import pack_documents
 from almoner.llm.secrets import joined, scan_secrets
+from almoner.llm.sharding import shard_documents
 from almoner.llm.tables import table
 from almoner.llm.toxicity import fit, held_out, score_documents
+from almoner.llm.wrappers import extract_articles
 
+SHARDS = 16
 #: Scores from here on count as toxic.
 TOXIC_FROM = 0.3
 #: Target weights by level, in parts; sources without an own one weigh 1.
@@ -25,6 +30,26 @@ def domain_of_source() -> Column:
     return F.when(number == 0, "web").when(number < 10, "reference").otherwise("forum")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64("text").alias("text_hash"))
+    placed = shard_documents(docs, SHARDS, F.col("size"), F.col("text_hash"), ["doc_id", "size", "text_crc32"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = extract_articles(table(spark, sf_dir, "pages"))
+    return done.select("page_id", "url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
+
+
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = fit(docs, table(spark, sf_dir, "labels"))
@@ -78,6 +103,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op2_packing": op2_packing,
+    "op3_main_text": op3_main_text,
+    "op4_near_vectors": op4_near_vectors,
     "op5_toxicity": op5_toxicity,
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,

@@ -48,7 +48,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
+    if "up" not in _POWERS or len(_POWERS["up"]) < n:
         size = max(n, 1 << 20)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             steps = np.full(size, base, np.uint64)

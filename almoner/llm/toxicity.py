@@ -310,12 +310,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size: int =
     Without rows of both labels the score is constant.
     """
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    short = docs.where(F.octet_length("text") <= size).select("doc_id", "text").join(known, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    texts, marks = [], []
-    for mark in (0, 1):
-        part = short.where(F.col("toxic") == mark).withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id").limit(rows).collect()
-        texts += [r["text"] for r in part]
-        marks += [mark] * len(part)
+    short = docs.where(F.octet_length("text") <= size)
+    there = short.select("doc_id").join(known, "doc_id").distinct()
+    # ids first, so that no task sends texts that are not taken
+    ids = [r for mark in (0, 1) for r in there.where(F.col("toxic") == mark).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()]
+    # at most 2 * rows ids
+    taken = F.broadcast(docs.sparkSession.createDataFrame([(r["doc_id"],) for r in ids], "doc_id long"))
+    text = dict(short.join(taken, "doc_id").groupBy("doc_id").agg(F.min("text")).collect())
+    texts, marks = [text[r["doc_id"]] for r in ids], [r["toxic"] for r in ids]
     return train(texts, marks)
 
 

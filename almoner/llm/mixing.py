@@ -49,12 +49,15 @@ def leaf_budgets(leaves: DataFrame, weights: dict[str, dict[str, int]], total: C
     siblings. Names without a weight have weight ``other``.
     """
     leaves = leaves.withColumn("capacity", F.col("tokens").cast("double") * epochs)
-    budget = leaves.agg(F.sum("tokens").alias("tokens")).select(F.coalesce(total, F.lit(0)).cast("double").alias("budget"))
-    above, parent = budget.withColumn("_root", F.lit(0)), ["_root"]
+    above, parent = None, []
     for depth in range(len(LEVELS)):
         keys = LEVELS[: depth + 1]
-        nodes = leaves.groupBy(*keys).agg(F.sum("capacity").alias("capacity")).withColumn("weight", _weight(keys[-1], weights.get(keys[-1], {}), other))
-        nodes = nodes.withColumn("_root", F.lit(0)).join(above, parent)
+        nodes = leaves.groupBy(*keys).agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("tokens")).withColumn("weight", _weight(keys[-1], weights.get(keys[-1], {}), other))
+        if above is None:
+            whole = nodes.withColumn("tokens", F.sum("tokens").over(W.partitionBy()))
+            nodes = whole.withColumn("budget", F.coalesce(total, F.lit(0)).cast("double"))
+        else:
+            nodes = nodes.join(above, parent)
         above = share_out(nodes, parent).select(*keys, F.col("given").alias("budget"))
         parent = keys
     return leaves.join(above, LEVELS).withColumnRenamed("budget", "given").drop("capacity")

@@ -27,8 +27,19 @@ def point(lng: Column, lat: Column) -> Column:
 
 
 def to_cell(lng: Column, lat: Column, grid: Grid) -> tuple[Column, Column]:
-    """Zero-based column and row of the cell that holds a point."""
-    return F.floor((lng - grid.x0) / grid.px).cast("int"), F.floor((grid.y0 - lat) / grid.px).cast("int")
+    """Zero-based column and row of the cell that holds a point.
+
+    A point on the right or lower edge of the grid belongs to the last cell.
+    """
+
+    def last_in(number: Column, count: int, on_edge: Column) -> Column:
+        return F.when((number == count) & on_edge, count - 1).otherwise(number)
+
+    col, row = F.floor((lng - grid.x0) / grid.px).cast("int"), F.floor((grid.y0 - lat) / grid.px).cast("int")
+    return (
+        last_in(col, grid.ncols, lng <= grid.x0 + grid.ncols * grid.px),
+        last_in(row, grid.nrows, lat >= grid.y0 - grid.nrows * grid.px),
+    )
 
 
 def cell_centre(col: Column, row: Column, grid: Grid) -> tuple[Column, Column]:

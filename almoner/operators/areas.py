@@ -18,18 +18,13 @@ def area_blocks(areas: DataFrame, keep: list[str], block: float) -> DataFrame:
     without sides hold no inner points. Large outlines are therefore never
     copied whole to every block.
     """
-    sided = areas.select(*keep, edges(F.col("geom")).alias("_edges"))
     low = lambda a, b: lambda e: F.least(e[a], e[b])
     top = lambda a, b: lambda e: F.greatest(e[a], e[b])
     index = lambda v: F.floor(v / block).cast("int")
-
-    def band(r: Column) -> Column:
-        kept = F.filter("_edges", lambda e: (top("y1", "y2")(e) >= r * block) & (low("y1", "y2")(e) <= (r + 1) * block))
-        return F.struct(r.alias("brow"), kept.alias("edges"))
-
-    first = index(F.array_min(F.transform("_edges", low("y1", "y2"))))
-    last = index(F.array_max(F.transform("_edges", top("y1", "y2"))))
-    bands = sided.select(*keep, F.explode(F.transform(F.sequence(first, last), band)).alias("_band")).select(*keep, "_band.*")
+    # every side goes to the bands that it reaches, so work is the sides' own length
+    sides = areas.select(*keep, F.explode(edges(F.col("geom"))).alias("e"))
+    reached = F.sequence(F.ceil(low("y1", "y2")(F.col("e")) / block).cast("int") - 1, index(top("y1", "y2")(F.col("e"))))
+    bands = sides.select(*keep, "e", F.explode(reached).alias("brow")).groupBy(*keep, "brow").agg(F.collect_list("e").alias("edges"))
 
     def cell(c: Column) -> Column:
         return F.struct(c.alias("bcol"), F.filter("edges", lambda e: top("x1", "x2")(e) > c * block).alias("edges"))
@@ -44,15 +39,15 @@ def within(points: DataFrame, areas: DataFrame, level: str | None = None, lng: s
     """Each point with the ``gid`` of every area that holds it.
 
     With ``level`` only areas of that level count; otherwise the points carry
-    an ``adm_level`` of their own. The join is on the block, so it is hashed
-    or sorted like any equi-join; the exact test runs on what meets there.
+    an ``adm_level`` of their own. The join is on the block; the exact test runs on what meets there.
     """
     keep = ["gid"] if level is not None else ["gid", "adm_level"]
     if level is not None:
         areas = areas.filter(F.col("adm_level") == level)
     blocks = area_blocks(areas, keep, block)
     placed = points.withColumns({"brow": F.floor(F.col(lat) / block).cast("int"), "bcol": F.floor(F.col(lng) / block).cast("int")})
-    met = placed.join(blocks, ["brow", "bcol", *keep[1:]])
+    # sizes are estimated before blocks are multiplied, so no side is broadcast by estimate
+    met = placed.hint("merge").join(blocks.hint("merge"), ["brow", "bcol", *keep[1:]])
     return met.filter(inside(F.col("edges"), F.col(lng), F.col(lat))).select(*points.columns, "gid")
 
 

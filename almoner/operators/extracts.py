@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.functions.text import scrub
-from almoner.operators.skew import keyed_join
 
 
 def not_null(*columns: str) -> Column:
@@ -72,9 +71,12 @@ def sample_records(
 
 
 def lookup(records: DataFrame, ids: DataFrame, id_column: str, key: str = "geonameid") -> DataFrame:
-    """All records whose key occurs among the ids; ids may repeat or be unknown."""
+    """All records whose key occurs among the ids; ids may repeat or be unknown.
+
+    Records of a table bucketed by the key stay where they are.
+    """
     wanted = ids.select(F.col(id_column).cast(records.schema[key].dataType).alias(key)).distinct()
-    return keyed_join(records, wanted, [key], [F.col(c) for c in records.columns], "left_semi")
+    return records.join(wanted, key, "left_semi")
 
 
 def list_distinct(df: DataFrame, keys: list[str], column: str, name: str, sep: str = "|") -> DataFrame:

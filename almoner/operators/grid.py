@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.functions.geo import EARTH_RADIUS_M, Grid, cell_centre, crosses, crossing_x, edges, first_cell_from, half_width_deg, to_cell
-from almoner.functions.text import let
 from almoner.operators.skew import keyed_join
 
 
@@ -38,32 +37,31 @@ def _real(spans: Column) -> Column:
     return F.filter(spans, lambda s: s["low"] <= s["high"])
 
 
-def area_spans(rings: Column, grid: Grid) -> Column:
-    """Cells whose centre is inside an area, as ``row, low .. high`` column runs.
+def area_runs(areas: DataFrame, grid: Grid) -> DataFrame:
+    """``gid, row, low, high``: cells whose centre is inside an area, as runs of columns.
 
     Along one grid row the outline is crossed at sorted x values; the area
-    lies between the first and second, third and fourth, and so on.
+    lies between the first and second, third and fourth, and so on. Every side
+    is turned into the rows that it crosses, and crossings meet by area and
+    row, so an outline's work is the number of its crossings and is spread
+    over tasks.
     """
-
-    def in_row(sides: Column, row: Column) -> Column:
-        y = grid.y0 - (row + 0.5) * grid.px
-        met = F.array_sort(F.transform(F.filter(sides, lambda e: crosses(e, y)), lambda e: crossing_x(e, y)))
-
-        def runs(xs: Column) -> Column:
-            start = lambda i: first_cell_from((xs[i] - grid.x0) / grid.px)
-            pairs = _numbers(F.lit(0), (F.size(xs) / 2).cast("int") - 1)
-            return F.transform(pairs, lambda k: _span(row, start(2 * k), start(2 * k + 1) - 1, grid))
-
-        return let(met, runs)
-
-    def whole(sides: Column) -> Column:
-        high = F.array_max(F.transform(sides, lambda e: F.greatest(e["y1"], e["y2"])))
-        low = F.array_min(F.transform(sides, lambda e: F.least(e["y1"], e["y2"])))
-        first = F.greatest(first_cell_from((grid.y0 - high) / grid.px), F.lit(0))
-        last = F.least(first_cell_from((grid.y0 - low) / grid.px) - 1, F.lit(grid.nrows - 1))
-        return F.flatten(F.transform(_numbers(first, last), lambda r: in_row(sides, r)))
-
-    return _real(let(edges(rings), whole))
+    sides = areas.select("gid", F.explode(edges(F.col("geom"))).alias("e"))
+    low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
+    # one row more on either side; the exact test decides
+    first = F.greatest(first_cell_from((grid.y0 - high) / grid.px) - 1, F.lit(0))
+    last = F.least(first_cell_from((grid.y0 - low) / grid.px) + 1, F.lit(grid.nrows - 1))
+    rows = sides.select("gid", "e", F.explode(_numbers(first, last)).alias("row"))
+    y = grid.y0 - (F.col("row") + 0.5) * grid.px
+    met = rows.filter(crosses(F.col("e"), y)).select("gid", "row", crossing_x(F.col("e"), y).alias("x"))
+    xs = met.groupBy("gid", "row").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    start = lambda i: first_cell_from((F.get("xs", i) - grid.x0) / grid.px)
+    pairs = F.transform(
+        F.sequence(F.lit(0), (F.size("xs") / 2).cast("int") - 1),
+        lambda k: F.struct(F.greatest(start(2 * k), F.lit(0)).alias("low"), F.least(start(2 * k + 1) - 1, F.lit(grid.ncols - 1)).alias("high")),
+    )
+    runs = xs.filter(F.size("xs") > 1).select("gid", "row", F.explode(pairs).alias("_p"))
+    return runs.select("gid", "row", "_p.low", "_p.high").filter("low <= high")
 
 
 def disc_spans(lng: Column, lat: Column, metres: float, grid: Grid) -> Column:
@@ -85,6 +83,11 @@ def _cell_count(spans: Column) -> Column:
     return F.aggregate(spans, F.lit(0).cast("bigint"), lambda n, s: n + s["high"] - s["low"] + 1)
 
 
+def even_share(amount: Column, count: Column) -> Column:
+    """An amount by a number of cells to 13 places, so that sums do not depend on their order."""
+    return F.try_divide(amount.cast("decimal(22,2)"), count.cast("decimal(10,0)"))
+
+
 def _cells(df: DataFrame, *keep: str | Column) -> DataFrame:
     """One row per cell from an array column ``spans``."""
     runs = df.select(*keep, F.explode("spans").alias("_s"))
@@ -92,15 +95,27 @@ def _cells(df: DataFrame, *keep: str | Column) -> DataFrame:
     return runs.select(*names, F.col("_s.row").alias("row"), F.explode(F.sequence("_s.low", "_s.high")).alias("col"))
 
 
+def run_counts(runs: DataFrame) -> DataFrame:
+    """``gid, n_cells`` of areas given as runs."""
+    return runs.groupBy("gid").agg(F.sum(F.col("high") - F.col("low") + 1).alias("n_cells"))
+
+
 def spread_over_cells(areas: DataFrame, amount: str, grid: Grid) -> DataFrame:
     """``gid, col, row, value``: an area's amount divided evenly over its cells.
 
-    Zero amounts cover no cells. Runs and their count are worked out inside
-    the area's own row, so nothing is shuffled.
+    Zero and unknown amounts cover no cells.
     """
-    spanned = areas.filter(F.col(amount) != 0).select("gid", F.col(amount).cast("double").alias("_amount"), area_spans(F.col("geom"), grid).alias("spans"))
-    each = F.try_divide(F.col("_amount"), _cell_count(F.col("spans"))).alias("value")
-    return _cells(spanned, "gid", each).select("gid", "col", "row", "value")
+    paid = areas.filter(F.col(amount) != 0)
+    return spread_over_runs(paid.select("gid", F.col(amount).alias("_amount")), area_runs(paid, grid))
+
+
+def spread_over_runs(amounts: DataFrame, runs: DataFrame) -> DataFrame:
+    """The same for areas as runs; ``amounts`` are the columns ``gid`` and ``_amount`` and any others to keep, several rows per area or none."""
+    keep = [c for c in amounts.columns if c != "_amount"]
+    each = amounts.filter("_amount != 0").join(run_counts(runs), "gid").select(*keep, even_share(F.col("_amount"), F.col("n_cells")).alias("value"))
+    # sizes are estimated before rows are multiplied, so no side is broadcast by estimate
+    met = each.hint("merge").join(runs.hint("merge"), "gid")
+    return met.select(*keep, F.explode(F.sequence("low", "high")).alias("col"), "row", "value")
 
 
 def disc_cells(points: DataFrame, keys: list[str], amount: str, metres: float, areas: DataFrame, grid: Grid) -> DataFrame:
@@ -114,9 +129,9 @@ def disc_cells(points: DataFrame, keys: list[str], amount: str, metres: float, a
         *keys, "gid", amount,
         F.explode(disc_spans(F.col("longitude"), F.col("latitude"), metres, grid)).alias("d"),
     ).withColumn("row", F.col("d.row"))
-    held = areas.select("gid", F.explode(area_spans(F.col("geom"), grid)).alias("a")).withColumn("row", F.col("a.row"))
-    low, high = F.greatest("d.low", "a.low"), F.least("d.high", "a.high")
-    met = discs.join(held, ["gid", "row"]).filter(low <= high)
+    held = area_runs(areas, grid)
+    low, high = F.greatest("d.low", held["low"]), F.least("d.high", held["high"])
+    met = discs.hint("merge").join(held.hint("merge"), ["gid", "row"]).filter(low <= high)
     run = F.struct("row", low.alias("low"), high.alias("high"))
     return met.groupBy(*keys, "gid", amount).agg(F.collect_list(run).alias("spans"))
 
@@ -124,7 +139,7 @@ def disc_cells(points: DataFrame, keys: list[str], amount: str, metres: float, a
 def spread_over_disc(points: DataFrame, keys: list[str], amount: str, metres: float, areas: DataFrame, grid: Grid) -> DataFrame:
     """``keys, gid, col, row, value``: each point's amount over the cells of its clipped disc."""
     discs = disc_cells(points, keys, amount, metres, areas, grid)
-    each = F.try_divide(F.col(amount).cast("double"), _cell_count(F.col("spans"))).alias("value")
+    each = even_share(F.col(amount), _cell_count(F.col("spans"))).alias("value")
     return _cells(discs, *keys, "gid", each).select(*keys, "gid", "col", "row", "value")
 
 
@@ -137,7 +152,7 @@ def overlapping(cells: DataFrame, keys: list[str]) -> DataFrame:
     ident = F.struct(*keys)
     seen = cells.groupBy("col", "row").agg(F.min(ident).alias("a"), F.max(ident).alias("b"))
     shared = seen.filter(F.col("a") != F.col("b")).select("col", "row")
-    return keyed_join(cells, shared, ["col", "row"], [F.col(k) for k in keys], "left_semi").select(*keys).distinct()
+    return keyed_join(cells, shared, ["col", "row"], "left_semi").select(*keys).distinct()
 
 
 def not_overlapping(shapes: DataFrame, overlaps: DataFrame, keys: list[str]) -> DataFrame:
@@ -151,6 +166,6 @@ def shape_cells(discs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def total_layers(*layers: DataFrame) -> DataFrame:
-    """``col, row, value`` summed over all layers."""
-    union = reduce(DataFrame.unionByName, [layer.select("col", "row", "value") for layer in layers])
+    """``col, row, value`` summed over all layers; what lies outside the grid has no cell and no part in it."""
+    union = reduce(DataFrame.unionByName, [layer.select("col", "row", "value") for layer in layers]).filter("col is not null")
     return union.groupBy("col", "row").agg(F.sum("value").alias("value"))

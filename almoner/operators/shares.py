@@ -27,14 +27,14 @@ def location_share(locs: DataFrame, amount: str, project: str = "project_id") ->
     return counted.withColumn("financials_per_loc", share(F.col(amount), F.col("count_locs")))
 
 
-def attach_share(locs: DataFrame, shares: DataFrame, project: str = "project_id", spread_by: tuple[str, ...] = ("longitude", "latitude")) -> DataFrame:
+def attach_share(locs: DataFrame, shares: DataFrame, project: str = "project_id") -> DataFrame:
     """Every location with every share of its project.
 
     A project with k distinct amounts gives k rows per location; locations
     without coordinates stay.
     """
     per_loc = shares.select(project, "financials_per_loc")
-    return keyed_join(locs, per_loc, [project], [F.col(c) for c in spread_by])
+    return keyed_join(locs, per_loc, [project])
 
 
 def project_total_share(shares: DataFrame, project: str = "project_id") -> DataFrame:

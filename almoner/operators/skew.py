@@ -1,48 +1,35 @@
-"""Balanced work: joins with hot keys, inputs with too few splits, checked broadcasts."""
+"""Balanced work: joins with hot keys, inputs with too few splits."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MIN_SALTS, MAX_SALTS = 8, 64
 
+def keyed_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join ``big``, in which keys may be hot, with ``small``, in which they are unique.
 
-def salt_count(spark) -> int:
-    """Parts for a hot key: a power of two that grows with the shuffle width of the cluster."""
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions")) // 8
-    salts = MIN_SALTS
-    while salts * 2 <= min(wanted, MAX_SALTS):
-        salts *= 2
-    return salts
-
-
-def keyed_join(big: DataFrame, small: DataFrame, keys: list[str], spread_by: list[Column], how: str = "inner") -> DataFrame:
-    """Join ``big`` with ``small``, whose keys are unique and far fewer.
-
-    A hot key of ``big`` is cut into :func:`salt_count` parts by a hash of
-    ``spread_by``; ``small`` is repeated once per part. Adaptive execution
-    cannot do this by itself here because ``small`` is normally the output of
-    an aggregation on the same key. When ``small`` turns out to be tiny,
-    adaptive execution still swaps in a broadcast.
+    Adaptive execution splits the partition of a hot key, but only where both
+    sides are shuffled for this join alone. ``small`` is normally an
+    aggregate that lies by the same keys already, so a second key, always 0,
+    asks for an own shuffle of it; no row of it is repeated. Where it turns
+    out to be tiny, it is broadcast as ever.
     """
-    salts = salt_count(big.sparkSession)
-    # never null, so no filter on it reaches the inputs and shared shuffles stay shared
-    salted = big.withColumn("_salt", F.xxhash64(*spread_by).bitwiseAND(F.lit(salts - 1).cast("bigint")))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    nought = (F.xxhash64(*keys) * 0).alias("_nought")
+    joined = big.select("*", nought).join(small.select("*", nought), [*keys, "_nought"], how)
+    return joined.drop("_nought")
 
 
-SPLIT_BYTES = 128 * 1024 * 1024
+#: Inputs of more splits than this are never dealt out anew.
+MOST_SPLITS = 64
 
 
 def widen(df: DataFrame) -> DataFrame:
-    """Spread a small stored input over all cores before heavy work per row.
+    """Spread an input of few splits over all cores before heavy work per row.
 
-    An input of less than one split per core would leave cores idle; its rows
-    are dealt out evenly. Larger inputs already have enough splits and are
+    With fewer splits than cores, some cores would idle. What is dealt out is
+    at most MOST_SPLITS splits, however large the cluster; other inputs are
     returned as they are, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * SPLIT_BYTES else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, MOST_SPLITS) else df

@@ -51,13 +51,13 @@ def bag_of_words(
 def remove_stopwords(terms: DataFrame, stopwords: DataFrame, term: str = "term") -> DataFrame:
     """Terms that are not, as a whole and case-sensitively, in the list."""
     listed = stopwords.select(F.col("word").alias(term)).distinct()
-    return keyed_join(terms, listed, [term], [F.col(c) for c in terms.columns], "left_anti")
+    return terms.join(listed, [term], "left_anti")
 
 
 def known_terms(terms: DataFrame, lexicon: DataFrame, term: str = "term") -> DataFrame:
     """Terms found in a lexicon (column ``word``)."""
     known = lexicon.select(F.col("word").alias(term)).distinct()
-    return keyed_join(terms, known, [term], [F.col(c) for c in terms.columns], "left_semi")
+    return keyed_join(terms, known, [term], "left_semi")
 
 
 # Part-of-speech tags of the terms that carry weight.

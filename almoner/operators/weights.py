@@ -22,9 +22,15 @@ def term_freq(
     Letters outside ASCII vanish (they are not transliterated here); words of
     at most ``min_len`` letters, and words outside ``lexicon``, are dropped.
     """
-    texts = widen(df.select(doc, text)).filter(F.col(doc).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(text).alias("text")).dropDuplicates()
+    texts = widen(df.select(doc, text)).filter(F.col(doc).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(text).alias("text"))
+    # repeats of a text go by its digest, so that words are counted where the text is read and no text is moved
     words = tx.alpha_tokens(tx.drop_non_ascii(F.lower("text")))
-    return _counted(texts.select("doc", F.explode(words).alias("term")), lexicon, min_len)
+    terms = texts.select("doc", F.md5("text").alias("_copy"), F.explode(words).alias("term"))
+    counted = terms.filter(F.col("term").isNotNull() & tx.longer_than(F.col("term"), min_len)).groupBy("doc", "term", "_copy").agg(F.count("*").alias("f"))
+    copies = texts.groupBy("doc", F.md5("text").alias("_copy")).agg(F.count("*").alias("_n")).filter("_n > 1")
+    single = counted.join(copies, ["doc", "_copy"], "left").select("doc", "term", (F.col("f") / F.coalesce("_n", F.lit(1))).cast("bigint").alias("f"))
+    summed = single.groupBy("doc", "term").agg(F.sum("f").alias("f"))
+    return summed if lexicon is None else known_terms(summed, lexicon)
 
 
 def term_freq_tagged(tagged: DataFrame, doc: str, token: str, pos: str, lexicon: DataFrame | None = None, min_len: int = 2) -> DataFrame:
@@ -42,7 +48,7 @@ def _counted(words: DataFrame, lexicon: DataFrame | None, min_len: int) -> DataF
 def augmented_tf(tf: DataFrame) -> DataFrame:
     """``doc, term, f, atf`` with ``atf = 0.5 + 0.5 f / max f`` of the document."""
     largest = tf.groupBy("doc").agg(F.max("f").alias("mtf"))
-    joined = keyed_join(tf, largest, ["doc"], [F.col("term")])
+    joined = keyed_join(tf, largest, ["doc"])
     return joined.select("doc", "term", "f", (0.5 + F.col("f") * 0.5 / F.col("mtf")).alias("atf"))
 
 
@@ -65,5 +71,5 @@ def tfidf(df: DataFrame, doc: str, text: str, lexicon: DataFrame | None = None,
     """``doc, term, f, atf, idf, tfidf`` for every document and term."""
     tf = term_freq(df, doc, text, lexicon, min_len)
     weights = idf(tf, document_count(df, doc))
-    joined = keyed_join(augmented_tf(tf), weights, ["term"], [F.col("doc")])
+    joined = keyed_join(augmented_tf(tf), weights, ["term"])
     return joined.select("doc", "term", "f", "atf", "idf", (F.col("atf") * F.col("idf")).alias("tfidf"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from almoner.functions.geo import Grid
 from almoner.operators.areas import within
 from almoner.operators.extracts import not_null
-from almoner.operators.grid import spread_over_cells, spread_over_disc, sum_by_cell
+from almoner.operators.grid import area_runs, spread_over_disc, spread_over_runs, sum_by_cell
 from almoner.operators.shares import MONEY, location_share, project_total_share
 from almoner.operators.skew import keyed_join
 from almoner.session import settle
@@ -34,42 +34,42 @@ def money_at_spots(locs: DataFrame, amount: str) -> DataFrame:
     shares = project_total_share(location_share(located, amount))
     # one location row per amount group in the input is one receiving location
     spots = located.filter(F.col("layer").isNotNull()).groupBy("project_id", "layer", "longitude", "latitude").agg(F.count("*").alias("n"))
-    priced = keyed_join(spots, shares, ["project_id"], [F.col("longitude"), F.col("latitude")])
+    priced = keyed_join(spots, shares, ["project_id"])
     return priced.groupBy("layer", "longitude", "latitude").agg(
         F.sum(F.col("financials_per_loc").cast("decimal(24,2)") * F.col("n").cast("decimal(14,0)")).cast(MONEY).alias("financials")
     ).filter("financials is not null")
 
 
 def allocate(locs: DataFrame, amount: str, areas: DataFrame, grid: Grid, metres: float = DISC_METRES) -> DataFrame:
-    """``layer, col, row, value`` for all precision layers.
+    """``layer, col, row, value`` for all precision layers, and one row of layer ``outside``.
 
     Code 1 goes to its cell, code 2 to a disc clipped to its country, codes 3,
     4 and 5/6/8 to their district, province and country; the last four are
-    spread evenly over the cells. Locations outside all areas are dropped
-    unless their code is 1.
+    spread evenly over the cells. Money of code 1 off the grid is the layer
+    ``outside``, without a cell. Locations of other codes outside all areas are dropped.
     """
-    # read three times below
-    spots = settle(money_at_spots(locs, amount))
-    cells = sum_by_cell(spots.filter("layer = 'prec1'"), grid, "financials").filter(
-        F.col("col").between(0, grid.ncols - 1) & F.col("row").between(0, grid.nrows - 1)
-    )
-    layers = [cells.select(F.lit("prec1").alias("layer"), "col", "row", F.col("financials").cast("double").alias("value"))]
-
+    spots = money_at_spots(locs, amount)
     leveled = spots.withColumn("adm_level", _lookup("layer", LEVEL_OF_LAYER)).filter("adm_level is not null")
-    held = within(leveled, areas)
+    held = within(leveled, areas).select("layer", "longitude", "latitude", "financials", "gid")
+    # one checkpoint of spots with their area, read for three kinds of layers
+    routed = settle(spots.filter("layer = 'prec1'").withColumn("gid", F.lit(None).cast("bigint")).unionByName(held))
+    value = F.col("financials").cast("decimal(38,13)").alias("value")
+
+    cells = sum_by_cell(routed.filter("layer = 'prec1'"), grid, "financials")
+    on_grid = F.col("col").between(0, grid.ncols - 1) & F.col("row").between(0, grid.nrows - 1)
+    layers = [cells.filter(on_grid).select(F.lit("prec1").alias("layer"), "col", "row", value)]
+    lost = cells.filter(~on_grid).agg(F.sum("financials").alias("financials")).filter("financials is not null")
+    none = F.lit(None).cast("int")
+    layers.append(lost.select(F.lit("outside").alias("layer"), none.alias("col"), none.alias("row"), value))
+
     discs = spread_over_disc(
-        held.filter("layer = 'prec2'"), ["longitude", "latitude"], "financials", metres, areas.filter("adm_level = '0'"), grid
+        routed.filter("layer = 'prec2'"), ["longitude", "latitude"], "financials", metres, areas.filter("adm_level = '0'"), grid
     )
     layers.append(discs.groupBy("col", "row").agg(F.sum("value").alias("value")).select(F.lit("prec2").alias("layer"), "col", "row", "value"))
 
-    by_area = held.filter("layer != 'prec2'").groupBy("layer", "gid").agg(F.sum("financials").cast(MONEY).alias("financials"))
-    shapes = by_area.join(areas.select("gid", "geom"), "gid")
-    # an area is held by one row per layer, so the layer travels as part of the key
-    keyed = shapes.select(F.struct("layer", "gid").alias("gid"), "geom", "financials")
-    spread = spread_over_cells(keyed, "financials", grid)
-    layers.append(
-        spread.groupBy(F.col("gid.layer").alias("layer"), "col", "row").agg(F.sum("value").alias("value"))
-    )
+    by_area = routed.filter("layer not in ('prec1', 'prec2')").groupBy("layer", "gid").agg(F.sum("financials").cast(MONEY).alias("_amount"))
+    spread = spread_over_runs(by_area, area_runs(areas, grid))
+    layers.append(spread.groupBy("layer", "col", "row").agg(F.sum("value").alias("value")))
     out = layers[0]
     for layer in layers[1:]:
         out = out.unionByName(layer)

@@ -40,7 +40,8 @@ def cents(name: str) -> F.Column:
 
 
 def settled(name: str) -> F.Column:
-    return (F.floor(F.col(name) * 10000 + fx.OFF_TIE) / 10000.0).alias(name)
+    """An exact decimal, shown to four places."""
+    return F.round(name, 4).cast("double").alias(name)
 
 
 def rounded(name: str, places: int) -> F.Column:
@@ -215,12 +216,20 @@ def points_within(spark, sf):
 
 @query
 def sum_by_area(spark, sf):
-    located, shapes = _located(spark, sf), fx.areas(spark, sf)
-    parts = [
-        ar.sum_by_area(located, codes, level, shapes).select(F.lit(codes).alias("codes"), "gid", cents("financials").alias("cents"))
-        for codes, level in (("3", "2"), ("4", "1"), ("5 6 8", "0"))
-    ]
-    return de.append(*parts)
+    # one pass: a location's level goes with it
+    levels = {"3": "2", "4": "1", "5 6 8": "0"}
+    codes = F.when(ex.has_code("precision_code", "5 6 8"), "5 6 8").when(ex.has_code("precision_code", "3 4"), F.col("precision_code"))
+    level = F.element_at(F.create_map(*[F.lit(v) for pair in levels.items() for v in pair]), F.col("codes"))
+    located = _located(spark, sf).withColumn("codes", codes).filter("codes is not null and longitude is not null and latitude is not null")
+    spots = located.groupBy("codes", "longitude", "latitude").agg(F.sum("financials_per_loc").cast(sh.MONEY).alias("financials"))
+    found = ar.within(spots.withColumn("adm_level", level), fx.areas(spark, sf))
+    return found.groupBy("codes", "gid").agg(F.sum("financials").cast(sh.MONEY).alias("financials")).select("codes", "gid", cents("financials").alias("cents"))
+
+
+@query
+def sum_by_area_level(spark, sf):
+    sums = ar.sum_by_area(_located(spark, sf), "5 6 8", "0", fx.areas(spark, sf))
+    return sums.select("gid", cents("financials").alias("cents"))
 
 
 @query
@@ -234,12 +243,15 @@ def spread_over_cells(spark, sf):
     shapes = fx.areas(spark, sf)
     sums = ar.sum_by_area(_located(spark, sf), "5 6 8", "0", shapes)
     cells = gr.spread_over_cells(sums.join(shapes.select("gid", "geom"), "gid"), "financials", fx.GRID)
-    return cells.select("gid", "col", "row", "value")
+    return cells.select("gid", "col", "row", settled("value"))
 
 
 def _spots(spark, sf):
+    """Places of discs with their country: money, location rows, and those of them that have any."""
     located = _located(spark, sf).filter(ex.has_code("precision_code", "2"))
-    spots = located.groupBy("longitude", "latitude").agg(F.sum("financials_per_loc").alias("financials"))
+    spots = located.groupBy("longitude", "latitude").agg(
+        F.sum("financials_per_loc").alias("financials"), F.count("*").alias("n_rows"), F.count_if(F.col("financials_per_loc") != 0).alias("n_discs")
+    )
     return ar.within(spots, fx.areas(spark, sf), "0")
 
 
@@ -250,41 +262,50 @@ def _countries(spark, sf):
 @query
 def spread_over_disc(spark, sf):
     cells = gr.spread_over_disc(_spots(spark, sf), ["longitude", "latitude"], "financials", fx.DISC_METRES, _countries(spark, sf), fx.GRID)
-    return cells.select("longitude", "latitude", "gid", "col", "row", "value")
+    return cells.select("longitude", "latitude", "gid", "col", "row", settled("value"))
 
 
 @query
 def overlapping_discs(spark, sf):
+    """Every location row has a disc of its own: two at one spot overlap as well as two at neighbouring ones."""
     keys = ["longitude", "latitude", "gid"]
-    spots = settle(_spots(spark, sf))
-    discs = gr.disc_cells(spots, keys[:2], "financials", fx.DISC_METRES, _countries(spark, sf), fx.GRID)
-    overlaps = gr.overlapping(gr.shape_cells(discs, keys), keys)
-    alone = gr.not_overlapping(spots, overlaps, keys).select(*keys, F.lit(False).alias("overlaps"))
-    return overlaps.withColumn("overlaps", F.lit(True)).unionByName(alone)
+    spots = _spots(spark, sf)
+    discs = settle(gr.disc_cells(spots, keys[:2], "n_discs", fx.DISC_METRES, _countries(spark, sf), fx.GRID))
+    meeting = gr.overlapping(gr.shape_cells(discs, keys), keys)
+    several = discs.filter("n_discs > 1").select(*keys)
+    flags = meeting.unionByName(several).distinct().withColumn("overlaps", F.lit(True))
+    marked = spots.join(flags, keys, "left").withColumn("overlaps", F.coalesce("overlaps", F.lit(False)))
+    row = lambda n, overlaps: F.array_repeat(overlaps, n.cast("int"))
+    each = F.concat(row(F.col("n_discs"), F.col("overlaps")), row(F.col("n_rows") - F.col("n_discs"), F.lit(False)))
+    return marked.select(*keys, F.explode(each).alias("overlaps"))
+
+
+def _allocated(spark, sf):
+    return allocate(fx.locations(spark, sf), "amount", fx.areas(spark, sf), fx.GRID, fx.DISC_METRES)
 
 
 @query
 def allocate_money(spark, sf):
-    cells = allocate(fx.locations(spark, sf), "amount", fx.areas(spark, sf), fx.GRID, fx.DISC_METRES)
-    return cells.select("layer", "col", "row", settled("value"))
+    return _allocated(spark, sf).select("layer", "col", "row", settled("value"))
+
+
+@query
+def allocate_fine(spark, sf):
+    """The working resolution; cells are added up to whole degrees to compare them."""
+    cells = allocate(fx.locations(spark, sf), "amount", fx.areas(spark, sf), fx.FINE_GRID, fx.FINE_METRES)
+    coarse = cells.groupBy("layer", F.floor(F.col("col") / 10).cast("int").alias("col"), F.floor(F.col("row") / 10).cast("int").alias("row"))
+    return coarse.agg(F.count("*").alias("cells"), F.sum("value").alias("value")).select("layer", "col", "row", "cells", settled("value"))
 
 
 @query
 def total_layers(spark, sf):
-    cells = allocate(fx.locations(spark, sf), "amount", fx.areas(spark, sf), fx.GRID, fx.DISC_METRES)
-    return gr.total_layers(cells).select("col", "row", settled("value"))
+    return gr.total_layers(_allocated(spark, sf)).select("col", "row", settled("value"))
 
 
 @query
 def export_grid(spark, sf):
-    located = _located(spark, sf).filter(ex.not_null("longitude", "latitude"))
-    layer = F.concat(F.lit("prec"), "precision_code").alias("layer")
-    parts = [
-        gr.sum_by_cell(located.filter(ex.has_code("precision_code", c)), fx.GRID).select(F.lit(f"prec{c}").alias("layer"), "col", "row", cents("financials").alias("value"))
-        for c in ("1", "2")
-    ]
     path = scratch_dir(spark, "grid")
-    do.export_grid(de.append(*parts), path)
+    do.export_grid(_allocated(spark, sf).select("layer", "col", "row", settled("value")), path)
     return spark.read.parquet(path).select("layer", "col", "row", "value")
 
 

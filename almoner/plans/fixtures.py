@@ -14,15 +14,16 @@ from almoner.operators.skew import widen
 
 GRID = Grid(x0=-180.0, y0=90.0, px=1.0, ncols=360, nrows=180)
 DISC_METRES = 150000.0
-# Sums of doubles depend on their order in the last bit; results are cut at a
-# place where no quotient of cents by a cell count can lie.
-OFF_TIE = 0.41421356
+# the working resolution: a tenth of a degree, discs of 25 km
+FINE_GRID = Grid(x0=-180.0, y0=90.0, px=0.1, ncols=3600, nrows=1800)
+FINE_METRES = 25000.0
 
 # --- located aid: one lineitem is one location of the project that is its order
 CODE = "case when l_linenumber = 7 then '8' else cast(l_linenumber as varchar(1)) end"
 NO_PLACE = "(l_orderkey + l_partkey) % 97 = 0"
-LNG = f"case when {NO_PLACE} then null else (((l_orderkey * 7919 + l_partkey * 104729 + l_suppkey * 13) % 36000) * 2 - 35999) / 200e0 end"
-LAT = f"case when {NO_PLACE} then null else (((l_orderkey * 15485863 + l_partkey * 32452843 + l_suppkey * 7) % 18000) * 2 - 17999) / 200e0 end"
+# some points lie exactly on the edges of the grid
+LNG = f"case when {NO_PLACE} then null when l_orderkey % 53 = 1 then 180e0 when l_orderkey % 53 = 2 then -180e0 else (((l_orderkey * 7919 + l_partkey * 104729 + l_suppkey * 13) % 36000) * 2 - 35999) / 200e0 end"
+LAT = f"case when {NO_PLACE} then null when l_orderkey % 59 = 1 then -90e0 when l_orderkey % 59 = 2 then 90e0 else (((l_orderkey * 15485863 + l_partkey * 32452843 + l_suppkey * 7) % 18000) * 2 - 17999) / 200e0 end"
 # some projects have two amounts, some none
 CENTS = (
     "case when l_orderkey % 101 = 0 then null else cast(round(o_totalprice * 100) as bigint)"

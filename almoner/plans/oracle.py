@@ -252,8 +252,8 @@ AREAS = _areas()
 
 
 def settled(value: str) -> str:
-    """The same cut to four decimals as the queries make."""
-    return f"floor({value} * 10000 + {fx.OFF_TIE}e0) / 10000"
+    """Units of 1e-13, a whole number, rounded to four decimals as the queries do."""
+    return f"cast(({value} + 500000000) // 1000000000 as bigint) / 10000e0"
 
 
 def inside(x: str, y: str) -> str:
@@ -274,31 +274,68 @@ SPOT_AREAS = f"""spots as (
         select w.codes, w.longitude, w.latitude, w.cents, a.gid from wanted w join areas a on a.adm_level = w.adm_level
         where {inside("longitude", "latitude")}),
     by_area as (select codes, gid, sum(cents) as cents from held where codes <> '2' group by codes, gid)"""
-G = fx.GRID
-CENTRE_X, CENTRE_Y = f"({G.x0}e0 + (c.col + 0.5e0) * {G.px}e0)", f"({G.y0}e0 - (r.row + 0.5e0) * {G.px}e0)"
-CELLS = f"(select unnest(range({G.ncols})) as col) c, (select unnest(range({G.nrows})) as row) r"
-AREA_CELLS = f"""boxed as (
-        select *, list_min([e.x1 for e in sides]) as x_low, list_max([e.x1 for e in sides]) as x_high,
-               list_min([e.y1 for e in sides]) as y_low, list_max([e.y1 for e in sides]) as y_high from areas),
-    near_cells as materialized (
-        select gid, sides, c.col, r.row from {CELLS} join boxed on {CENTRE_X} between x_low and x_high and {CENTRE_Y} between y_low and y_high),
-    area_cells as (select gid, col, row from near_cells c where {inside(CENTRE_X, CENTRE_Y.replace("r.row", "c.row"))})"""
-HAVERSINE = (
-    f"2 * {EARTH_RADIUS_M}e0 * asin(least(1, sqrt(sin(radians({CENTRE_Y} - latitude) / 2) ** 2"
-    f" + cos(radians(latitude)) * cos(radians({CENTRE_Y})) * sin(radians({CENTRE_X} - longitude) / 2) ** 2)))"
-)
-DISCS = f"""disc_cells as (
-        select h.longitude, h.latitude, h.gid, h.cents, c.col, r.row from held h, {CELLS}
-        where h.codes = '2' and h.cents <> 0 and abs({CENTRE_Y} - latitude) < 2 and {HAVERSINE} <= {fx.DISC_METRES}e0
-              and (h.gid, c.col, r.row) in (select (gid, col, row) from area_cells)),
-    disc_values as (
-        select *, cents / 100e0 / count(*) over (partition by longitude, latitude, gid) as value from disc_cells)"""
-POINT_CELL = f"cast(floor((longitude - {G.x0}) / {G.px}e0) as int) as col, cast(floor(({G.y0} - latitude) / {G.px}e0) as int) as row"
-CELL_SUMS = f"""cell_sums as (
-        select precision_code, {POINT_CELL}, sum(share_cents) as cents from located
-        where longitude is not null and latitude is not null group by 1, 2, 3)"""
 INT_CELL = "cast(col as int) as col, cast(row as int) as row"
 
+
+def UNITS(count: str) -> str:  # noqa: N802
+    """Cents by a number of cells, in units of 1e-13 of the currency, half rounded up."""
+    return f"((2 * cast(cents as hugeint) * 100000000000 + {count}) // (2 * {count}))"
+
+
+def _on_grid(g, metres: float) -> dict[str, str]:
+    """Cells of areas, discs and points on a grid, each as a statement part."""
+    x, y = f"({g.x0}e0 + (c.col + 0.5e0) * {g.px}e0)", f"({g.y0}e0 - (c.row + 0.5e0) * {g.px}e0)"
+    reach = metres / 111000
+    wide = f"{reach}e0 / greatest(cos(radians(least(89.9, abs(latitude) + {reach}e0))), 1e-3)"
+    near = lambda middle, half, count: (
+        f"unnest(range(greatest(0, cast(floor({middle} - {half} / {g.px}e0) as int) - 1), least({count}, cast(ceil({middle} + {half} / {g.px}e0) as int) + 2)))"
+    )
+    span = lambda low, high, count: f"unnest(range(greatest(0, cast(floor({low}) as int) - 1), least({count}, cast(ceil({high}) as int) + 1)))"
+    distance = (
+        f"2 * {EARTH_RADIUS_M}e0 * asin(least(1, sqrt(sin(radians({y} - latitude) / 2) ** 2"
+        f" + cos(radians(latitude)) * cos(radians({y})) * sin(radians({x} - longitude) / 2) ** 2)))"
+    )
+    return {
+        "area_cells": f"""boxed as (
+        select gid, sides, {span(f"({g.y0}e0 - list_max([e.y1 for e in sides])) / {g.px}e0", f"({g.y0}e0 - list_min([e.y1 for e in sides])) / {g.px}e0", g.nrows)} as row from areas),
+    near_cells as (
+        select gid, sides, row, {span(f"(list_min([e.x1 for e in sides]) - {g.x0}e0) / {g.px}e0", f"(list_max([e.x1 for e in sides]) - {g.x0}e0) / {g.px}e0", g.ncols)} as col from boxed),
+    area_cells as (select gid, col, row from near_cells c where {inside(x, y)})""",
+        "discs": f"""disc_rows as (
+        select *, {near(f"(({g.y0}e0 - latitude) / {g.px}e0)", f"{reach}e0", g.nrows)} as row from held where codes = '2' and cents <> 0),
+    disc_near as (
+        select *, {near(f"((longitude - {g.x0}e0) / {g.px}e0)", wide, g.ncols)} as col from disc_rows),
+    disc_cells as (
+        select longitude, latitude, gid, cents, c.col, c.row from disc_near c join area_cells using (gid, col, row) where {distance} <= {metres}e0),
+    disc_values as (
+        select *, {UNITS("n_cells")} as value from (
+            select *, count(*) over (partition by longitude, latitude, gid) as n_cells from disc_cells))""",
+        "sums": f"""cell_sums as (
+        select precision_code, cast(least(floor((longitude - {g.x0}) / {g.px}e0), {g.ncols - 1}) as int) as col,
+               cast(least(floor(({g.y0} - latitude) / {g.px}e0), {g.nrows - 1}) as int) as row, sum(share_cents) as cents from located
+        where longitude is not null and latitude is not null group by 1, 2, 3)""",
+    }
+
+
+AREA_VALUES = f"""area_values as (
+        select codes, gid, col, row, {UNITS("n_cells")} as value from (
+            select b.codes, b.gid, col, row, b.cents, count(*) over (partition by b.codes, b.gid) as n_cells
+            from by_area b join area_cells using (gid) where b.cents <> 0))"""
+LAYERS = """layers as (
+        select 'prec1' as layer, col, row, cast(cents as hugeint) * 100000000000 as value from cell_sums where precision_code = '1'
+        union all select 'prec2', col, row, sum(value) from disc_values group by col, row
+        union all select 'prec' || replace(codes, ' ', ''), col, row, sum(value) from area_values group by codes, col, row)"""
+
+
+def _allocated(parts: dict[str, str]) -> str:
+    return f"with {LOCS}, {AREAS}, {SPOT_AREAS}, {parts['area_cells']}, {AREA_VALUES}, {parts['discs']}, {parts['sums']}, {LAYERS}"
+
+
+G = fx.GRID
+COARSE = _on_grid(G, fx.DISC_METRES)
+AREA_CELLS, DISCS, CELL_SUMS = COARSE["area_cells"], COARSE["discs"], COARSE["sums"]
+ALLOCATED, FINE = _allocated(COARSE), _allocated(_on_grid(fx.FINE_GRID, fx.FINE_METRES))
+
 ORACLE["location_share"] = f"with {LOCS} select project_id, coalesce(cents, -1) as amount_cents, n as count_locs, coalesce(cast(share_cents as bigint), -1) as share_cents from shares"
 ORACLE["attach_share"] = f"with {LOCS} select project_id, precision_code, longitude, latitude, coalesce(cast(share_cents as bigint), -1) as share_cents from located"
 ORACLE["points_within"] = f"""
@@ -308,31 +345,28 @@ ORACLE["sum_by_cell"] = f"""
     with {LOCS}, {CELL_SUMS}
     select col, row, {G.x0}e0 + (col + 0.5e0) * {G.px}e0 as lng, {G.y0}e0 - (row + 0.5e0) * {G.px}e0 as lat, coalesce(cast(cents as bigint), -1) as cents
     from cell_sums where precision_code = '1'"""
-ORACLE["export_grid"] = f"""
-    with {LOCS}, {CELL_SUMS}
-    select 'prec' || precision_code as layer, col, row, coalesce(cast(cents as bigint), -1) as value from cell_sums where precision_code in ('1', '2')"""
-AREA_VALUES = """area_values as (
-        select b.codes, b.gid, col, row, b.cents / 100e0 / count(*) over (partition by b.codes, b.gid) as value
-        from by_area b join area_cells using (gid) where b.cents <> 0)"""
 ORACLE["spread_over_cells"] = f"""
     with {LOCS}, {AREAS}, {SPOT_AREAS}, {AREA_CELLS}, {AREA_VALUES}
-    select gid, {INT_CELL}, value from area_values where codes = '5 6 8'"""
+    select gid, {INT_CELL}, {settled("value")} as value from area_values where codes = '5 6 8'"""
+ORACLE["sum_by_area_level"] = f"with {LOCS}, {AREAS}, {SPOT_AREAS} select gid, coalesce(cast(cents as bigint), -1) as cents from by_area where codes = '5 6 8'"
 ORACLE["spread_over_disc"] = f"""
     with {LOCS}, {AREAS}, {SPOT_AREAS}, {AREA_CELLS}, {DISCS}
-    select longitude, latitude, gid, {INT_CELL}, value from disc_values"""
+    select longitude, latitude, gid, {INT_CELL}, {settled("value")} as value from disc_values"""
 ORACLE["overlapping_discs"] = f"""
-    with {LOCS}, {AREAS}, {SPOT_AREAS}, {AREA_CELLS}, {DISCS}
-    select longitude, latitude, gid, exists (
-        select 1 from disc_cells a join disc_cells b on a.col = b.col and a.row = b.row
-        where a.longitude = h.longitude and a.latitude = h.latitude and a.gid = h.gid
-              and (a.longitude, a.latitude, a.gid) <> (b.longitude, b.latitude, b.gid)) as overlaps
-    from held h where codes = '2'"""
-LAYERS = """layers as (
-        select 'prec1' as layer, col, row, cents / 100e0 as value from cell_sums where precision_code = '1'
-        union all select 'prec2', col, row, sum(value) from disc_values group by col, row
-        union all select 'prec' || replace(codes, ' ', ''), col, row, sum(value) from area_values group by codes, col, row)"""
-ALLOCATED = f"with {LOCS}, {AREAS}, {SPOT_AREAS}, {AREA_CELLS}, {AREA_VALUES}, {DISCS}, {CELL_SUMS}, {LAYERS}"
+    with {LOCS}, {AREAS}, {SPOT_AREAS}, {AREA_CELLS}, {DISCS},
+    location_rows as (
+        select row_number() over () as n, longitude, latitude, gid, share_cents from located join areas on adm_level = '0'
+        where precision_code = '2' and longitude is not null and latitude is not null and {inside("longitude", "latitude")}),
+    own_cells as (
+        select n, col, row from location_rows join disc_cells using (longitude, latitude, gid) where share_cents <> 0),
+    crowded as (
+        select col, row from own_cells group by col, row having count(distinct n) > 1)
+    select longitude, latitude, gid, n in (select n from own_cells join crowded using (col, row)) as overlaps from location_rows"""
 ORACLE["allocate_money"] = f"{ALLOCATED} select layer, {INT_CELL}, {settled("value")} as value from layers where value is not null"
+ORACLE["export_grid"] = ORACLE["allocate_money"]
+ORACLE["allocate_fine"] = f"""
+    {FINE} select layer, cast(col // 10 as int) as col, cast(row // 10 as int) as row, count(*) as cells, {settled("sum(value)")} as value
+    from layers where value is not null group by all"""
 ORACLE["total_layers"] = f"{ALLOCATED} select {INT_CELL}, {settled("sum(value)")} as value from layers where value is not null group by col, row"
 
 # --- extracts --------------------------------------------------------------------

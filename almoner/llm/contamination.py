@@ -22,7 +22,7 @@ from almoner.llm.tables import cut, keep, text_bytes
 from almoner.llm.words import words_of
 
 #: Text of the benchmark held by a task at once, and text of a shard (a longer document is a shard by itself).
-BLOCK_BYTES, SHARD_BYTES = 32 << 20, 12 << 20
+BLOCK_BYTES, SHARD_BYTES = 32 << 20, 6 << 20
 MATCH = "item_id long, item_start long, doc_start long, n_words long"
 
 

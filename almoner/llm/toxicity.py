@@ -207,12 +207,14 @@ def _used(b: Batch, windows: np.ndarray) -> tuple[Batch, np.ndarray]:
 
 def _common(b: Batch, ids: np.ndarray, count: np.ndarray, bits: int) -> np.ndarray:
     """1 for table rows that LEAST_TEXTS texts use, else 0."""
-    pairs = np.unique(np.stack([np.repeat(b.doc, WINDOW), b.windows.ravel()]), axis=1)
-    doc, word = pairs[:, pairs[1] >= 0]
-    first = np.cumsum(count) - count
-    inner = np.arange(count[word].sum()) - np.repeat(np.cumsum(count[word]) - count[word], count[word])
-    both = np.unique(np.repeat(doc, count[word]).astype(np.int64) << 32 | ids[np.repeat(first[word], count[word]) + inner])
-    return (np.bincount(both & 0xFFFFFFFF, minlength=1 << bits) >= LEAST_TEXTS).astype(np.float32)[:, None]
+    used, first = np.zeros(1 << bits, np.int32), np.cumsum(count) - count
+    edges = np.append(np.flatnonzero(np.diff(b.doc, prepend=-1)), len(b.doc))
+    for i, j in zip(edges, edges[1:], strict=False):
+        word = np.unique(b.windows[i:j])
+        word = word[word >= 0]
+        inner = np.arange(count[word].sum()) - np.repeat(np.cumsum(count[word]) - count[word], count[word])
+        used[np.unique(ids[np.repeat(first[word], count[word]) + inner])] += 1
+    return (used >= LEAST_TEXTS).astype(np.float32)[:, None]
 
 
 def train(texts: list[str], labels: list[int], seed: int = 5) -> Network:
@@ -245,7 +247,7 @@ def _descend(net: Network, texts: list[str], y: np.ndarray, seed: int) -> Networ
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.parts().items()}
     step, epochs = 0, max(EPOCHS, STEPS * BATCH // (2 * len(docs)))
     for epoch in range(epochs):
-        logits = np.concatenate([forward(net, word_inputs(net, b), b.windows[i : i + 4096]) for i in range(0, len(b.windows), 4096)])
+        logits = np.concatenate([forward(net, word_inputs(net, b), b.windows[i : i + 2048]) for i in range(0, len(b.windows), 2048)])
         pick = []
         for d in docs:
             own = logits[first[d] : first[d + 1]]

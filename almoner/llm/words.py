@@ -18,6 +18,8 @@ for _b in range(256):
         _LOWER[_b] = _b + 32
 
 _BASE = 0x9E3779B97F4A7C15
+#: Bytes whose hashes are worked out at once (a longer text alone).
+STEP = 1 << 20
 
 class _Cache(dict):
     """Stays where it was filled."""
@@ -58,7 +60,19 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``."""
+    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``, about STEP bytes at a time."""
+    part = offsets[:-1] // STEP
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(offsets) - 1]
+    parts = [_words_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in zip(edges, edges[1:], strict=False)]
+    if len(parts) == 1:
+        return parts[0]
+    shift, first = [int(offsets[a]) for a in edges[:-1]], np.cumsum([0, *(len(p.hashes) for p in parts)])
+    joined = lambda name, by: np.concatenate([getattr(p, name) + s for p, s in zip(parts, by, strict=False)])
+    bounds = np.concatenate([p.bounds[:-1] + f for p, f in zip(parts, first, strict=False)] + [first[-1:]])
+    return Words(np.concatenate([p.lowered for p in parts]), np.concatenate([p.hashes for p in parts]), joined("starts", shift), joined("ends", shift), bounds)
+
+
+def _words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     n = len(data)
     lowered = _LOWER[data]
     inside = lowered > 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,34 +37,30 @@ EPOCH = dt.date(1970, 1, 1)
 def persian_new_years(first: int = 1, last: int = 2400) -> list[int]:
     """Days since 1970-01-01 of 1 Farvardin for each year ``first .. last``.
 
-    Leap years repeat every 33 years (positions 0, 4, 8 ... 28 counted from a
-    cycle start, and the year before a new start where the rest leaves room);
-    year lengths are summed away from a known new year, 1 Farvardin 1360 =
+    Year lengths are summed away from a known new year, 1 Farvardin 1360 =
     21 March 1981.
     """
-    anchor_year, anchor_day = 1360, (dt.date(1981, 3, 21) - EPOCH).days
-    days = {anchor_year: anchor_day}
-    for year in range(anchor_year, last):
-        days[year + 1] = days[year] + 365 + is_persian_leap(year)
-    for year in range(anchor_year - 1, first - 1, -1):
-        days[year] = days[year + 1] - 365 - is_persian_leap(year)
-    return [days[y] for y in range(first, last + 1)]
-
-
-def is_persian_leap(year: int) -> bool:
-    start, end = next(
-        (a, b) for a, b in zip(CYCLE_STARTS, CYCLE_STARTS[1:]) if a <= year < b
-    )
-    position, span = year - start, end - start
-    if span - position < 6:
-        # the last, incomplete cycle is shifted so that it ends on a leap year
-        position = position - span + (span + 4) // 33 * 33
-    return ((position + 1) % 33 - 1) % 4 == 0
+    leap = set().union(*(leap_years(a, b) for a, b in zip(CYCLE_STARTS, CYCLE_STARTS[1:], strict=False)))
+    lengths = [365 + (y in leap) for y in range(first, last)]
+    starts = [0, *itertools.accumulate(lengths)]
+    shift = (dt.date(1981, 3, 21) - EPOCH).days - starts[1360 - first]
+    return [s + shift for s in starts]
+
+
+def leap_years(start: int, end: int) -> set[int]:
+    """Leap years of one span of Borkowski's arithmetic calendar.
+
+    Leap years are four years apart, every eighth time five, from the span's
+    first year on; the last one is five years before the next span.
+    """
+    gaps = itertools.cycle([4] * 7 + [5])
+    regular = itertools.takewhile(lambda year: year < end - 5, itertools.accumulate(gaps, initial=start))
+    return {*regular, end - 5}
 
 
 def _calendar(first: int, last: int) -> Column:
-    """The new-year days as one constant array, folded when the plan is optimised."""
-    return F.split(F.lit(",".join(map(str, persian_new_years(first, last)))), ",").cast("array<int>")
+    """The new-year days, and that after ``last``, as one constant array, folded when the plan is optimised."""
+    return F.split(F.lit(",".join(map(str, persian_new_years(first, last + 1)))), ",").cast("array<int>")
 
 
 def jalaali_to_date(col: Column, order: str = "dmy", first: int = 1, last: int = 2400) -> Column:
@@ -79,14 +76,14 @@ def jalaali_to_date(col: Column, order: str = "dmy", first: int = 1, last: int =
         year_days = F.get(starts, year - first + 1) - new_year
         offset = F.when(month <= 7, (month - 1) * 31).otherwise(186 + (month - 7) * 30)
         month_days = F.when(month <= 6, 31).when(month <= 11, 30).otherwise(year_days - 336)
-        valid = month.between(1, 12) & (day >= 1) & (day <= month_days)
+        valid = year.between(first, last) & month.between(1, 12) & (day >= 1) & (day <= month_days)
         return F.when(valid, F.date_from_unix_date(new_year + offset + day - 1))
 
     return F.when(well_formed, let(fields, convert))
 
 
 def date_to_jalaali(col: Column, order: str = "ymd", first: int = 1, last: int = 2400) -> Column:
-    """Gregorian date as slash-separated Persian date text."""
+    """Gregorian date as slash-separated Persian date text; null outside the years ``first .. last``."""
 
     def convert(day: Column) -> Column:
         starts = _calendar(first, last)
@@ -97,6 +94,6 @@ def date_to_jalaali(col: Column, order: str = "ymd", first: int = 1, last: int =
         month = F.when(in_year < 186, F.floor(in_year / 31) + 1).otherwise(F.floor((in_year - 186) / 30) + 7)
         in_month = F.when(in_year < 186, in_year % 31).otherwise((in_year - 186) % 30) + 1
         named = {"d": in_month, "m": month, "y": year}
-        return F.concat_ws("/", *[named[p].cast("string") for p in order])
+        return F.when(year.between(first, last), F.concat_ws("/", *[named[p].cast("string") for p in order]))
 
     return let(col.cast("date"), convert)

@@ -93,9 +93,12 @@ PURPOSE_FIELD = 4735940
 COMMITMENT = "1"
 
 
-def project_extract(t: dict[str, DataFrame]) -> DataFrame:
+def project_extract(t: dict[str, DataFrame], purpose_prefix: str | None = None, before_year: int | None = None) -> DataFrame:
     """One line per project, purpose code, classification and commitment.
 
+    Optionally only purpose codes that begin with ``purpose_prefix``, or
+    projects of years before ``before_year``.
+
     ``t`` holds project, custom_field_value, code_round, purpose_code,
     code_round_crs_code, crs_code, recipient, donor and project_amount. Codes,
     field values and amounts are reduced to their distinct values per project
@@ -121,7 +124,8 @@ def project_extract(t: dict[str, DataFrame]) -> DataFrame:
         .select("project_id", F.col("value").alias("commitment_current_usd")).distinct()
     )
     party = lambda role: t[role].select(*[F.col(c).alias(f"{role}_{c}") for c in ("id", "name", "iso3")])
-    project = t["project"].withColumnRenamed("id", "project_id")
+    project = apply_optional(t["project"].withColumnRenamed("id", "project_id"), F.col("year") < before_year if before_year else None)
+    purposes = apply_optional(purposes, F.col("crs_purpose_code").startswith(purpose_prefix) if purpose_prefix else None)
     texts = [scrub(F.col(c)).alias(c) for c in ("title", "short_description", "long_description")]
     return (
         project.join(party("recipient"), "recipient_id")

@@ -195,7 +195,9 @@ def match_sentences(sentences: DataFrame, candidates: DataFrame, errors: int = 5
     hits = None
     for mode, kinds in passes:
         wanted = seeds.filter(F.col("mode").isin(kinds)).drop("mode")
-        met = candidate_grams(candidates, mode, q, short).join(F.broadcast(wanted) if small else wanted, ["source_id", "gram"])
+        # only candidates of sources that have such seeds are cut up
+        some = candidates.join(wanted.select("source_id").distinct(), "source_id", "left_semi")
+        met = candidate_grams(some, mode, q, short).join(F.broadcast(wanted) if small else wanted, ["source_id", "gram"])
         places = met.select("source_id", "sid", "hit_id", (F.col("place") - F.col("offset")).alias("place"))
         hits = places if hits is None else hits.unionByName(places)
     if hits is None:

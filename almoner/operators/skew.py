@@ -15,7 +15,7 @@ def keyed_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
     asks for an own shuffle of it; no row of it is repeated. Where it turns
     out to be tiny, it is broadcast as ever.
     """
-    nought = (F.xxhash64(*keys) * 0).alias("_nought")
+    nought = F.pmod(F.xxhash64(*keys), F.lit(1)).alias("_nought")
     joined = big.select("*", nought).join(small.select("*", nought), [*keys, "_nought"], how)
     return joined.drop("_nought")
 
@@ -33,3 +33,22 @@ def widen(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, MOST_SPLITS) else df
+
+
+#: Bits of the map that :func:`maybe_in` sends: 2 MB, whatever the input.
+MAP_BITS = 24
+
+
+def maybe_in(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """Rows whose ``column`` may be among those of ``wanted``.
+
+    A bit map of fixed size, broadcast, spares the other rows the shuffle of
+    the join that follows. The larger ``wanted``, the more rows pass in vain.
+    """
+    bit = F.pmod(F.xxhash64(column), F.lit(1 << MAP_BITS))
+    maps = wanted.select(bit.alias("_bit")).groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_map"))
+    placed = rows.withColumn("_bit", bit).withColumn("_bucket", F.bitmap_bucket_number("_bit")).withColumn("_at", F.bitmap_bit_position("_bit"))
+    byte = F.conv(F.hex(F.substring(F.col("_map"), (F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    # at most 2 ** MAP_BITS / 32,768 rows of 4 KB
+    found = placed.join(F.broadcast(maps), "_bucket").filter(F.floor(byte / F.pow(F.lit(2), F.col("_at") % 8)) % 2 == 1)
+    return found.select(*rows.columns)

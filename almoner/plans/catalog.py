@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almoner.functions import dates as dt
+from almoner.functions import geo as ge
 from almoner.functions import text as tx
 from almoner.operators import areas as ar
 from almoner.operators import extracts as ex
@@ -122,6 +123,18 @@ def tfidf(spark, sf):
     return out.select("doc", "term", "f", *[rounded(c, 6) for c in ("atf", "idf", "tfidf")])
 
 
+@query
+def stopword_files(spark, sf):
+    # word lists as files, one per language; here the short words of each language
+    folder = scratch_dir(spark, "lists")
+    words = fx.table(spark, sf, "documents").select("lang", F.explode(vo.tokens(F.col("text"))).alias("word"))
+    short = words.filter(F.length("word") <= 3).distinct()
+    for lang in ("de", "en", "es", "fr"):
+        short.filter(F.col("lang") == lang).select("word").write.text(f"{folder}/stopwords_{lang}.txt")
+    lists = do.load_stopwords(spark, f"{folder}/*")
+    return vo.bag_of_words(fx.table(spark, sf, "documents"), "text", lists.filter("lang in ('en', 'fr')"), html=False)
+
+
 @query
 def lexicon_terms(spark, sf):
     words = vo.bag_of_words(fx.table(spark, sf, "benchmark"), "text", html=False)
@@ -150,6 +163,15 @@ def gazetteer_lookup(spark, sf):
     return ex.lookup(suppliers, fx.table(spark, sf, "lineitem"), "l_suppkey")
 
 
+@query
+def gazetteer_bucketed(spark, sf):
+    path = scratch_dir(spark, "bucketed")
+    name = "g" + path.rsplit("-", 1)[-1]
+    de.bucket_gazetteer(fx.gazetteer(spark, sf), name, 8, path)
+    found = ex.lookup(spark.table(name), fx.table(spark, sf, "lineitem"), "l_partkey")
+    return found.select("geonameid", "name", "population")
+
+
 @query
 def gazetteer_file(spark, sf):
     path = scratch_dir(spark, "gazetteer")
@@ -171,6 +193,11 @@ def geocode_fuzzy(spark, sf):
     return _geocode(spark, sf, 1)
 
 
+@query
+def geocode_two_edits(spark, sf):
+    return _geocode(spark, sf, 2)
+
+
 @query
 def geocode_listing(spark, sf):
     docs = fx.place_docs(spark, sf)
@@ -184,6 +211,19 @@ def match_sentences(spark, sf):
     return se.match_sentences(sources, hits)
 
 
+@query
+def match_folders(spark, sf):
+    """Document folders on disk: the text lies between two marker tags, every candidate has a folder of its own."""
+    path = scratch_dir(spark, "folders")
+    html = F.concat(F.lit("<html>before <hr/> "), "text", F.lit(" <hr/> after</html>")).alias("html")
+    fx.table(spark, sf, "benchmark").select(F.col("item_id").alias("source_id"), html).write.partitionBy("source_id").text(f"{path}/sources")
+    fx.candidate_docs(spark, sf).select("source_id", F.col("doc_id").alias("hit_id"), "text").write.partitionBy("source_id", "hit_id").text(f"{path}/hits")
+    hits = do.read_hit_docs(spark, f"{path}/hits")
+    sources = se.source_sentences(do.with_candidates(do.read_source_docs(spark, f"{path}/sources"), hits), "source_id", "html", marker="<hr/>")
+    found = se.match_sentences(sources, se.clean_candidates(hits, "source_id", "hit_id", "html"))
+    return found.withColumns({c: F.col(c).cast("bigint") for c in ("source_id", "hit_id")})
+
+
 @query
 def sentence_split(spark, sf):
     return se.source_sentences(fx.table(spark, sf, "documents"), "doc_id", "text")
@@ -208,6 +248,14 @@ def attach_share(spark, sf):
     return _located(spark, sf).select("project_id", "precision_code", "longitude", "latitude", cents("financials_per_loc").alias("share_cents"))
 
 
+@query
+def location_points(spark, sf):
+    """Different points of all locations, with their distance to the origin of the grid."""
+    placed = fx.locations(spark, sf).filter(ex.not_null("longitude", "latitude")).select(ge.point(F.col("longitude"), F.col("latitude")).alias("p"))
+    away = ge.haversine_m(F.lit(0.0), F.lit(0.0), F.col("p.lng"), F.col("p.lat")).alias("metres")
+    return placed.distinct().select("p.lng", "p.lat", F.round(away, 2).alias("metres"))
+
+
 @query
 def points_within(spark, sf):
     points = fx.locations(spark, sf).select("project_id", "longitude", "latitude")
@@ -318,6 +366,12 @@ def project_extract(spark, sf):
     return out.withColumns({c: F.col(c).cast("string") for c in ("start_date", "end_date", "commitment_date", "effective_date")})
 
 
+@query
+def project_extract_filtered(spark, sf):
+    out = ex.project_extract(fx.project_tables(spark, sf), purpose_prefix="R", before_year=1997)
+    return out.select("project_id", "crs_purpose_code", "classified_purpose_code", "activity_codes", "commitment_current_usd")
+
+
 @query
 def activity_codes(spark, sf):
     items = fx.table(spark, sf, "lineitem").select("l_orderkey", F.col("l_shipdate").cast("date").cast("string").alias("day"))
@@ -411,6 +465,17 @@ def split_by_key(spark, sf):
     return de.append(*levels)
 
 
+@query
+def column_at(spark, sf):
+    return de.col_at(fx.table(spark, sf, "orders"), 4)
+
+
+@query
+def document_lines(spark, sf):
+    lines = fx.table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", r"[.\n]")).alias("line"))
+    return tx.drop_blank(lines, "line")
+
+
 @query
 def column_range(spark, sf):
     return de.cols(fx.table(spark, sf, "orders"), 1, 3)
@@ -438,6 +503,19 @@ def latest_release(spark, sf):
     return ch.is_newer(pages, "page", files, "path")
 
 
+@query
+def release_batches(spark, sf):
+    """The release check on arriving pages, a few files to a batch; the answers say what each batch had."""
+    path = scratch_dir(spark, "releases")
+    pages = fx.table(spark, sf, "pages").select(F.expr(fx.DATED_PAGE).alias("page"))
+    pages.repartition(4).write.parquet(f"{path}/landing")
+    files = fx.table(spark, sf, "documents").select(F.expr(fx.RELEASE_PATH).alias("path"))
+    arriving = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/landing")
+    ch.check_each_batch(arriving, "page", files, "path", lambda df: df.write.mode("append").parquet(f"{path}/answers"), f"{path}/checkpoint").awaitTermination()
+    answers = spark.read.parquet(f"{path}/answers")
+    return answers.agg(F.max("remote_latest").alias("remote_latest"), F.max("local_latest").alias("local_latest"), F.max("newer").alias("newer"))
+
+
 @query
 def ingest_changes(spark, sf):
     landing, target = scratch_dir(spark, "landing"), scratch_dir(spark, "changes")

@@ -76,6 +76,10 @@ ORACLE["page_body"] = """
 ORACLE["bag_of_words"] = f"""
     select distinct term from (select unnest({words("text")}) as term from documents)
     where length(term) > 2 and term not in ({quoted(fx.STOPWORDS)})"""
+ORACLE["stopword_files"] = f"""
+    with lists as (
+        select distinct term from (select unnest({words("text")}) as term from documents where lang in ('en', 'fr')) where length(term) <= 3)
+    select distinct term from (select unnest({words("text")}) as term from documents) where term not in (select term from lists)"""
 ORACLE["bag_of_words_html"] = f"""
     select distinct term from (select unnest({words(VISIBLE)}) as term from pages)
     where length(term) > 3 and term not in (select unnest({words("w")}) from unnest([{quoted(fx.STOPWORDS)}]) t(w))"""
@@ -123,6 +127,8 @@ NAMES = f"""names as (
 ORACLE["gazetteer_explode"] = f"with {NAMES} select * from names"
 ORACLE["gazetteer_lookup"] = """
     select s_suppkey as geonameid, s_name, s_nationkey, s_acctbal from supplier where s_suppkey in (select l_suppkey from lineitem)"""
+ORACLE["gazetteer_bucketed"] = f"""
+    select p_partkey as geonameid, {fx.PLACE} as name, cast(p_partkey * 10 as bigint) as population from part where p_partkey in (select l_partkey from lineitem)"""
 ORACLE["gazetteer_file"] = f"""
     select p_partkey as geonameid, {fx.PLACE} as name, nullif({fx.ALTERNATES}, '') as alternatenames, {fx.PLACE_LAT} as latitude,
            {fx.PLACE_LNG} as longitude, cast(p_partkey * 10 as bigint) as population, p_size as dem, '2014-09-29' as modificationdate
@@ -139,6 +145,10 @@ RUNS = f"""pieces as (
                p || lead(p, 1) over d || lead(p, 2) over d || lead(w, 3) over d as r4
         from pieces window d as (partition by doc_id order by i)),
     runs as (select * from (select doc_id, i, unnest([r1, r2, r3, r4]) as run from led) where run is not null)"""
+# two edits can part a name's words twice
+LONG_RUNS = RUNS.replace("lead(w, 3) over d as r4", "lead(w, 3) over d as r4, p || lead(p, 1) over d || lead(p, 2) over d || lead(p, 3) over d || lead(w, 4) over d as r5").replace(
+    "unnest([r1, r2, r3, r4])", "unnest([r1, r2, r3, r4, r5])"
+)
 # one edit leaves either the first or the second half of a name as it is
 ONE_EDIT = """halves as (
         select distinct placename, length(placename) as m, placename[:length(placename) // 2] as head, placename[length(placename) // 2 + 1:] as tail
@@ -152,6 +162,21 @@ ONE_EDIT = """halves as (
         select placename, run, cost from (
             select *, levenshtein(placename, regexp_replace(run, '[^\\x00-\\x7f]', '~', 'g')) as cost from met)
         where cost <= 1)"""
+# two edits leave one of three parts as it is, moved by at most two places
+TWO_EDITS = """thirds as (
+        select distinct placename, m, k, placename[m * k // 3 + 1:m * (k + 1) // 3] as part
+        from (select placename, length(placename) as m from names where length(placename) > 2), (select unnest(range(3)) as k)),
+    texts as (
+        select distinct run, m, k, run[m * k // 3 + 1 + s:m * (k + 1) // 3 + s] as part
+        from (select run, unnest(range(length(run) - 2, length(run) + 3)) as m from (select distinct run from runs)),
+             (select unnest(range(3)) as k), (select unnest(range(-2, 3)) as s)
+        where m > 2 and m * k // 3 + s >= 0),
+    met as (
+        select distinct placename, run from thirds join texts using (m, k, part)),
+    found as (
+        select placename, run, cost from (
+            select *, levenshtein(placename, regexp_replace(run, '[^\\x00-\\x7f]', '~', 'g')) as cost from met)
+        where cost <= 2)"""
 EXACTLY = "found as (select distinct placename, placename as run, 0 as cost from names where length(placename) > 0)"
 BEST = """best as (
         select doc_id, placename, run, cost from runs join found using (run)
@@ -166,6 +191,8 @@ HIT = "geonameid, latitude, longitude, placename, replace(run, '|', '') as match
 ORACLE["geocode_exact"] = f"{_geocode(EXACTLY)} select {HIT}, cast(cost as int) as cost, doc_id from best join names using (placename)"
 ORACLE["geocode_fuzzy"] = f"""
     {_geocode(ONE_EDIT)} select {HIT}, cast(cost as int) as cost, doc_id from best join names using (placename)"""
+ORACLE["geocode_two_edits"] = f"""
+    {_geocode(TWO_EDITS).replace(RUNS, LONG_RUNS)} select {HIT}, cast(cost as int) as cost, doc_id from best join names using (placename)"""
 ORACLE["geocode_listing"] = f"""
     {_geocode(EXACTLY)} select {HIT}, doc_id, lang, text from best join names using (placename) join docs using (doc_id)"""
 
@@ -216,6 +243,8 @@ ORACLE["match_sentences"] = rf"""
            source_text, matched_text, sentence_no
     from scored where cost = 0 or (num_char_text + num_char_match) * 50 // cost >= 1500"""
 
+ORACLE["match_folders"] = ORACLE["match_sentences"]
+
 # --- money on the map ----------------------------------------------------------
 
 LOCS = f"""locs as (
@@ -338,6 +367,10 @@ ALLOCATED, FINE = _allocated(COARSE), _allocated(_on_grid(fx.FINE_GRID, fx.FINE_
 
 ORACLE["location_share"] = f"with {LOCS} select project_id, coalesce(cents, -1) as amount_cents, n as count_locs, coalesce(cast(share_cents as bigint), -1) as share_cents from shares"
 ORACLE["attach_share"] = f"with {LOCS} select project_id, precision_code, longitude, latitude, coalesce(cast(share_cents as bigint), -1) as share_cents from located"
+ORACLE["location_points"] = f"""
+    with {LOCS} select distinct longitude as lng, latitude as lat,
+           round(2 * {EARTH_RADIUS_M}e0 * asin(sqrt(least(1, sin(radians(latitude) / 2) ** 2 + cos(radians(latitude)) * sin(radians(longitude) / 2) ** 2))), 2) as metres
+    from locs where longitude is not null and latitude is not null"""
 ORACLE["points_within"] = f"""
     with {LOCS}, {AREAS} select project_id, longitude, latitude, gid from locs join areas on adm_level = '0' where {inside("longitude", "latitude")}"""
 ORACLE["sum_by_area"] = f"with {LOCS}, {AREAS}, {SPOT_AREAS} select codes, gid, coalesce(cast(cents as bigint), -1) as cents from by_area"
@@ -403,6 +436,9 @@ ORACLE["project_extract"] = f"""
     join {T["project_amount"]} a on p.id = a.project_id
     where cfv.field_id = 4735940 and cr.is_master and a.amount_type_id = '1'
     group by p.id, cfv.value, pc.code, r.id, d.id, a.value"""
+ORACLE["project_extract_filtered"] = f"""
+    select project_id, crs_purpose_code, classified_purpose_code, activity_codes, commitment_current_usd from ({ORACLE["project_extract"]})
+    where crs_purpose_code like 'R%' and year < 1997"""
 ORACLE["activity_codes"] = """
     select l_orderkey, string_agg(distinct cast(cast(l_shipdate as date) as varchar), '|' order by cast(cast(l_shipdate as date) as varchar)) as days
     from lineitem group by l_orderkey"""
@@ -455,6 +491,8 @@ ORACLE["write_delimited"] = r"""
 ORACLE["split_by_key"] = """
     select 'c_level1' as level, c_custkey, cast(c_nationkey // 5 as int) as code from customer
     union all select 'c_nationkey', c_custkey, c_nationkey from customer"""
+ORACLE["column_at"] = "select o_totalprice from orders"
+ORACLE["document_lines"] = r"select * from (select doc_id, unnest(regexp_split_to_array(text, '[.\n]')) as line from documents) where regexp_matches(line, '\S')"
 ORACLE["column_range"] = "select o_orderkey, o_custkey, o_orderstatus from orders"
 ORACLE["download_manifest"] = """
     select '2011' as year, 'http://docs.example/pdf/PNA' || cast(page_id as varchar) || 'B.pdf' as url from pages"""
@@ -477,5 +515,6 @@ ORACLE["latest_release"] = rf"""
     local as (select regexp_extract(max(path), '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') as l from (select {fx.RELEASE_PATH} as path from documents)
               where regexp_matches(path, '(?i)^.*crs.*[.]txt$'))
     select r as remote_latest, l as local_latest, r > l as newer from remote, local"""
+ORACLE["release_batches"] = ORACLE["latest_release"]
 ORACLE["ingest_changes"] = """
     select case when event_type = 'error' then 'deletes' else 'modifications' end as kind, event_id, event_type, user_id from events"""

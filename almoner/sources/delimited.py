@@ -57,7 +57,10 @@ def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bucket_gazetteer(gaz: DataFrame, table: str, buckets: int, location: str | None = None) -> None:
-    """Store a gazetteer for repeated access by id: later joins on it need no shuffle of this side."""
+    """Store a gazetteer for repeated access by id.
+
+    Later joins on it need no shuffle of this side, if it has as many buckets as joins have partitions.
+    """
     writer = gaz.write.mode("overwrite").bucketBy(buckets, "geonameid").sortBy("geonameid")
     if location:
         writer = writer.option("path", location)

@@ -9,21 +9,30 @@ from almoner.functions.text import join_fields
 
 
 def read_source_docs(spark: SparkSession, path: str) -> DataFrame:
-    """``source_id, html`` from ``<path>/<source>/<source>.html``; folders not named by digits are ignored."""
-    return _numbered(spark, f"{path.rstrip('/')}/*/*.html", r"/([0-9]+)/\1\.html$").select(F.col("id").alias("source_id"), "html")
+    """``source_id, html`` from ``<path>/<source>/<source>.html``; folders not named by digits are ignored.
+
+    Folders ``source_id=<source>``, as Spark writes them, are read as well, whatever their files are called.
+    """
+    return _numbered(spark, f"{path.rstrip('/')}/*/*", r"(?:/([0-9]+)/\1\.html|/source_id=([0-9]+)/[^/]+)$", 2).select(F.col("id")[0].alias("source_id"), "html")
 
 
 def read_hit_docs(spark: SparkSession, path: str) -> DataFrame:
-    """``source_id, hit_id, html`` from ``<path>/<source>/<hit>/<file>``."""
-    docs = _numbered(spark, f"{path.rstrip('/')}/*/*/*", r"/([0-9]+/[0-9]+)/[^/]+$")
-    source, hit = F.split("id", "/")[0], F.split("id", "/")[1]
-    return docs.select(source.alias("source_id"), hit.alias("hit_id"), "html")
+    """``source_id, hit_id, html`` from ``<path>/<source>/<hit>/<file>``, or folders ``source_id=…/hit_id=…``.
+
+    Several files of one hit are one document, in order of their names.
+    """
+    docs = _numbered(spark, f"{path.rstrip('/')}/*/*/*", r"/(?:source_id=)?([0-9]+)/(?:hit_id=)?([0-9]+)/[^/]+$", 2)
+    parts = docs.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("file", "html"))).alias("parts"))
+    html = F.array_join(F.transform("parts", lambda p: p["html"]), "\n").alias("html")
+    return parts.select(F.col("id")[0].alias("source_id"), F.col("id")[1].alias("hit_id"), html)
 
 
-def _numbered(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+def _numbered(spark: SparkSession, path: str, pattern: str, groups: int) -> DataFrame:
+    """``id`` (the groups of ``pattern`` that are not empty), ``file, html`` of the files whose path fits."""
     read = spark.read.text(path, wholetext=True)
-    named = read.select(F.regexp_extract("_metadata.file_path", pattern, 1).alias("id"), F.col("value").alias("html"))
-    return named.filter("id != ''")
+    found = F.array(*[F.regexp_extract("_metadata.file_path", pattern, k + 1) for k in range(groups)])
+    named = read.select(F.filter(found, lambda g: g != "").alias("id"), F.col("_metadata.file_path").alias("file"), F.col("value").alias("html"))
+    return named.filter(F.size("id") > 0)
 
 
 def with_candidates(sources: DataFrame, hits: DataFrame) -> DataFrame:
@@ -91,23 +100,25 @@ def lines_with_other_code(docs: DataFrame, text: str, own_id: str | Column, patt
     """``line`` of each document line that names a code and does not name its own.
 
     The line is the unit: one that names the own code as a word is left out
-    even if it names others. ``own_id`` may be a column.
+    even if it names others. ``own_id`` may be a column; an id that is no code
+    is looked for as it is, letter by letter.
     """
     own = own_id if isinstance(own_id, Column) else F.lit(own_id)
     lines = docs.withColumn("line", F.explode(F.split(text, "\n")))
-    own_word = F.concat(F.lit(r"\b"), own, F.lit(r"\b"))
-    return lines.filter(F.regexp_like("line", F.lit(pattern)) & ~F.regexp_like("line", own_word))
+    codes = F.regexp_extract_all("line", F.lit(rf"\b({pattern})\b"), F.lit(1))
+    literal = F.concat(F.lit(r"\b\Q"), F.replace(own, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E\b"))
+    named = F.when(own.rlike(rf"^(?:{pattern})$"), F.array_contains(codes, own)).otherwise(F.regexp_like("line", literal))
+    return lines.filter(F.regexp_like("line", F.lit(pattern)) & ~named)
 
 
 def load_stopwords(spark: SparkSession, path: str) -> DataFrame:
     """``word, lang`` from word lists, one word per line.
 
     The language is what follows the first underscore of the file name
-    (``stopwords_fr.txt`` gives ``fr``).
+    (``stopwords_fr.txt`` gives ``fr``), or of a folder of that name with parts.
     """
-    read = spark.read.text(path).select(
-        F.col("value").alias("word"), F.regexp_extract("_metadata.file_name", r"_([^.]+)\.", 1).alias("lang")
-    )
+    name = F.regexp_extract("_metadata.file_path", r"([^/]+?)(?:/part-[^/]*)?$", 1)
+    read = spark.read.text(path).select(F.col("value").alias("word"), F.regexp_extract(name, r"_([^.]+)\.", 1).alias("lang"))
     return read.filter("word != ''").distinct()
 
 

@@ -82,3 +82,12 @@ def test_cells_and_distance(spark):
     got = spark.range(1).select(col, row, x, y, geo.haversine_m(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0))).first()
     assert list(got)[:4] == [0, 0, -179.25, 88.75]
     assert got[4] == pytest.approx(111195, abs=1)
+
+
+def test_persian_calendar_ends_where_it_says(rows):
+    # the last day of 2400 has a date; the day after it, and years outside, have no Persian date
+    last = rows(["29/12/2400", "30/12/2400", "1/1/2401", "1/1/1"], lambda c: dates.jalaali_to_date(c).cast("string"))
+    assert last[0] is not None and last[2] is None and last[3] == "0622-03-22"
+    after = rows([last[1] or last[0]], lambda c: dates.date_to_jalaali(F.date_add(c.cast("date"), 1)))
+    assert after == [None]
+    assert rows([last[0]], lambda c: dates.date_to_jalaali(c.cast("date"))) == ["2400/12/29"]

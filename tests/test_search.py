@@ -53,9 +53,9 @@ def test_blocking_misses_no_pair(spark, errors, by_deletion):
 
 
 @pytest.mark.parametrize("errors", [0, 1, 2])
-@pytest.mark.parametrize("limit", [0, 200_000])
+@pytest.mark.parametrize("limit", [0, 500_000])
 def test_geocode_equals_brute_force(spark, errors, limit, monkeypatch):
-    monkeypatch.setattr(gz, "BROADCAST_NAMES", limit)
+    monkeypatch.setattr(gz, "BROADCAST_KEYS", limit)
     rng = random.Random(7)
     syllable = lambda: rng.choice(["ba", "né", "to", "ri"])
     word = lambda: "".join(syllable() for _ in range(rng.randint(1, 3)))
@@ -93,8 +93,8 @@ def test_report_has_nine_columns(spark):
 
 def test_geocode_plan_has_no_all_pairs_join(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "Rome")], "id int, text string")
-    for limit in (0, 200_000):
-        monkeypatch.setattr(gz, "BROADCAST_NAMES", limit)
+    for limit in (0, 500_000):
+        monkeypatch.setattr(gz, "BROADCAST_KEYS", limit)
         plan = plan_of(gz.geocode(gaz_table(spark, [("Rome", "")]), docs, 1, "id", ["text"]))
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
@@ -166,3 +166,13 @@ def test_source_length_counts_line_ends(spark):
 def test_allowed_errors_follow_the_score(spark):
     df = spark.createDataFrame([(n,) for n in (5, 13, 14, 28, 29, 72, 400)], "n int")
     assert [r[0] for r in df.select(se.allowed_errors(F.col("n"), 5, 15)).collect()] == [0, 0, 1, 2, 2, 5, 5]
+
+
+def test_runs_are_made_of_the_numbers_of_words_that_occur(spark):
+    """One long name adds one pattern, not one for every number of words below its own."""
+    names = spark.createDataFrame([("Rome",), ("New York",), (" ".join(["w"] * 20),)], "placename string")
+    keys, lengths = gz.name_limits(names, 0)
+    assert keys == 3 and lengths == {1: [4], 2: [8], 20: [39]}
+    lines = spark.createDataFrame([(1, "a new York and Rome or " + " ".join(["w"] * 22))], "id int, line string")
+    got = gz.word_runs(lines, "id", "line", lengths).collect()
+    assert sorted(r["run"] for r in got if len(r["run"]) < 20) == ["Rome", "York", "York and", "and Rome", "new York"] and sum(len(r["run"]) == 39 for r in got) == 3

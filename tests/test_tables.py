@@ -10,6 +10,8 @@ from almoner.operators import shares as sh
 from almoner.operators import vocabulary as vo
 from almoner.operators import weights as we
 from almoner.operators.benford import benford
+from almoner.operators.skew import keyed_join
+from tests.conftest import plan_of
 
 
 def strings(spark, values, name="v"):
@@ -126,3 +128,49 @@ def test_shares_fan_out_over_amounts(spark):
 def test_share_rounds_half_away_from_zero(spark):
     got = spark.range(1).select(sh.share(F.lit(0.05), F.lit(2)), sh.share(F.lit(-0.05), F.lit(2))).first()
     assert [float(v) for v in got] == [0.03, -0.03]
+
+
+def test_lookup_of_a_bucketed_table_moves_no_record(spark, tmp_path):
+    from almoner.sources import delimited as de
+
+    gaz = spark.range(1000).selectExpr("id as geonameid", "cast(id as string) as name")
+    de.bucket_gazetteer(gaz, "bucketed_names", 8, str(tmp_path / "b"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ex.lookup(spark.table("bucketed_names"), strings(spark, ["5", "7", "7", "2000"]), "v")
+        plan = plan_of(found)
+        assert found.count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("drop table bucketed_names")
+    records = plan[plan.index("Join") : plan.index("FileScan")]
+    assert "Exchange" not in records and "Bucketed: true" in plan
+
+
+def test_keyed_join_repeats_no_row_and_shuffles_for_itself(spark):
+    big = spark.range(5000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k", "id")
+    small = big.groupBy("k").count()
+    joined = keyed_join(big.hint("merge"), small, ["k"])
+    assert joined.count() == 5000 and joined.columns == ["k", "id", "count"]
+    plan = plan_of(joined)
+    # one shuffle for the aggregate and one for each side of the join, which adaptive execution may split
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 3
+    assert plan.count("_nought") >= 2
+
+
+def test_term_freq_counts_repeated_texts_of_a_document_once(spark):
+    df = spark.createDataFrame([("a", "red red fox"), ("a", "red red fox"), ("a", "red dog"), ("b", "red red fox"), (None, "x"), ("c", None)], "d string, t string")
+    got = {(r["doc"], r["term"]): r["f"] for r in we.term_freq(df, "d", "t").collect()}
+    assert got == {("a", "red"): 3, ("a", "fox"): 1, ("a", "dog"): 1, ("b", "red"): 2, ("b", "fox"): 1}
+    moved = [line for line in plan_of(we.term_freq(df, "d", "t")).split("\n") if "Exchange" in line]
+    assert moved and all("t#" not in line for line in moved)
+
+
+def test_extract_filters_are_optional(spark):
+    from almoner.plans import fixtures as fx
+
+    tables = fx.project_tables(spark, "/root/testdata/sf0.001")
+    some = ex.project_extract(tables, purpose_prefix="R", before_year=1997)
+    assert some.filter("year >= 1997 or crs_purpose_code not like 'R%'").count() == 0 and some.count() > 0
+    assert ex.project_extract(tables, before_year=1).count() == 0

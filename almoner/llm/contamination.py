@@ -22,7 +22,7 @@ from almoner.llm.tables import cut, keep, text_bytes
 from almoner.llm.words import words_of
 
 #: Text of the benchmark held by a task at once, and text of a shard (a longer document is a shard by itself).
-BLOCK_BYTES, SHARD_BYTES = 32 << 20, 6 << 20
+BLOCK_BYTES, SHARD_BYTES = 4 << 20, 6 << 20
 MATCH = "item_id long, item_start long, doc_start long, n_words long"
 
 
@@ -189,12 +189,12 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, column
     A match is a longest run of words that document and item share verbatim,
     of ``window`` words or more; an item of fewer words matches as a whole.
     Null texts have no words. Matches are in order of doc_start. Repeated
-    documents and items are each reported; items without words match
-    nothing; an empty benchmark gives empty arrays. Columns of ``docs`` of
-    those two names are replaced.
+    documents are each reported, repeated items once; items without words
+    match nothing; an empty benchmark gives empty arrays. Columns of ``docs``
+    of those two names are replaced.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     total = items.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
     parts = -(-int(total) // BLOCK_BYTES)
     out = docs.withColumn("_n_words", F.lit(0).cast("long")).withColumn("_matches", F.array().cast(T.ArrayType(T.StructType.fromDDL(MATCH))))

@@ -290,5 +290,9 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     stay = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id", "text_hash").agg(F.count("*").alias("_n"), F.max("n_links").alias("_l"))
     stay = keep(stay.withColumnsRenamed({"doc_id": "_id", "text_hash": "_h"}), "stay")
     joined = docs.withColumn("_t", F.xxhash64("text")).join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_h")))
+    repeated = stay.where("_n > 1 and _l > 0")
+    if repeated.isEmpty():
+        return joined.select(*docs.columns)
+    # rows that repeat id and text: one of them
     once, again = joined.where("_n = 1 or _l = 0").select(*docs.columns), joined.where("_n > 1 and _l > 0")
     return once.unionByName(again.dropDuplicates(["_id", "_h"]).select(*docs.columns))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from almoner.llm.tables import keep
 
 #: Ranges per shard at least, and of all shards at most; sampled keys per range.
-RANGES, MOST_RANGES, SAMPLES = 64, 1 << 15, 12
+RANGES, MOST_RANGES, SAMPLES = 64, 1 << 14, 12
 #: A range above this share of a shard is divided; one key alone only above WHOLE of a shard.
 PART, WHOLE = 1 / 16, 1 / 2
 
@@ -78,7 +78,7 @@ def shard_documents(docs: DataFrame, shards: int, size: Column, key: Column, tie
     Rows with a null key must be given one by the caller; sizes of null count
     0; equal rows get slots in any order; an empty table gives no rows.
     Columns ``shard`` and ``slot`` and those that begin with ``_`` are replaced. The driver
-    gets at most MOST_RANGES * SAMPLES sampled keys (6 MB) and a row per piece.
+    gets at most MOST_RANGES * SAMPLES sampled keys (3 MB) and a row per piece.
     """
     spark = docs.sparkSession
     plain = [c for c in docs.columns if c not in ("shard", "slot") and not c.startswith("_")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.functions import text as tx
@@ -23,14 +23,13 @@ def term_freq(
     at most ``min_len`` letters, and words outside ``lexicon``, are dropped.
     """
     texts = widen(df.select(doc, text)).filter(F.col(doc).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(text).alias("text"))
-    # repeats of a text go by its digest, so that words are counted where the text is read and no text is moved
+    # the n copies of a text weigh one n-th each; they are told by a 128-bit digest, so that no text has to be moved
+    digest = [F.xxhash64("text").alias("_d"), F.xxhash64(F.lit(1), "text").alias("_e")]
+    copies = texts.groupBy("doc", *digest).agg(F.count("*").alias("_n")).filter("_n > 1")
+    weighed = texts.select("*", *digest).join(copies, ["doc", "_d", "_e"], "left")
     words = tx.alpha_tokens(tx.drop_non_ascii(F.lower("text")))
-    terms = texts.select("doc", F.md5("text").alias("_copy"), F.explode(words).alias("term"))
-    counted = terms.filter(F.col("term").isNotNull() & tx.longer_than(F.col("term"), min_len)).groupBy("doc", "term", "_copy").agg(F.count("*").alias("f"))
-    copies = texts.groupBy("doc", F.md5("text").alias("_copy")).agg(F.count("*").alias("_n")).filter("_n > 1")
-    single = counted.join(copies, ["doc", "_copy"], "left").select("doc", "term", (F.col("f") / F.coalesce("_n", F.lit(1))).cast("bigint").alias("f"))
-    summed = single.groupBy("doc", "term").agg(F.sum("f").alias("f"))
-    return summed if lexicon is None else known_terms(summed, lexicon)
+    terms = weighed.select("doc", (1.0 / F.coalesce("_n", F.lit(1))).alias("_w"), F.explode(words).alias("term"))
+    return _counted(terms, lexicon, min_len, F.round(F.sum("_w")).cast("bigint"))
 
 
 def term_freq_tagged(tagged: DataFrame, doc: str, token: str, pos: str, lexicon: DataFrame | None = None, min_len: int = 2) -> DataFrame:
@@ -40,8 +39,9 @@ def term_freq_tagged(tagged: DataFrame, doc: str, token: str, pos: str, lexicon:
     return _counted(kept.select(F.col(doc).alias("doc"), F.explode(words).alias("term")), lexicon, min_len)
 
 
-def _counted(words: DataFrame, lexicon: DataFrame | None, min_len: int) -> DataFrame:
-    counted = words.filter(F.col("term").isNotNull() & tx.longer_than(F.col("term"), min_len)).groupBy("doc", "term").agg(F.count("*").alias("f"))
+def _counted(words: DataFrame, lexicon: DataFrame | None, min_len: int, count: Column | None = None) -> DataFrame:
+    count = F.count("*") if count is None else count
+    counted = words.filter(F.col("term").isNotNull() & tx.longer_than(F.col("term"), min_len)).groupBy("doc", "term").agg(count.alias("f"))
     return counted if lexicon is None else known_terms(counted, lexicon)
 
 

@@ -14,6 +14,7 @@ from almoner.llm.components import components
 from almoner.llm.groups import blocked, matrix, sides, sorted_groups, star_rows
 from almoner.llm.tables import keep, same_key_runs
 from almoner.llm.words import mix
+from almoner.operators.skew import keyed_join
 
 #: Vectors of one label that a bucket holds on average, and the limits of bits in a table.
 BUCKET, LEAST_BITS, MOST_BITS = 64, 5, 24
@@ -109,7 +110,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, recall: float = 0.
     one = lambda t: F.struct(t.alias("at"), F.xxhash64(t, "label", F.octet_length("vector"), F.substring(F.col("signs"), t * 4 + 1, F.lit(4))).alias("leaf"))
     leaves = F.explode(F.transform(F.sequence(F.lit(0), F.lit(count - 1)), one))
     sizes = hashed.select(leaves.alias("_l")).groupBy("_l.leaf").agg(F.count("*").alias("n")).where("n > 1")
-    rows = hashed.withColumn("_l", leaves).select("key", "copies", "vector", "signs", "_l.at", "_l.leaf").join(sizes, "leaf")
+    rows = hashed.withColumn("_l", leaves).select("key", "copies", "vector", "signs", "_l.at", "_l.leaf")
+    rows = keyed_join(rows, sizes, ["leaf"])
     found = keep(sorted_groups(blocked(rows)).mapInArrow(_links(threshold, count), "a binary, b binary, links long"), "links")
     roots = components(found)
     least = roots.join(reps.select(F.col("key").alias("node"), "vec_id"), "node").groupBy("root").agg(F.min("vec_id").alias("component_id"))

@@ -24,6 +24,7 @@ from almoner.llm.components import components
 from almoner.llm.groups import BLOCK, blocked, matrix, sides, sorted_groups, star_rows
 from almoner.llm.tables import cut, keep, same_key_runs, text_bytes
 from almoner.llm.words import mix, shingles, words_of
+from almoner.operators.skew import keyed_join
 
 COORDINATES = 64
 #: A bucket up to this many sets is not split.
@@ -107,7 +108,7 @@ def _paths(signed: DataFrame, first: int, last: int) -> tuple[DataFrame, DataFra
     done, deeper, depth = [], [], 1
     while True:
         sizes = level.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1")
-        now = keep(level.join(sizes, "leaf").select("key", "run", "leaf", "n"), "paths")
+        now = keep(keyed_join(level, sizes, ["leaf"]).select("key", "run", "leaf", "n"), "paths")
         big = now.where(F.col("n") > SMALL)
         if depth == MAX_DEPTH or big.isEmpty():
             done.append(now)
@@ -268,7 +269,7 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, width: int = 5, recal
     texts = texts.join(left.select("text_hash", "key"), "text_hash").select("key", "text")
     sets = keep(texts.mapInArrow(_sets(width), "key binary, shingles binary"), "shingles")
     counted = hits.groupBy("leaf").agg(F.count("*").alias("n"))
-    rows = hits.drop("n").join(counted, "leaf").join(about, "key").join(sets, "key")
+    rows = keyed_join(hits.drop("n"), counted, ["leaf"]).join(about, "key").join(sets, "key")
     found = keep(sorted_groups(blocked(rows)).mapInArrow(_links(runs, threshold), "a binary, b binary, links long"), "links")
     roots = components(found)
     least_id = roots.join(reps.select(F.col("key").alias("node"), "doc_id"), "node").groupBy("root").agg(F.min("doc_id").alias("class_id"))

@@ -32,7 +32,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = os.path.join(tempfile.gettempdir(), "almoner")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

@@ -6,7 +6,8 @@ part by their token there, so two sets stay together with a chance equal to
 their similarity. Buckets of at most ``SMALL`` sets, and larger ones that a
 further token would hardly divide, are compared completely; the rest are
 split again. Runs repeat until a pair at the threshold is missed with less
-than ``1 - recall``.
+than ``1 - recall``; each draws coordinates that no other run has, so that runs
+are independent.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from almoner.llm.tables import cut, keep, same_key_runs, text_bytes
 from almoner.llm.words import mix, shingles, words_of
 from almoner.operators.skew import keyed_join
 
+#: Tokens that similarity is estimated from before sets are compared.
 COORDINATES = 64
 #: A bucket up to this many sets is not split.
 SMALL = BLOCK
@@ -35,24 +37,27 @@ MAX_DEPTH = 6
 #: A pair is looked at exactly if its tokens agree in this many standard deviations below the threshold.
 SLACK = 5.0
 _CHUNK, MAP_BITS = 4 << 20, 24
-_A = (mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_B = (mix(np.arange(1001, COORDINATES + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
-def minhash(sets: list[np.ndarray]) -> np.ndarray:
-    """Tokens (sets x coordinates) of sets that are not empty."""
+def _seeds(first: int, count: int) -> np.ndarray:
+    return (mix(np.arange(first, first + count, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
+
+
+def minhash(sets: list[np.ndarray], width: int = COORDINATES) -> np.ndarray:
+    """``width`` tokens (sets x coordinates) of sets that are not empty."""
+    factor, plus = _seeds(1, width) | np.uint32(1), _seeds(1 << 32, width)
     h = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     starts = np.cumsum([0, *map(len, sets[:-1])])
-    out = np.empty((len(sets), COORDINATES), np.uint32)
-    for j in range(COORDINATES):
-        v = h * _A[j] + _B[j]
+    out = np.empty((len(sets), width), np.uint32)
+    for j in range(width):
+        v = h * factor[j] + plus[j]
         v ^= v >> np.uint32(15)
         v *= np.uint32(0x85EBCA6B)
         out[:, j] = np.minimum.reduceat(v, starts)
     return out
 
 
-def _signed(width: int):
+def _signed(width: int, coordinates: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in cut(whole, "text", _CHUNK):
@@ -64,7 +69,7 @@ def _signed(width: int):
                     some = [sets[i] for i in full]
                     starts, flat = np.cumsum([0, *map(len, some[:-1])]), np.concatenate(some)
                     one, two = (np.add.reduceat(mix(flat ^ np.uint64(s)), starts) for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
-                    digest, sig = np.stack([one, two], 1), minhash(some)
+                    digest, sig = np.stack([one, two], 1), minhash(some, coordinates)
                     for k, i in enumerate(full):
                         keys[i], tokens[i] = digest[k].tobytes(), sig[k].tobytes()
                 yield pa.RecordBatch.from_arrays(
@@ -96,7 +101,12 @@ def runs_for(recall: float, threshold: float, depth: int) -> int:
 
 
 def _coordinate(run: int, level: int) -> int:
-    return (run * 7 + level * 29) % COORDINATES
+    """A coordinate that no other level of any run has."""
+    return run * MAX_DEPTH + level
+
+
+def coordinates_for(runs: int) -> int:
+    return max(COORDINATES, runs * MAX_DEPTH)
 
 
 def _paths(signed: DataFrame, first: int, last: int) -> tuple[DataFrame, DataFrame | None, int]:
@@ -147,7 +157,7 @@ def _candidates(runs: int, least: int):
         for t in same_key_runs(batches, ["leaf", "lo", "hi"]):
             if t.num_rows < 2:
                 continue
-            tokens, depths = matrix(t.column("tokens"), np.uint32, COORDINATES), matrix(t.column("depths"), np.uint8, runs)
+            tokens, depths = matrix(t.column("tokens"), np.uint32, coordinates_for(runs)), matrix(t.column("depths"), np.uint8, runs)
             run, hit = t.column("run")[0].as_py(), np.zeros(t.num_rows, bool)
             a, b, same = sides(t)
             agree = np.zeros((len(tokens[a]), len(tokens[b])), np.uint8)
@@ -198,7 +208,7 @@ def _links(runs: int, threshold: float):
         for t in same_key_runs(batches, ["leaf", "lo", "hi"]):
             if t.num_rows < 2:
                 continue
-            tokens, depths = matrix(t.column("tokens"), np.uint32, COORDINATES), matrix(t.column("depths"), np.uint8, runs)
+            tokens, depths = matrix(t.column("tokens"), np.uint32, coordinates_for(runs)), matrix(t.column("depths"), np.uint8, runs)
             sets = [np.frombuffer(s, np.uint64) for s in t.column("shingles").to_pylist()]
             run = t.column("run")[0].as_py()
             inter = intersections(sets).astype(np.float64)
@@ -242,21 +252,26 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, width: int = 5, recal
     exact for the pairs found; verification reads the whole sets.
     """
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    signed = keep(named.mapInArrow(_signed(width), "doc_id long, text_hash long, key binary, n_shingles long, tokens binary"), "signed")
+    signed = keep(named.mapInArrow(_signed(width, coordinates_for(runs_for(recall, threshold, MAX_DEPTH))), "doc_id long, text_hash long, key binary, n_shingles long, tokens binary"), "signed")
     # equal texts have equal keys, so one text_hash and one row of tokens stand for a key
     reps = keep(
         signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("text_hash").alias("text_hash"), F.min("tokens").alias("tokens")), "sets"
     )
-    runs = runs_for(recall, threshold, 2)
-    paths, deeper, depth = _paths(reps, 0, runs)
-    wanted = min(runs_for(recall, threshold, depth), COORDINATES)
-    if wanted > runs:
-        more, deeper_too, _ = _paths(reps, runs, wanted)
-        paths, deeper, runs = paths.unionByName(more), deeper.unionByName(deeper_too) if deeper_too else deeper, wanted
-    about, plain = reps.select("key", "tokens", "copies"), F.lit(bytes([1]) * runs)
-    if deeper is None:
+    runs, wanted, depth = 0, runs_for(recall, threshold, 2), 1
+    paths, deeper = [], []
+    while wanted > runs:
+        more, below, reached = _paths(reps, runs, wanted)
+        paths.append(more)
+        deeper += [below] if below is not None else []
+        # later runs may go deeper than those before
+        runs, depth = wanted, max(depth, reached)
+        wanted = runs_for(recall, threshold, depth)
+    paths = reduce(DataFrame.unionByName, paths)
+    about, plain = reps.select("key", F.substring("tokens", 1, 4 * coordinates_for(runs)).alias("tokens"), "copies"), F.lit(bytes([1]) * runs)
+    if not deeper:
         about = about.withColumn("depths", plain)
     else:
+        deeper = reduce(DataFrame.unionByName, deeper)
         each = [F.lpad(F.hex(F.coalesce(F.max(F.when(F.col("run") == r, F.col("depth"))), F.lit(1))), 2, "0") for r in range(runs)]
         about = about.join(deeper.groupBy("key").agg(F.unhex(F.concat(*each)).alias("depths")), "key", "left")
         about = keep(about.withColumn("depths", F.coalesce("depths", plain)), "about")

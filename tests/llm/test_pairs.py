@@ -103,6 +103,43 @@ def test_runs_reach_the_recall():
     assert 1 - (1 - agree) ** tables_for(0.9999, 0.93, 6) >= 0.9999
 
 
+@pytest.mark.parametrize("depth", range(2, ja.MAX_DEPTH + 1))
+def test_pairs_at_the_threshold_meet_in_some_run(depth):
+    """20,000 pairs of similarity 0.8: those whose tokens part on every path of ``depth`` tokens, by the operator's own tokens."""
+    n, runs = 20_000, ja.runs_for(0.9999, 0.8, depth)
+    assert ja._coordinate(runs - 1, depth - 1) < ja.coordinates_for(runs) <= ja.coordinates_for(ja.runs_for(0.9999, 0.8, ja.MAX_DEPTH))
+    values = np.random.default_rng(depth).integers(0, 1 << 63, (n, 50), dtype=np.int64).astype(np.uint64) << np.uint64(1)
+    # 40 of 50 values are shared
+    one, two = (ja.minhash(list(v), ja.coordinates_for(runs)) for v in (values[:, :45], values[:, 5:]))
+    same = one == two
+    assert abs(same.mean() - 0.8) < 0.005
+    met = np.zeros(n, bool)
+    for r in range(runs):
+        met |= same[:, [ja._coordinate(r, level) for level in range(depth)]].all(1)
+    # 2 are expected to be missed at most
+    assert n - met.sum() <= 8
+
+
+def test_runs_are_counted_again_when_later_ones_go_deeper(spark, monkeypatch):
+    """Whatever depth any runs reach, so many runs are made."""
+    asked, paths, reached = [], ja._paths, iter([2, 4, 5])
+
+    def deeper_each_time(signed, first, last):
+        asked.append((first, last))
+        done, below, depth = paths(signed, first, last)
+        return done, below, max(depth, next(reached, depth))
+
+    monkeypatch.setattr(ja, "_paths", lambda s, a, b: deeper_each_time(s, a, b))
+    monkeypatch.setattr(ja, "runs_for", lambda recall, threshold, depth: 2 * depth)
+    rows = corpus(4)
+    similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert asked == [(0, 4)]
+    asked.clear()
+    reached = iter([3, 4, 5])
+    got = similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    assert got == len(rows) and asked == [(0, 4), (4, 6), (6, 8), (8, 10)]
+
+
 def test_words_and_shingles_of_bytes():
     text = "Ünïted, THE x2 end".encode()
     w = words_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]))

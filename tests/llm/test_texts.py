@@ -188,6 +188,24 @@ def test_page_without_the_parts_around_the_article():
     assert wr.main_text(page).split("\n") == ["A & B", "One two three four bold x", "Next <p> one", "i", "ii", "c1", "c2"]
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "site no-sidebar", "right-rail-layout", "single-post no-comments", "comments-open", "col side-by-side", "sidebar"])
+@pytest.mark.parametrize("inner", ["<article><p>All of the text</p></article>", "<p>All of the text</p>"])
+def test_names_of_containers_do_not_empty_a_page(name, inner):
+    assert wr.main_text(f'<body><nav>m</nav><div class="{name}">{inner}</div><div class="site-footer">f</div></body>') == "All of the text"
+
+
+def test_comments_are_no_article_where_the_post_is_not_marked():
+    page = '<body><div class="post"><p>The post has some more words than each comment</p></div><div id="comments"><article><p>First comment</p></article><article><p>Second</p></article></div></body>'
+    assert wr.main_text(page) == "The post has some more words than each comment"
+
+
+def test_sections_and_headings_of_an_article_stay():
+    names = ["discussion", "related-work", "article-legal", "form", "notice"]
+    parts = "".join(f'<section id="{n}"><h2 id="{n}" class="{n}">On {n}</h2><p>Text of {n}</p></section>' for n in names)
+    page = f'<body><article><p>Begin</p>{parts}<div class="share-buttons">S</div><div class="related-posts">R</div><div class="cookie-notice">C</div><section id="x" class="comments">Z</section></article></body>'
+    assert wr.main_text(page).split("\n") == ["Begin", *[t for n in names for t in (f"On {n}", f"Text of {n}")]]
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<<<>>>", "</p></div>", "<!--", "<script>", "<a href='x>y", "&#xFFFFFFFF; &bogus;", "<p>" * 3000 + "x", "<div>" * 5000])
 def test_broken_pages_give_text_or_nothing(page):
     assert isinstance(wr.main_text(page), str)

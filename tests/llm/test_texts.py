@@ -223,6 +223,18 @@ def test_wrapper_finds_template_and_slots():
     assert wr.main_text("<body><article><p>One</p><p>Two</p></article></body>", copies) == "One\nTwo"
 
 
+def test_repeated_text_of_an_article_is_no_template():
+    import json
+
+    # near copies that share a good third of a marked article, or all of an unmarked page but one paragraph
+    shared = "<p>These words are said on each of the pages</p>"
+    marked = [f"<body><article>{shared}<p>Here are other words of page {i} and {i * 7} and some more {i * 3}</p></article></body>" for i in range(8)]
+    assert wr.main_text(marked[2], json.loads(wr.induce(marked))).startswith("These words are said")
+    plain = [f"<body><div>{shared}<p>And more of the same</p><p>{i}</p></div></body>" for i in range(8)]
+    assert wr.main_text(plain[2], json.loads(wr.induce(plain))) == "These words are said on each of the pages\nAnd more of the same\n2"
+    assert len(wr.different(["<p>A</p>", "<p class=x>A</p>", "<p>B</p>"])) == 2
+
+
 def brute_match(a, b):
     """Size of the largest order-keeping top-down matching, by all subsets of children."""
     if wr.label(a) != wr.label(b):

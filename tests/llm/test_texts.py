@@ -273,6 +273,21 @@ def test_extraction_of_a_table(spark):
     assert wr.extract_articles(df.where("false")).count() == 0
 
 
+def test_template_is_decided_from_all_pages_of_all_layouts(spark):
+    """Three layouts on one host, a notice that a fifth of the first one's pages word otherwise, and one on some pages only."""
+    rows, want = [], {}
+    for i in range(60):
+        text = f"Story {i} has own words {i * 7} and {i * 13} to tell at length"
+        top = "Top of all" if i % 10 else f"Top {i}"
+        kind = 0 if i < 36 else 1 if i < 56 else 2
+        more = "<div class=x2>Some pages say this</div>" if i % 2 else ""
+        body = [f"<div class=x>{top}</div><div class=y><p>{text}</p></div>{more}", f"<section class=a>Other layout</section><section class=b><p>{text}</p></section>", f"<table><tr><td>Third</td></tr></table><ul><li><p>{text}</p></li></ul>"][kind]
+        rows.append((i, "http://one.example/x", f"<body>{body}</body>"))
+        want[i] = [top, text] if kind == 0 and i % 10 == 0 else [text]
+    got = {r["page_id"]: r["_text"].split("\n") for r in wr.extract_articles(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert got == want
+
+
 # --- packing ---
 
 

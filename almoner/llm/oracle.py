@@ -181,5 +181,42 @@ with docs as (
 select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_hit, cast(coalesce(len(ids), 0) as bigint) as n_items,
        sha256(coalesce(array_to_string(ids, ','), '')) as items_sha256, n is not null as contaminated
 from docs left join covered using (doc_id) left join named using (doc_id)
+""",
+    "op13_prefix_trie": """
+with turns as (
+  select conv_id, turn, octet_length(encode(coalesce(text, ''))) as bytes,
+         sha256(octet_length(encode(coalesce(role, '')))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as told
+  from conversations where conv_id is not null
+), ranked as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, told) as i from turns
+), convs as (
+  select conv_id, conv_id - conv_id % 5 as base, count(*) as own,
+         xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+                         lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, k: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)),
+             4294967295) % 9 as h
+  from ranked group by conv_id
+), steps as (
+  select c.conv_id, i as p, told, bytes from convs c join ranked r on r.conv_id = c.base and i <= h
+  union all
+  select c.conv_id, i - c.h + least(c.h, coalesce(b.own, 0)), told, bytes
+  from convs c join ranked r on r.conv_id = c.conv_id left join convs b on b.conv_id = c.base where i > c.h
+), paths as (
+  select conv_id, p as depth, bytes, string_agg(told, '') over (partition by conv_id order by p) as path from steps
+  union all select conv_id, 0, 0, '' from convs
+), whole as (
+  select *, max(depth) over (partition by conv_id) as size, lag(path) over (partition by conv_id order by depth) as above from paths
+), nodes as (
+  select path, any_value(above) as above, min(conv_id) as conv_id, any_value(depth) as depth, count(*) as n_convs, any_value(bytes) as bytes, max(size) = any_value(depth) as leaf,
+         coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (size = depth), '') as ends
+  from whole group by path
+), kids as (
+  select above as path, count(*) as n_children from nodes where depth > 0 group by above
+), sums as (
+  select t.path, sum(leaf::int) as n_leaves, sum((n_convs - 1) * m.bytes) as saved
+  from nodes m join whole t on t.conv_id = m.conv_id and t.depth <= m.depth group by t.path
+)
+select n.conv_id, n.depth::bigint as depth, u.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves::bigint as n_leaves,
+       saved::bigint as saved_tokens, sha256(n.ends) as ends_sha256
+from nodes n join sums using (path) left join kids using (path) left join nodes u on n.depth > 0 and u.path = n.above
 """,
 }

@@ -15,6 +15,7 @@ from almoner.llm.secrets import joined, scan_secrets
 from almoner.llm.sharding import shard_documents
 from almoner.llm.tables import table
 from almoner.llm.toxicity import fit, held_out, score_documents
+from almoner.llm.tries import conversation_trie
 from almoner.llm.wrappers import extract_articles
 
 SHARDS = 16
@@ -102,6 +103,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
@@ -113,4 +118,5 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op13_prefix_trie": op13_prefix_trie,
 }

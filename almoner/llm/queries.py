@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almoner.llm.alignment import align
 from almoner.llm.chat import format_conversations, read_loss, read_turns
 from almoner.llm.contamination import find_matches, hit_words
 from almoner.llm.embeddings import near_vectors
@@ -103,6 +104,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -118,5 +123,6 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op11_alignment": op11_alignment,
     "op13_prefix_trie": op13_prefix_trie,
 }

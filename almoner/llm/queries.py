@@ -12,6 +12,7 @@ from almoner.llm.embeddings import near_vectors
 from almoner.llm.jaccard import similar_texts
 from almoner.llm.mixing import mix_sources
 from almoner.llm.packing import pack_documents
+from almoner.llm.scoring import score_texts
 from almoner.llm.secrets import joined, scan_secrets
 from almoner.llm.sharding import shard_documents
 from almoner.llm.tables import table
@@ -108,6 +109,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(table(spark, sf_dir, "documents"))
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -124,5 +129,6 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
     "op11_alignment": op11_alignment,
+    "op12_language_model": op12_language_model,
     "op13_prefix_trie": op13_prefix_trie,
 }

@@ -190,7 +190,7 @@ def test_stages_take_an_empty_table(spark):
         assert stage(spark, docs, SF).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op4_near_vectors", "op6_secrets", "op7_mixing", "op8_chat_formatting", "op9_jaccard_join", "op10_decontamination"])
+@pytest.mark.parametrize("name", ["op4_near_vectors", "op6_secrets", "op7_mixing", "op8_chat_formatting", "op9_jaccard_join", "op10_decontamination", "op13_prefix_trie"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
 

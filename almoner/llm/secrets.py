@@ -17,10 +17,10 @@ ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
 #: Strings that may be secrets: long, with a digit and a letter.
 CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
-#: Strings that are known to be none: identifiers in a fixed layout, one character over and over, placeholders, paths of plain words.
-ALLOWED = (
-    r"^(?:[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}|[-_=+/]*(.)\1+[-_=+/]*|(?i:.*(?:example|sample|placeholder|changeme|dummy|xxxx).*)|/*(?:[a-z]+[/_-])+[a-z0-9]{0,12})$"
-)
+#: Strings that are known to be none: identifiers in a fixed layout and placeholders (see also :func:`_plain`).
+ALLOWED = "^(?:[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}|(?i:.*(?:example|sample|placeholder|changeme|dummy|xxxx).*))$"
+#: Longest last part of a path of plain words.
+LAST_PART = 12
 WINDOW = 20
 #: Character classes, the narrowest first: name, form, least entropy of a window in bits per character.
 CLASSES = [("hex", "^[0-9a-fA-F]+$", 3.0), ("alnum", "^[A-Za-z0-9]+$", 3.7), ("base64", "^.+$", 3.9)]
@@ -47,27 +47,41 @@ def _spans(text: Column, pattern: str, kind: str, rank: int, wanted=None) -> Col
 def peak(word: Column) -> Column:
     """The greatest entropy of a window, as WINDOW * bits * millionths: one pass that adds and removes a character's count."""
     table = F.array(*[F.lit(bits(n)) for n in range(WINDOW + 2)])
-    code = lambda i: F.ascii(F.substring(word, i, 1)) - _FIRST
     counts = F.array_repeat(F.lit(0), _LAST - _FIRST + 1)
-    state = F.struct(counts.alias("n"), F.lit(0).cast("long").alias("s"), F.lit(None).cast("long").alias("low"))
-
-    def step(a: Column, i: Column) -> Column:
-        inn, out = code(i), F.when(i > WINDOW, code(i - WINDOW)).otherwise(-1)
+    state = F.struct(counts.alias("n"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("s"), F.lit(None).cast("long").alias("low"))
+    # characters are cut apart once, so a long string costs in proportion to its length
+    codes = F.transform(F.split(word, ""), lambda c: F.ascii(c) - _FIRST)
+    leaving = F.slice(F.concat(F.array_repeat(F.lit(-1), WINDOW), codes), F.lit(1), F.size(codes))
+    steps = F.zip_with(codes, leaving, lambda i, o: F.struct(i.alias("inn"), o.alias("out")))
+
+    def step(a: Column, x: Column) -> Column:
+        inn, out = x["inn"], x["out"]
         here, gone = F.get(a["n"], inn), F.get(a["n"], out)
         moved = a["s"] + F.get(table, here + 1) - F.get(table, here) + F.when(out >= 0, F.get(table, gone - 1) - F.get(table, gone)).otherwise(0)
         s = F.when(inn == out, a["s"]).otherwise(moved)
         n = F.transform(a["n"], lambda x, k: x + (k == inn).cast("int") - (k == out).cast("int"))
-        return F.struct(n.alias("n"), s.cast("long").alias("s"), F.when(i >= WINDOW, F.least(a["low"], s)).cast("long").alias("low"))
+        k = a["k"] + 1
+        return F.struct(n.alias("n"), k.alias("k"), s.cast("long").alias("s"), F.when(k >= WINDOW, F.least(a["low"], s)).cast("long").alias("low"))
 
-    least = F.aggregate(F.sequence(F.lit(1), F.length(word)), state, step, lambda a: a["low"])
+    least = F.aggregate(steps, state, step, lambda a: a["low"])
     return F.lit(bits(WINDOW)) - least
 
 
+def _plain(word: Column) -> Column:
+    """A path of plain words, the last one of at most LAST_PART letters and digits. Told without a pattern that repeats
+    groups: Java's matcher recurses over those."""
+    path = F.translate(F.ltrim(word, F.lit("/")), "_-", "//")
+    last = F.substring_index(path, "/", -1)
+    head = F.substring(path, F.lit(1), F.length(path) - F.length(last))
+    parts = head.rlike("^[a-z]") & ~head.rlike("[^a-z/]") & ~F.contains(head, F.lit("//"))
+    return parts & ~last.rlike("[^a-z0-9]") & (F.length(last) <= LAST_PART)
+
+
 def _random(word: Column) -> Column:
     need = F.lit(None)
     for _, form, level in reversed(CLASSES):
         need = F.when(word.rlike(form), F.lit(round(level * WINDOW * _UNIT))).otherwise(need)
-    return word.rlike("[0-9]") & word.rlike("[A-Za-z]") & ~word.rlike(ALLOWED) & (peak(word) >= need)
+    return word.rlike("[0-9]") & word.rlike("[A-Za-z]") & ~word.rlike(ALLOWED) & ~_plain(word) & (peak(word) >= need)
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:

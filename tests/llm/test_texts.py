@@ -1,6 +1,7 @@
 """Decontamination, toxicity, secrets, extraction and packing against plain versions."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -333,3 +334,31 @@ def test_packed_rows_give_every_text_back(spark):
     filled = sum(p["cu_seqlens"][-1] for p in packs)
     assert filled > 0.97 * 256 * (len(packs) - 2)
     assert pk.pack_documents(docs.where("false")).count() == 0
+
+
+#: Paths as one pattern, for Python's matcher; a string of one character over and over has not both a digit and a letter.
+PLAIN = re.compile(r"(?:[-_=+/]*(.)\1+[-_=+/]*|/*(?:[a-z]+[/_-])+[a-z0-9]{0,12})\Z")
+
+
+def test_plain_strings_equal_the_pattern(rows):
+    r = random.Random(8)
+    words = ["".join(r.choice(alphabet) for _ in range(r.randint(1, 24))) for alphabet in ("ab/_-1", "a-", "=a", "abc/_", "ab1/", "-_/") for _ in range(400)]
+    words += ["//a/b1", "a//b1", "a/B1", "some/path_of-words/abcdefghijk1", "some/path/abcdefghijkl1", "/usr/lib/x86", "aaaa1", "==aaaa--1", "a1", "-a-1", "ab_1", "ab_1_"]
+    words = [w for w in words if re.search("[0-9]", w) and re.search("[A-Za-z]", w)]
+    assert rows(words, sc._plain) == [PLAIN.match(w) is not None for w in words]
+
+
+@pytest.mark.parametrize(
+    "word",
+    ["ab_" * 100_000 + "1", "/" * 100_000 + "a1", "-" * 100_000 + "a1", "a1" * 100_000, "A1" + "a" * 100_000, "a-" * 100_000 + "Z9", "AKIA" + "A1" * 100_000, "deadbeef" * 40_000, "token=" + "x" * 200_000, "password" + " " * 100_000 + "= x"],
+)
+def test_long_candidates_end(spark, word):
+    found = sc.scan_secrets(spark.createDataFrame([(1, "see " + word + " there")], "doc_id int, text string")).first()["spans"]
+    assert all(0 <= s["start"] < s["end"] <= len(word) + 10 for s in found)
+
+
+def test_a_long_random_string_is_one_span(spark):
+    r = random.Random(9)
+    word = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(60_000))
+    found = sc.scan_secrets(spark.createDataFrame([(1, "x " + word)], "doc_id int, text string")).first()["spans"]
+    assert [(s["kind"], s["start"], s["end"]) for s in found if s["kind"] == "entropy"] == [("entropy", 2, 2 + len(word))]

@@ -14,8 +14,8 @@ def area_blocks(areas: DataFrame, keep: list[str], block: float) -> DataFrame:
     """Areas cut to coarse blocks, each with only the sides its points can need.
 
     A ray towards larger x from a point in the block meets no side that lies
-    wholly below, above or left of the block, so those are left out; blocks
-    without sides hold no inner points. Large outlines are therefore never
+    wholly below, above or left of the block, so those are left out (sides that
+    touch the block stay, for points on them); blocks without sides hold no inner points. Large outlines are therefore never
     copied whole to every block.
     """
     low = lambda a, b: lambda e: F.least(e[a], e[b])
@@ -27,7 +27,7 @@ def area_blocks(areas: DataFrame, keep: list[str], block: float) -> DataFrame:
     bands = sides.select(*keep, "e", F.explode(reached).alias("brow")).groupBy(*keep, "brow").agg(F.collect_list("e").alias("edges"))
 
     def cell(c: Column) -> Column:
-        return F.struct(c.alias("bcol"), F.filter("edges", lambda e: top("x1", "x2")(e) > c * block).alias("edges"))
+        return F.struct(c.alias("bcol"), F.filter("edges", lambda e: top("x1", "x2")(e) >= c * block).alias("edges"))
 
     left = index(F.array_min(F.transform("edges", low("x1", "x2"))))
     right = index(F.array_max(F.transform("edges", top("x1", "x2"))))
@@ -36,7 +36,7 @@ def area_blocks(areas: DataFrame, keep: list[str], block: float) -> DataFrame:
 
 
 def within(points: DataFrame, areas: DataFrame, level: str | None = None, lng: str = "longitude", lat: str = "latitude", block: float = 1.0) -> DataFrame:
-    """Each point with the ``gid`` of every area that holds it.
+    """Each point with the ``gid`` of every area that holds it in its interior; points on an outline are in none of its areas.
 
     With ``level`` only areas of that level count; otherwise the points carry
     an ``adm_level`` of their own. The join is on the block; the exact test runs on what meets there.

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almoner.functions.geo import EARTH_RADIUS_M, Grid, cell_centre, crosses, crossing_x, edges, first_cell_from, half_width_deg, to_cell
+from almoner.functions.geo import EQUATOR_M, FLATTENING, Grid, bound, cell_centre, crosses, crossing_x, edges, first_cell_from, half_width_deg, to_cell
 from almoner.operators.skew import keyed_join
 
 
@@ -65,18 +65,30 @@ def area_runs(areas: DataFrame, grid: Grid) -> DataFrame:
 
 
 def disc_spans(lng: Column, lat: Column, metres: float, grid: Grid) -> Column:
-    """Cells whose centre is at most ``metres`` from a point, as column runs."""
-    reach = math.degrees(metres / EARTH_RADIUS_M)
+    """Cells whose centre is at most ``metres`` along the spheroid from a point, as column runs.
+
+    A disc that crosses the date line goes on at the other end of the grid, with a second run in its rows; one that
+    holds a pole has whole rows there.
+    """
+    # a degree of latitude is shortest at the equator
+    reach = math.degrees(metres / (EQUATOR_M * (1 - FLATTENING) ** 2))
     first = F.greatest(first_cell_from((grid.y0 - lat - reach) / grid.px), F.lit(0))
     last = F.least(F.floor((grid.y0 - lat + reach) / grid.px - 0.5).cast("int"), F.lit(grid.nrows - 1))
 
     def in_row(row: Column) -> Column:
-        half = F.coalesce(half_width_deg(lat, grid.y0 - (row + 0.5) * grid.px, metres), F.lit(-grid.px))
-        low = first_cell_from((lng - half - grid.x0) / grid.px)
-        high = F.floor((lng + half - grid.x0) / grid.px - 0.5).cast("int")
-        return _span(row, low, high, grid)
+        def runs(half: Column) -> Column:
+            def shifted(turns: int) -> Column:
+                middle = lng + 360.0 * turns
+                low = first_cell_from((middle - half - grid.x0) / grid.px)
+                high = F.floor((middle + half - grid.x0) / grid.px - 0.5).cast("int")
+                return _span(row, low, high, grid)
+
+            around = _span(row, F.lit(0), F.lit(grid.ncols - 1), grid)
+            return F.when(half < 180, F.array(*map(shifted, (-1, 0, 1)))).otherwise(F.array(around))
+
+        return bound(F.coalesce(half_width_deg(lat, grid.y0 - (row + 0.5) * grid.px, metres), F.lit(-grid.px)), runs)
 
-    return _real(F.transform(_numbers(first, last), in_row))
+    return _real(F.flatten(F.transform(_numbers(first, last), in_row)))
 
 
 def _cell_count(spans: Column) -> Column:

@@ -313,21 +313,49 @@ def spread_over_disc(spark, sf):
     return cells.select("longitude", "latitude", "gid", "col", "row", settled("value"))
 
 
-@query
-def overlapping_discs(spark, sf):
-    """Every location row has a disc of its own: two at one spot overlap as well as two at neighbouring ones."""
+def _disc_flags(spark, sf):
+    """Spots, and the keys of those whose discs overlap: every location row has a disc of its own."""
     keys = ["longitude", "latitude", "gid"]
     spots = _spots(spark, sf)
     discs = settle(gr.disc_cells(spots, keys[:2], "n_discs", fx.DISC_METRES, _countries(spark, sf), fx.GRID))
     meeting = gr.overlapping(gr.shape_cells(discs, keys), keys)
-    several = discs.filter("n_discs > 1").select(*keys)
-    flags = meeting.unionByName(several).distinct().withColumn("overlaps", F.lit(True))
-    marked = spots.join(flags, keys, "left").withColumn("overlaps", F.coalesce("overlaps", F.lit(False)))
+    return spots, meeting.unionByName(discs.filter("n_discs > 1").select(*keys)).distinct(), keys
+
+
+@query
+def overlapping_discs(spark, sf):
+    """Two discs at one spot overlap as well as two at neighbouring ones."""
+    spots, meeting, keys = _disc_flags(spark, sf)
+    marked = spots.join(meeting.withColumn("overlaps", F.lit(True)), keys, "left").withColumn("overlaps", F.coalesce("overlaps", F.lit(False)))
     row = lambda n, overlaps: F.array_repeat(overlaps, n.cast("int"))
     each = F.concat(row(F.col("n_discs"), F.col("overlaps")), row(F.col("n_rows") - F.col("n_discs"), F.lit(False)))
     return marked.select(*keys, F.explode(each).alias("overlaps"))
 
 
+@query
+def lone_discs(spark, sf):
+    """Spots that share no cell with another disc, those without a disc included."""
+    spots, meeting, keys = _disc_flags(spark, sf)
+    return gr.not_overlapping(spots.select(*keys), meeting, keys)
+
+
+@query
+def points_on_borders(spark, sf):
+    """Points on and near outlines of all levels: those on one are in none of its areas."""
+    points, areas = fx.border_points(spark, sf), fx.areas(spark, sf)
+    leveled = points.withColumn("adm_level", F.explode(F.array(*map(F.lit, "012"))))
+    return ar.within(leveled, areas).select("point_id", "adm_level", "gid")
+
+
+@query
+def discs_across_date_line(spark, sf):
+    """Discs near the date line go on at the other end of the grid."""
+    areas = fx.date_line_areas(spark, sf)
+    spots = fx.date_line_points(spark, sf).groupBy("longitude", "latitude").agg(F.sum("financials").alias("financials"))
+    cells = gr.spread_over_disc(ar.within(spots, areas, "0"), ["longitude", "latitude"], "financials", fx.DISC_METRES, areas, fx.GRID)
+    return cells.select("longitude", "latitude", "gid", "col", "row", settled("value"))
+
+
 def _allocated(spark, sf):
     return allocate(fx.locations(spark, sf), "amount", fx.areas(spark, sf), fx.GRID, fx.DISC_METRES)
 

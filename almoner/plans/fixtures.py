@@ -50,6 +50,20 @@ def corner(axis: str, u: str, v: str) -> str:
     return f"((1 - {u}) * ((1 - {v}) * {p} + {v} * {s}) + {u} * ((1 - {v}) * {q} + {v} * {r}))"
 
 
+# points on a lattice of eighths of a nation's area: on outlines of all levels and inside; some a billionth of a degree off
+BORDER_U, BORDER_V = "(c_custkey % 9) / 8e0", "(floor(c_custkey / 9e0) % 9) / 8e0"
+BORDER_LNG = corner("x", BORDER_U, BORDER_V)
+BORDER_LAT = f"{corner('y', BORDER_U, BORDER_V)} + (floor(c_custkey / 81e0) % 3 - 1) * 1e-9"
+
+# --- areas on both sides of the date line, one per nation, and points near it
+DATE_LINE_SOUTH = "(-87.5e0 + 7 * n_nationkey)"
+_EAST = [("168.25e0", 0), ("180e0", 0), ("180e0", 6.5), ("169.5e0", 6.25)]
+_WEST = [("-180e0", 0), ("-170.25e0", 0.25), ("-171.5e0", 6.5), ("-180e0", 6.5)]
+DATE_LINE_RINGS = [[(x, f"({DATE_LINE_SOUTH} + {y}e0)") for x, y in ring] for ring in (_EAST, _WEST)]
+_OFF = "((c_custkey * 7919 % 800) * 2 - 799) / 400e0"
+DATE_LINE_LNG = f"case when {_OFF} > 0 then {_OFF} - 180e0 else {_OFF} + 180e0 end"
+DATE_LINE_LAT = f"{DATE_LINE_SOUTH} + 0.5e0 + (c_custkey * 104729 % 500) / 100e0 + 0.0013e0"
+
 # --- gazetteer: parts as places
 PLACE = "p_name || ' ' || translate(lpad(cast(p_partkey * 104729 % 9999991 as varchar(7)), 7, '0'), '0123456789', 'bcdfghjklm')"
 ALTERNATES = f"case p_partkey % 3 when 0 then '' when 1 then {PLACE} || ',' || p_brand else p_brand || '|x,,' || {PLACE} end"
@@ -150,6 +164,26 @@ def areas(spark: SparkSession, sf: str) -> DataFrame:
     return level(0, 1).unionByName(level(1, 2)).unionByName(level(2, 4))
 
 
+def border_points(spark: SparkSession, sf: str) -> DataFrame:
+    """``point_id, longitude, latitude``"""
+    nations = table(spark, sf, "nation").select("n_nationkey", *[F.expr(e).alias(n) for n, e in CORNERS.items()])
+    met = table(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    return met.select(F.col("c_custkey").alias("point_id"), F.expr(BORDER_LNG).alias("longitude"), F.expr(BORDER_LAT).alias("latitude"))
+
+
+def date_line_areas(spark: SparkSession, sf: str) -> DataFrame:
+    """``gid, adm_level, geom``: every area has a part on either side."""
+    rings = F.array(*[F.array(*[F.struct(F.expr(x).alias("x"), F.expr(y).alias("y")) for x, y in ring]) for ring in DATE_LINE_RINGS])
+    return table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("gid"), F.lit("0").alias("adm_level"), rings.alias("geom"))
+
+
+def date_line_points(spark: SparkSession, sf: str) -> DataFrame:
+    """``longitude, latitude, financials``"""
+    met = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    cents = F.col("c_custkey").cast("decimal(18,0)") * 100 + 1
+    return met.select(F.expr(DATE_LINE_LNG).alias("longitude"), F.expr(DATE_LINE_LAT).alias("latitude"), (cents / 100).cast("decimal(20,2)").alias("financials"))
+
+
 def gazetteer(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").selectExpr(
         "p_partkey as geonameid", f"{PLACE} as name", "p_name as asciiname", f"{ALTERNATES} as alternatenames",

@@ -7,7 +7,7 @@ like length, cells are tested one by one.
 
 from __future__ import annotations
 
-from almoner.functions.geo import EARTH_RADIUS_M
+from almoner.functions.geo import EARTH_RADIUS_M, EQUATOR_M, FLATTENING, PLACES
 from almoner.operators.benford import EXPECTED
 from almoner.operators.vocabulary import TAGS
 from almoner.plans import fixtures as fx
@@ -314,28 +314,38 @@ def UNITS(count: str) -> str:  # noqa: N802
 def _on_grid(g, metres: float) -> dict[str, str]:
     """Cells of areas, discs and points on a grid, each as a statement part."""
     x, y = f"({g.x0}e0 + (c.col + 0.5e0) * {g.px}e0)", f"({g.y0}e0 - (c.row + 0.5e0) * {g.px}e0)"
-    reach = metres / 111000
+    # no degree of latitude is shorter than this
+    reach = metres / 110000
     wide = f"{reach}e0 / greatest(cos(radians(least(89.9, abs(latitude) + {reach}e0))), 1e-3)"
     near = lambda middle, half, count: (
         f"unnest(range(greatest(0, cast(floor({middle} - {half} / {g.px}e0) as int) - 1), least({count}, cast(ceil({middle} + {half} / {g.px}e0) as int) + 2)))"
     )
     span = lambda low, high, count: f"unnest(range(greatest(0, cast(floor({low}) as int) - 1), least({count}, cast(ceil({high}) as int) + 1)))"
-    distance = (
-        f"2 * {EARTH_RADIUS_M}e0 * asin(least(1, sqrt(sin(radians({y} - latitude) / 2) ** 2"
-        f" + cos(radians(latitude)) * cos(radians({y})) * sin(radians({x} - longitude) / 2) ** 2)))"
+    # columns go on around the globe
+    middle = f"((longitude - {g.x0}e0) / {g.px}e0)"
+    start = f"(cast(floor({middle} - {wide} / {g.px}e0) as int) - 1)"
+    around = f"unnest(list_transform(range({start}, least({start} + {g.ncols}, cast(ceil({middle} + {wide} / {g.px}e0) as int) + 2)), lambda k: ((k % {g.ncols}) + {g.ncols}) % {g.ncols}))"
+    reduced = lambda lat: f"atan2({1 - FLATTENING!r} * sin(radians({lat})), cos(radians({lat})))"
+    shorter = (
+        f"{FLATTENING / 2!r} * ((angle - sin(angle)) * (sin((b1 + b2) / 2) * cos((b2 - b1) / 2)) ** 2 / (cos(angle / 2) ** 2)"
+        " + coalesce((angle + sin(angle)) * (cos((b1 + b2) / 2) * sin((b2 - b1) / 2)) ** 2 / nullif(sin(angle / 2) ** 2, 0), 0))"
     )
     return {
         "area_cells": f"""boxed as (
         select gid, sides, {span(f"({g.y0}e0 - list_max([e.y1 for e in sides])) / {g.px}e0", f"({g.y0}e0 - list_min([e.y1 for e in sides])) / {g.px}e0", g.nrows)} as row from areas),
     near_cells as (
         select gid, sides, row, {span(f"(list_min([e.x1 for e in sides]) - {g.x0}e0) / {g.px}e0", f"(list_max([e.x1 for e in sides]) - {g.x0}e0) / {g.px}e0", g.ncols)} as col from boxed),
-    area_cells as (select gid, col, row from near_cells c where {inside(x, y)})""",
+    area_cells as materialized (select gid, col, row from near_cells c where {inside(x, y)})""",
         "discs": f"""disc_rows as (
         select *, {near(f"(({g.y0}e0 - latitude) / {g.px}e0)", f"{reach}e0", g.nrows)} as row from held where codes = '2' and cents <> 0),
-    disc_near as (
-        select *, {near(f"((longitude - {g.x0}e0) / {g.px}e0)", wide, g.ncols)} as col from disc_rows),
-    disc_cells as (
-        select longitude, latitude, gid, cents, c.col, c.row from disc_near c join area_cells using (gid, col, row) where {distance} <= {metres}e0),
+    disc_near as (select *, {around} as col from disc_rows),
+    disc_reduced as (
+        select longitude, latitude, gid, cents, c.col, c.row, {x} as x, {reduced("latitude")} as b1, {reduced(y)} as b2
+        from disc_near c join area_cells using (gid, col, row)),
+    disc_angles as (
+        select *, 2 * asin(least(1, sqrt(sin((b2 - b1) / 2) ** 2 + cos(b1) * cos(b2) * sin(radians(x - longitude) / 2) ** 2))) as angle from disc_reduced),
+    disc_cells as materialized (
+        select longitude, latitude, gid, cents, col, row from disc_angles where {EQUATOR_M}e0 * (angle - {shorter}) <= {metres}e0),
     disc_values as (
         select *, {UNITS("n_cells")} as value from (
             select *, count(*) over (partition by longitude, latitude, gid) as n_cells from disc_cells))""",
@@ -385,16 +395,52 @@ ORACLE["sum_by_area_level"] = f"with {LOCS}, {AREAS}, {SPOT_AREAS} select gid, c
 ORACLE["spread_over_disc"] = f"""
     with {LOCS}, {AREAS}, {SPOT_AREAS}, {AREA_CELLS}, {DISCS}
     select longitude, latitude, gid, {INT_CELL}, {settled("value")} as value from disc_values"""
-ORACLE["overlapping_discs"] = f"""
-    with {LOCS}, {AREAS}, {SPOT_AREAS}, {AREA_CELLS}, {DISCS},
-    location_rows as (
+DISC_ROWS = f"""{LOCS}, {AREAS}, {SPOT_AREAS}, {AREA_CELLS}, {DISCS},
+    location_rows as materialized (
         select row_number() over () as n, longitude, latitude, gid, share_cents from located join areas on adm_level = '0'
         where precision_code = '2' and longitude is not null and latitude is not null and {inside("longitude", "latitude")}),
-    own_cells as (
+    own_cells as materialized (
         select n, col, row from location_rows join disc_cells using (longitude, latitude, gid) where share_cents <> 0),
-    crowded as (
-        select col, row from own_cells group by col, row having count(distinct n) > 1)
-    select longitude, latitude, gid, n in (select n from own_cells join crowded using (col, row)) as overlaps from location_rows"""
+    crowded as materialized (
+        select col, row from own_cells group by col, row having min(n) <> max(n)),
+    meeting as materialized (
+        select distinct n from own_cells join crowded using (col, row)),
+    flagged as (
+        select longitude, latitude, gid, m.n is not null as overlaps from location_rows l left join meeting m on l.n = m.n)"""
+ORACLE["overlapping_discs"] = f"with {DISC_ROWS} select * from flagged"
+ORACLE["lone_discs"] = f"with {DISC_ROWS} select longitude, latitude, gid from flagged f group by 1, 2, 3 having not bool_or(f.overlaps)"
+
+
+def on_outline(x: str, y: str) -> str:
+    """By exact products of decimals."""
+    d = lambda v: f"cast({v} as decimal(16,{PLACES}))"
+    return (
+        f"len([1 for e in sides if {x} between least(e.x1, e.x2) and greatest(e.x1, e.x2) and {y} between least(e.y1, e.y2) and greatest(e.y1, e.y2)"
+        f" and ({d('e.x2')} - {d('e.x1')}) * ({d(y)} - {d('e.y1')}) = ({d('e.y2')} - {d('e.y1')}) * ({d(x)} - {d('e.x1')})]) > 0"
+    )
+
+
+ORACLE["points_on_borders"] = f"""
+    with {AREAS}, points as (
+        select c_custkey as point_id, {fx.BORDER_LNG} as longitude, {fx.BORDER_LAT} as latitude
+        from customer join (select n_nationkey, {", ".join(f"{e} as {n}" for n, e in fx.CORNERS.items())} from nation) on c_nationkey = n_nationkey)
+    select point_id, adm_level, gid from points, areas where {inside("longitude", "latitude")} and not {on_outline("longitude", "latitude")}"""
+
+
+def _ring(points: list[tuple[str, str]]) -> str:
+    return ", ".join(f"struct_pack(x1 := {a[0]}, y1 := {a[1]}, x2 := {b[0]}, y2 := {b[1]})" for a, b in zip(points, points[1:] + points[:1], strict=True))
+
+
+ORACLE["discs_across_date_line"] = f"""
+    with areas as (
+        select cast(n_nationkey as bigint) as gid, [{", ".join(map(_ring, fx.DATE_LINE_RINGS))}] as sides from nation),
+    spots as (
+        select {fx.DATE_LINE_LNG} as longitude, {fx.DATE_LINE_LAT} as latitude, sum(c_custkey * 100 + 1) as cents
+        from customer join nation on c_nationkey = n_nationkey group by 1, 2),
+    held as (
+        select '2' as codes, longitude, latitude, cents, gid from spots, areas where {inside("longitude", "latitude")}),
+    {AREA_CELLS}, {DISCS}
+    select longitude, latitude, gid, {INT_CELL}, {settled("value")} as value from disc_values"""
 ORACLE["allocate_money"] = f"{ALLOCATED} select layer, {INT_CELL}, {settled("value")} as value from layers where value is not null"
 ORACLE["export_grid"] = ORACLE["allocate_money"]
 ORACLE["allocate_fine"] = f"""

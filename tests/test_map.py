@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from almoner.functions.geo import EARTH_RADIUS_M, Grid
+from almoner.functions import geo
+from almoner.functions.geo import Grid
 from almoner.operators import areas as ar
 from almoner.operators import grid as gr
 from almoner.plans.allocation import allocate
@@ -35,8 +36,30 @@ def cells_in(rings):
 
 
 def metres(x1, y1, x2, y2):
-    a = math.sin(math.radians(y2 - y1) / 2) ** 2 + math.cos(math.radians(y1)) * math.cos(math.radians(y2)) * math.sin(math.radians(x2 - x1) / 2) ** 2
-    return 2 * EARTH_RADIUS_M * math.asin(math.sqrt(a))
+    """Vincenty's way along the WGS84 spheroid."""
+    a, f = 6378137.0, 1 / 298.257223563
+    b = (1 - f) * a
+    u, v = (math.atan((1 - f) * math.tan(math.radians(y))) if abs(y) < 90 else math.radians(y) for y in (y1, y2))
+    way = math.radians((x2 - x1 + 180) % 360 - 180)
+    lam = way
+    for _ in range(100):
+        sin_s = math.hypot(math.cos(v) * math.sin(lam), math.cos(u) * math.sin(v) - math.sin(u) * math.cos(v) * math.cos(lam))
+        if sin_s == 0:
+            return 0.0
+        cos_s = math.sin(u) * math.sin(v) + math.cos(u) * math.cos(v) * math.cos(lam)
+        s = math.atan2(sin_s, cos_s)
+        sin_a = math.cos(u) * math.cos(v) * math.sin(lam) / sin_s
+        sq = 1 - sin_a**2
+        mid = cos_s - 2 * math.sin(u) * math.sin(v) / sq if sq else 0.0
+        c = f / 16 * sq * (4 + f * (4 - 3 * sq))
+        last, lam = lam, way + (1 - c) * f * sin_a * (s + c * sin_s * (mid + c * cos_s * (2 * mid**2 - 1)))
+        if abs(lam - last) < 1e-14:
+            break
+    w = sq * (a**2 - b**2) / b**2
+    p = 1 + w / 16384 * (4096 + w * (-768 + w * (320 - 175 * w)))
+    q = w / 1024 * (256 + w * (-128 + w * (74 - 47 * w)))
+    d = q * sin_s * (mid + q / 4 * (cos_s * (2 * mid**2 - 1) - q / 6 * mid * (4 * sin_s**2 - 3) * (4 * mid**2 - 3)))
+    return b * p * (s - d)
 
 
 @pytest.fixture(scope="module")
@@ -164,3 +187,94 @@ def test_hot_project_and_spot_do_not_multiply_rows(spark):
     # each of 30000 rows receives one share of each of 100 amounts: 30000 * sum(round(a / 300, 2))
     assert [(r["layer"], r["col"], r["row"]) for r in got] == [("prec1", 22, 15)]
     assert float(got[0]["value"]) == pytest.approx(30000 * sum(math.floor(a / 3 + 0.5) / 100 for a in range(100)))
+
+
+def rings_of(*rings):
+    return [[{"x": x, "y": y} for x, y in r] for r in rings]
+
+
+def gids(spark, areas, points, block=1.0):
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(points)], "i int, longitude double, latitude double")
+    found = {}
+    for r in ar.within(df, spark.createDataFrame(areas, AREA), "0", block=block).collect():
+        found.setdefault(r["i"], set()).add(r["gid"])
+    return [found.get(i, set()) for i in range(len(points))]
+
+
+@pytest.mark.parametrize("block", [0.3, 1.0, 7.0])
+def test_points_on_an_outline_are_outside(spark, block):
+    unit = [(1, "0", rings_of([(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]))]
+    border = [(x / 4, y) for x in range(5) for y in (0, 1)] + [(x, y / 4) for y in range(5) for x in (0, 1)]
+    assert gids(spark, unit, border, block) == [set()] * len(border)
+    near = 1e-9
+    inner = [(near, near), (near, 0.5), (0.5, 1 - near), (1 - near, 1 - near), (0.5, 0.5)]
+    outer = [(-near, 0.5), (0.5, -near), (0.5, 1 + near), (1 + near, 0.5), (0, 2), (2, 1), (-1, 1), (-1, 0), (2, 0)]
+    assert gids(spark, unit, inner, block) == [{1}] * len(inner) and gids(spark, unit, outer, block) == [set()] * len(outer)
+    # two neighbours share a side, a hole has one, a corner touches
+    two = [
+        (1, "0", rings_of([(-2, -2), (0, -2), (0, 2), (-2, 2)])),
+        (2, "0", rings_of([(0, -2), (2, -2), (2, 2), (0, 2)], [(0.5, -0.5), (1.5, -0.5), (1.5, 0.5), (0.5, 0.5)])),
+        (3, "0", rings_of([(0, 0), (1, 1), (0.5, 3), (-0.5, 3)])),
+    ]
+    two = [(g, lv, [[{"x": float(p["x"]), "y": float(p["y"])} for p in r] for r in rings]) for g, lv, rings in two]
+    points = [(0, 1.9), (0, -1), (1, 0.5), (1, 0), (0.5, 0.5), (1, 1), (-0.1, 0.5), (1.75, 0)]
+    assert gids(spark, two, points, block) == [{3}, set(), set(), set(), set(), {2}, {1}, {2}]
+
+
+def test_sides_in_decimals_are_met_by_their_digits(spark):
+    """Tenths have no exact double; a point that is on a side as written is on it."""
+    rng = random.Random(4)
+    areas, points = [], []
+    for g in range(60):
+        x, y = rng.randint(-1799, 1700) / 10, rng.randint(-899, 800) / 10
+        dx, dy = rng.randint(1, 90) / 10, rng.randint(1, 90) / 10
+        corner = lambda u, v: (float(f"{x + u:.4f}"), float(f"{y + v:.4f}"))
+        areas.append((g, "0", rings_of([corner(0, 0), corner(dx, 0.3 * dy), corner(1.3 * dx, 1.1 * dy), corner(0.2 * dx, dy)])))
+        for t in (0.1, 0.3, 0.5, 0.7):
+            points.append((g, float(f"{x + t * dx:.6f}"), float(f"{y + t * 0.3 * dy:.6f}")))
+    got = gids(spark, areas, [p[1:] for p in points])
+    assert all(g not in found for (g, *_), found in zip(points, got, strict=True))
+    inward = [(x, y + 1e-6) for _, x, y in points]
+    assert all(g in found for (g, *_), found in zip(points, gids(spark, areas, inward), strict=True))
+
+
+def test_ways_along_the_spheroid(spark):
+    rng = random.Random(6)
+    pairs = [(0.0, 0.0, 1.0, 0.0), (0.0, 0.0, 0.0, 1.0), (10.0, 89.0, -170.0, 89.5), (179.9, 5.0, -179.9, 5.1), (1.0, 2.0, 1.0, 2.0)]
+    pairs += [(rng.uniform(-180, 180), y := rng.uniform(-89, 89), rng.uniform(-180, 180), max(-89.0, min(89.0, y + rng.uniform(-40, 40)))) for _ in range(200)]
+    pairs += [(x := rng.uniform(-180, 180), y := rng.uniform(-88, 88), x + rng.uniform(-0.3, 0.3), y + rng.uniform(-0.3, 0.3)) for _ in range(200)]
+    df = spark.createDataFrame(pairs, "a double, b double, c double, d double")
+    got = [r[0] for r in df.select(geo.spheroid_m(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).collect()]
+    assert all(abs(g - metres(*p)) <= 1e-4 * metres(*p) for g, p in zip(got, pairs, strict=True) if metres(*p) < 1.5e7)
+
+
+def spans_of(spark, points, reach, grid):
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(points)], "i int, x double, y double")
+    out = []
+    for r in df.select("i", gr.disc_spans(F.col("x"), F.col("y"), reach, grid).alias("s")).orderBy("i").collect():
+        cells = [(c, s["row"]) for s in r["s"] for c in range(s["low"], s["high"] + 1)]
+        assert len(cells) == len(set(cells))
+        out.append(set(cells))
+    return out
+
+
+@pytest.mark.parametrize(("px", "reach"), [(0.1, 25000.0), (1.0, 150000.0)])
+def test_discs_go_on_across_the_date_line(spark, px, reach):
+    grid = Grid(-180.0, 90.0, px, round(360 / px), round(180 / px))
+    lats = [0.03, 12.7, -45.31, 66.6, -79.9, 85.21]
+    # as far beyond a cell's edge here as there
+    at = [spans_of(spark, [(x, y) for y in lats], reach, grid) for x in (179.93, -179.93)]
+    there = [spans_of(spark, [(x, y) for y in lats], reach, grid) for x in (89.93, -89.93)]
+    quarter = grid.ncols // 4
+    for here, other, shift in ((at[0], there[0], quarter), (at[1], there[1], -quarter)):
+        for a, b in zip(here, other, strict=True):
+            assert a == {((c + shift) % grid.ncols, r) for c, r in b} and len({c for c, _ in a}) > 1
+            assert {c < grid.ncols / 2 for c, _ in a} == {True, False}
+
+
+def test_discs_near_a_pole_are_whole_rows(spark):
+    grid = Grid(-180.0, 90.0, 0.5, 720, 360)
+    for (x, y), cells in zip([(12.3, 89.9), (-179.9, -89.6), (100.0, 88.7)], spans_of(spark, [(12.3, 89.9), (-179.9, -89.6), (100.0, 88.7)], 90000.0, grid), strict=True):
+        centre = lambda c, r: (grid.x0 + (c + 0.5) * grid.px, grid.y0 - (r + 0.5) * grid.px)
+        rows = range(6) if y > 0 else range(354, 360)
+        assert cells == {(c, r) for c in range(720) for r in rows if metres(x, y, *centre(c, r)) <= 90000}

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from almoner.functions.text import let
+
 EARTH_RADIUS_M = 6371008.8
 # fixed values: the WGS84 spheroid's equatorial radius and flattening
 EQUATOR_M, FLATTENING = 6378137.0, 1 / 298.257223563
@@ -66,11 +68,6 @@ def _reduced(lat: Column) -> Column:
     return F.atan2((1 - FLATTENING) * F.sin(F.radians(lat)), F.cos(F.radians(lat)))
 
 
-def bound(value: Column, f) -> Column:
-    """``f(value)`` with ``value`` worked out once, however often ``f`` uses it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
 def _factors(low: Column, high: Column) -> tuple[Column, Column]:
     """What two reduced latitudes bring into the series."""
     across, along = (low + high) / 2, (high - low) / 2
@@ -110,11 +107,11 @@ def half_width_deg(lat: Column, other_lat: Column, metres: float) -> Column:
             # the angle whose way is as long; it is the same for both signs of the longitude difference
             angle = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), way, lambda angle, _: way + _flattened(F.greatest(angle, at["least"]), at["p"], at["q"]))
             room = (F.pow(F.sin(angle / 2), F.lit(2.0)) - F.pow(F.sin(at["least"] / 2), F.lit(2.0))) / F.greatest(at["across"], F.lit(1e-12))
-            return bound(room, lambda r: F.when(r >= 0, F.degrees(2 * F.asin(F.sqrt(F.least(r, F.lit(1.0)))))))
+            return let(room, lambda r: F.when(r >= 0, F.degrees(2 * F.asin(F.sqrt(F.least(r, F.lit(1.0)))))))
 
-        return bound(fixed, solved)
+        return let(fixed, solved)
 
-    return bound(F.struct(_reduced(lat).alias("low"), _reduced(other_lat).alias("high")), wide)
+    return let(F.struct(_reduced(lat).alias("low"), _reduced(other_lat).alias("high")), wide)
 
 
 def edges(rings: Column) -> Column:

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almoner.functions.geo import EQUATOR_M, FLATTENING, Grid, bound, cell_centre, crosses, crossing_x, edges, first_cell_from, half_width_deg, to_cell
+from almoner.functions.geo import EQUATOR_M, FLATTENING, Grid, cell_centre, crosses, crossing_x, edges, first_cell_from, half_width_deg, to_cell
+from almoner.functions.text import let
 from almoner.operators.skew import keyed_join
 
 
@@ -86,7 +87,7 @@ def disc_spans(lng: Column, lat: Column, metres: float, grid: Grid) -> Column:
             around = _span(row, F.lit(0), F.lit(grid.ncols - 1), grid)
             return F.when(half < 180, F.array(*map(shifted, (-1, 0, 1)))).otherwise(F.array(around))
 
-        return bound(F.coalesce(half_width_deg(lat, grid.y0 - (row + 0.5) * grid.px, metres), F.lit(-grid.px)), runs)
+        return let(F.coalesce(half_width_deg(lat, grid.y0 - (row + 0.5) * grid.px, metres), F.lit(-grid.px)), runs)
 
     return _real(F.flatten(F.transform(_numbers(first, last), in_row)))
 

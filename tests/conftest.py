@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,6 +29,14 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def moved_columns(df) -> list[list[str]]:
+    """Names of the columns that each shuffle of a plan carries."""
+    jvm = df.sparkSession._jvm
+    mode = jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    told = df._jdf.queryExecution().explainString(mode)
+    return [re.findall(r"(\w+)#", found) for found in re.findall(r"\) Exchange *\nInput \[\d+\]: \[(.*)\]", told)]
+
+
 def edit_distance(a: str, b: str) -> int:
     last = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

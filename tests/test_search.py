@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from almoner.operators import gazetteer as gz
 from almoner.operators import sentences as se
-from tests.conftest import edit_distance, plan_of
+from tests.conftest import edit_distance, moved_columns, plan_of
 
 WORD = re.compile(r"\w+")
 
@@ -118,8 +118,10 @@ def brute_sentences(sources, candidates, errors, per_error):
 
 @pytest.mark.parametrize("errors,per_error", [(5, 15), (3, 4), (0, 15)])
 @pytest.mark.parametrize("broadcast", [0, 250_000])
-def test_sentences_equal_brute_force(spark, errors, per_error, broadcast, monkeypatch):
+@pytest.mark.parametrize("few", [0, 30, 1000])
+def test_sentences_equal_brute_force(spark, errors, per_error, broadcast, few, monkeypatch):
     monkeypatch.setattr(se, "BROADCAST_SEEDS", broadcast)
+    monkeypatch.setattr(se, "FEW_SEEDS", few)
     rng = random.Random(errors * 100 + per_error)
     word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.choice([1, 2, 3, 5, 9, 24])))
     texts, lines = [], []
@@ -145,6 +147,25 @@ def test_sentences_equal_brute_force(spark, errors, per_error, broadcast, monkey
     assert {(r["source_id"], r["sentence_no"], r["hit_id"], r["cost"], r["matched_text"]) for r in found} == want and want
 
 
+def test_places_of_a_seed(spark):
+    cases = [("aaaa", "aa"), ("abab ab", "ab"), ("x", "x"), ("no", "yes"), ("éaé aé", "aé"), ("a.b*a.b", "a.b"), (r"a\Eb a\Eb", r"a\Eb"), (r"\Q\E", r"\E"), ("..", ".")]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, line string, gram string")
+    got = df.filter(F.contains("line", "gram")).select("i", se.seed_places(F.col("line"), F.col("gram")).alias("p")).collect()
+    want = {i: [k for k in range(len(line)) if line.startswith(gram, k)] for i, (line, gram) in enumerate(cases)}
+    assert {r["i"]: r["p"] for r in got} == {i: p for i, p in want.items() if p}
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_lines_stay_where_they_are_read(spark, few, monkeypatch, tmp_path):
+    monkeypatch.setattr(se, "FEW_SEEDS", few)
+    spark.range(64).select(F.lit(1).alias("s"), F.col("id").alias("h"), F.lit("Now the road is open at last and the long line goes on").alias("t")).repartition(16).write.parquet(str(tmp_path / "lines"))
+    src = se.source_sentences(spark.createDataFrame([(1, "The road is open.")], "s int, t string"), "s", "t")
+    found = se.match_sentences(src, se.clean_candidates(spark.read.parquet(str(tmp_path / "lines")), "s", "h", "t"), 5, 8)
+    moved = moved_columns(found)
+    assert found.count() == 64 and any("region" in columns for columns in moved)
+    assert not any({"line", "t"} & set(columns) for columns in moved)
+
+
 def test_every_copy_of_a_sentence_is_reported(spark):
     src = spark.createDataFrame([(1, "The road is open. Other words here. The road is open. "), (2, "The road is open.")], "s int, t string")
     hits = spark.createDataFrame([(1, 7, "Now the road is open at last"), (2, 8, "nothing of the kind")], "s int, h int, t string")

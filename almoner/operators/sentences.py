@@ -219,7 +219,8 @@ def _many(candidates: DataFrame, seeds: DataFrame, q: int, small: bool) -> list[
     for mode, kinds in passes:
         wanted = seeds.filter(F.col("mode").isin(kinds)).drop("mode")
         # only candidates of sources that have such seeds are cut up
-        some = candidates.join(wanted.select("source_id").distinct(), "source_id", "left_semi")
+        sources = wanted.select("source_id").distinct()
+        some = candidates.join(F.broadcast(sources) if small else sources, "source_id", "left_semi")
         near = (F.col("place") - F.col("offset")).alias("place")
         if small:
             # the line is at hand where its places meet the seeds: only regions leave it

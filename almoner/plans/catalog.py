@@ -198,6 +198,11 @@ def geocode_two_edits(spark, sf):
     return _geocode(spark, sf, 2)
 
 
+@query
+def geocode_three_edits(spark, sf):
+    return _geocode(spark, sf, 3)
+
+
 @query
 def geocode_listing(spark, sf):
     docs = fx.place_docs(spark, sf)

@@ -177,6 +177,13 @@ TWO_EDITS = """thirds as (
         select placename, run, cost from (
             select *, levenshtein(placename, regexp_replace(run, '[^\\x00-\\x7f]', '~', 'g')) as cost from met)
         where cost <= 2)"""
+# three edits leave one of four parts as it is, moved by at most three places, and can part a name's words three times
+THREE_EDITS = TWO_EDITS.replace("thirds", "fourths").replace("length(placename) > 2", "length(placename) > 3").replace("// 3", "// 4").replace("range(3)", "range(4)").replace(
+    "range(length(run) - 2, length(run) + 3)", "range(length(run) - 3, length(run) + 4)").replace("range(-2, 3)", "range(-3, 4)").replace("m > 2 and", "m > 3 and").replace("cost <= 2", "cost <= 3").replace(
+    "(select distinct run from runs)", "(select distinct run from runs where length(run) between (select min(length(placename)) - 3 from names) and (select max(length(placename)) + 3 from names))")
+LONGEST_RUNS = LONG_RUNS.replace("lead(w, 4) over d as r5", "lead(w, 4) over d as r5, p || lead(p, 1) over d || lead(p, 2) over d || lead(p, 3) over d || lead(p, 4) over d || lead(w, 5) over d as r6").replace(
+    "r4, r5])", "r4, r5, r6])"
+)
 EXACTLY = "found as (select distinct placename, placename as run, 0 as cost from names where length(placename) > 0)"
 BEST = """best as (
         select doc_id, placename, run, cost from runs join found using (run)
@@ -193,6 +200,8 @@ ORACLE["geocode_fuzzy"] = f"""
     {_geocode(ONE_EDIT)} select {HIT}, cast(cost as int) as cost, doc_id from best join names using (placename)"""
 ORACLE["geocode_two_edits"] = f"""
     {_geocode(TWO_EDITS).replace(RUNS, LONG_RUNS)} select {HIT}, cast(cost as int) as cost, doc_id from best join names using (placename)"""
+ORACLE["geocode_three_edits"] = f"""
+    {_geocode(THREE_EDITS).replace(RUNS, LONGEST_RUNS)} select {HIT}, cast(cost as int) as cost, doc_id from best join names using (placename)"""
 ORACLE["geocode_listing"] = f"""
     {_geocode(EXACTLY)} select {HIT}, doc_id, lang, text from best join names using (placename) join docs using (doc_id)"""
 

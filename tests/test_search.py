@@ -52,7 +52,37 @@ def test_blocking_misses_no_pair(spark, errors, by_deletion):
     assert got == want and want
 
 
-@pytest.mark.parametrize("errors", [0, 1, 2])
+@pytest.mark.parametrize("errors", [1, 3])
+def test_rare_keys_miss_no_pair(spark, errors):
+    rng = random.Random(errors)
+    word = lambda n: "".join(rng.choice("ab ") for _ in range(n)) or "a"
+    names = {word(rng.randint(errors + 1, 26)) for _ in range(60)}
+    changed = []
+    for n in names:
+        for _ in range(6):
+            chars = list(n)
+            for _ in range(rng.randint(0, errors)):
+                at = rng.randrange(len(chars) + 1)
+                chars[at : at + rng.choice([0, 1])] = rng.choice(["", "b", "x"])
+            changed.append("".join(chars))
+    texts = sorted({t for t in changed if t} | {word(rng.randint(1, 17)) for _ in range(40)})
+    want = {(a, b, edit_distance(a, b)) for a in names for b in texts if edit_distance(a, b) <= errors}
+    left = spark.createDataFrame([(n,) for n in sorted(names)], "placename string")
+    right = spark.createDataFrame([(t,) for t in texts], "run string")
+    got = {tuple(r) for r in gz.similar_by_rare_keys(left, right, errors).select("placename", "run", "cost").distinct().collect()}
+    assert got == want and len(want) > 100
+
+
+def test_a_common_word_makes_no_block(spark):
+    names = spark.range(100_000).select(F.concat(F.lit("San "), F.substring(F.md5(F.col("id").cast("string")), 1, 14)).alias("placename"))
+    largest = lambda keys: keys.groupBy("key").count().agg(F.max("count")).first()[0]
+    by_segment = names.select("placename", F.explode(gz.name_keys(F.col("placename"), 3)).alias("key"))
+    # what names share by chance: a blank and two of sixteen letters
+    assert largest(by_segment) == 100_000 and largest(gz.rare_keys(names, 3)) < 600
+    assert gz.rare_keys(names, 3).groupBy("placename").count().agg(F.min("count"), F.max("count")).first()[:] == (4, 4)
+
+
+@pytest.mark.parametrize("errors", [0, 1, 2, 3])
 @pytest.mark.parametrize("limit", [0, 500_000])
 def test_geocode_equals_brute_force(spark, errors, limit, monkeypatch):
     monkeypatch.setattr(gz, "BROADCAST_KEYS", limit)

@@ -43,6 +43,34 @@ def apply_optional(df: DataFrame, *predicates: Column | None) -> DataFrame:
     return reduce(lambda d, p: d.filter(p), [p for p in predicates if p is not None], df)
 
 
+#: Samples of so many rows are taken from the tasks' first rows; the cut of larger ones is found by counting.
+FEW_ROWS = 10_000
+_DIGITS, _WHOLE = 4, 32
+
+
+def _cut(draws: DataFrame, n: int) -> tuple[str, int] | None:
+    """The draw of the n-th row in order, and how many rows with that very draw belong to the first n; none if all rows do.
+
+    Rows are counted by the first digits of their draw, then those of the
+    group with the n-th row by the next ones. The driver gets 65,536 counts a
+    round, and in the end the draws of FEW_ROWS rows at most.
+    """
+    known, left = "", n
+    while len(known) < _WHOLE:
+        group = F.substring("draw", 1, len(known) + _DIGITS).alias("group")
+        for group, count in sorted(tuple(r) for r in draws.filter(F.startswith("draw", F.lit(known))).groupBy(group).count().collect()):
+            if left <= count:
+                break
+            left -= count
+        else:
+            return None
+        known = group
+        if count <= FEW_ROWS:
+            values = sorted(r["draw"] for r in draws.filter(F.startswith("draw", F.lit(known))).collect())
+            return values[left - 1], left - values.index(values[left - 1])
+    return known, left
+
+
 def sample_records(
     df: DataFrame,
     n: int,
@@ -57,7 +85,9 @@ def sample_records(
     """Exactly ``min(n, rows)`` records, uniformly, after the optional filters.
 
     The order is a digest of key and seed: random, yet the same on every run
-    and when a lost executor's tasks are repeated.
+    and when a lost executor's tasks are repeated. For more than FEW_ROWS
+    records the last digest is found by counting, and rows are filtered where
+    they lie and sorted by all tasks. Of rows that share the last key any will do.
     """
     measured = df.withColumn("length", text_length(*texts))
     kept = apply_optional(
@@ -67,7 +97,12 @@ def sample_records(
         matches_ci("sector", sector) if sector else None,
     )
     draw = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))
-    return kept.orderBy(draw, key).limit(n)
+    if n <= FEW_ROWS:
+        return kept.orderBy(draw, key).limit(n)
+    cut = _cut(kept.select(draw.alias("draw")), n)
+    if cut:
+        kept = kept.filter(draw < cut[0]).unionByName(kept.filter(draw == cut[0]).limit(cut[1]))
+    return kept.orderBy(draw, key)
 
 
 def lookup(records: DataFrame, ids: DataFrame, id_column: str, key: str = "geonameid") -> DataFrame:

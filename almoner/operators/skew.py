@@ -39,16 +39,20 @@ def widen(df: DataFrame) -> DataFrame:
 MAP_BITS = 24
 
 
-def maybe_in(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
-    """Rows whose ``column`` may be among those of ``wanted``.
+def mark_maybe(rows: DataFrame, wanted: DataFrame, column: str, flag: str) -> DataFrame:
+    """``rows`` with a ``flag``: false where ``column`` surely is none of those of ``wanted``.
 
-    A bit map of fixed size, broadcast, spares the other rows the shuffle of
-    the join that follows. The larger ``wanted``, the more rows pass in vain.
+    A bit map of fixed size is broadcast. The larger ``wanted``, the more rows are marked in vain.
     """
     bit = F.pmod(F.xxhash64(column), F.lit(1 << MAP_BITS))
     maps = wanted.select(bit.alias("_bit")).groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_map"))
     placed = rows.withColumn("_bit", bit).withColumn("_bucket", F.bitmap_bucket_number("_bit")).withColumn("_at", F.bitmap_bit_position("_bit"))
     byte = F.conv(F.hex(F.substring(F.col("_map"), (F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     # at most 2 ** MAP_BITS / 32,768 rows of 4 KB
-    found = placed.join(F.broadcast(maps), "_bucket").filter(F.floor(byte / F.pow(F.lit(2), F.col("_at") % 8)) % 2 == 1)
-    return found.select(*rows.columns)
+    found = placed.join(F.broadcast(maps), "_bucket", "left")
+    return found.select(*rows.columns, F.coalesce(F.floor(byte / F.pow(F.lit(2), F.col("_at") % 8)) % 2 == 1, F.lit(False)).alias(flag))
+
+
+def maybe_in(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """Rows whose ``column`` may be among those of ``wanted``, which spares the others the shuffle of the join that follows."""
+    return mark_maybe(rows, wanted, column, "_maybe").filter("_maybe").select(*rows.columns)

@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.functions import text as tx
-from almoner.operators.skew import keyed_join, widen
+from almoner.operators.skew import keyed_join, mark_maybe, widen
 from almoner.operators.vocabulary import keep_pos, known_terms
+from almoner.session import settle
+
+#: Digests of repeated texts, about 20 MB of them, that are broadcast.
+BROADCAST_COPIES = 400_000
 
 
 def term_freq(
@@ -23,15 +27,32 @@ def term_freq(
     at most ``min_len`` letters, and words outside ``lexicon``, are dropped.
     """
     texts = widen(df.select(doc, text)).filter(F.col(doc).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(text).alias("text"))
-    # the n copies of a text weigh one n-th each; they are told by a 128-bit digest, so that no text has to be moved
+    # the n copies of a text weigh one n-th each; they are told by a 128-bit digest
     digest = [F.xxhash64("text").alias("_d"), F.xxhash64(F.lit(1), "text").alias("_e")]
-    copies = texts.groupBy("doc", *digest).agg(F.count("*").alias("_n")).filter("_n > 1")
-    weighed = texts.select("*", *digest).join(copies, ["doc", "_d", "_e"], "left")
+    told = texts.select("*", *digest)
+    copies = settle(told.groupBy("doc", "_d", "_e").agg(F.count("*").alias("_n")).filter("_n > 1"))
+    weighed = _weighed(told, copies, copies.count())
     words = tx.alpha_tokens(tx.drop_non_ascii(F.lower("text")))
     terms = weighed.select("doc", (1.0 / F.coalesce("_n", F.lit(1))).alias("_w"), F.explode(words).alias("term"))
     return _counted(terms, lexicon, min_len, F.round(F.sum("_w")).cast("bigint"))
 
 
+def _weighed(told: DataFrame, copies: DataFrame, count: int) -> DataFrame:
+    """Texts with ``_n``, the number of their copies if there are several.
+
+    Texts stay where they are read: copies travel to them, up to BROADCAST_COPIES of them (counted). Beyond that only
+    texts whose digest may be among them, by a bit map, are moved.
+    """
+    keys = ["doc", "_d", "_e"]
+    if not count:
+        return told.withColumn("_n", F.lit(1))
+    if count <= BROADCAST_COPIES:
+        return told.join(F.broadcast(copies), keys, "left")
+    marked = mark_maybe(told, copies, "_d", "_copied")
+    alone = marked.filter("not _copied").drop("_copied").withColumn("_n", F.lit(1).cast("bigint"))
+    return alone.unionByName(keyed_join(marked.filter("_copied").drop("_copied"), copies, keys, "left"))
+
+
 def term_freq_tagged(tagged: DataFrame, doc: str, token: str, pos: str, lexicon: DataFrame | None = None, min_len: int = 2) -> DataFrame:
     """The same for text that comes as tagged tokens, of which only ``keep_pos`` tags count."""
     kept = keep_pos(tagged, pos)

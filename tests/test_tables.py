@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from almoner.operators import extracts as ex
 from almoner.operators import shares as sh
+from almoner.operators import skew as sk
 from almoner.operators import vocabulary as vo
 from almoner.operators import weights as we
 from almoner.operators.benford import benford
 from almoner.operators.skew import keyed_join
-from tests.conftest import plan_of
+from tests.conftest import moved_columns, plan_of
 
 
 def strings(spark, values, name="v"):
@@ -174,3 +175,50 @@ def test_extract_filters_are_optional(spark):
     some = ex.project_extract(tables, purpose_prefix="R", before_year=1997)
     assert some.filter("year >= 1997 or crs_purpose_code not like 'R%'").count() == 0 and some.count() > 0
     assert ex.project_extract(tables, before_year=1).count() == 0
+
+
+@pytest.mark.parametrize("limit", [0, 400_000])
+def test_texts_are_counted_where_they_are_read(spark, monkeypatch, tmp_path, limit):
+    monkeypatch.setattr(we, "BROADCAST_COPIES", limit)
+    rows = [(i % 7, f"roads and bridges number{'abcdefgh'[i % 8]} roads") for i in range(300)] + [(8, None), (None, "roads"), (9, ""), (9, "")]
+    want = {}
+    for d, t in {r for r in rows if r[0] is not None and r[1]}:
+        for w in t.split():
+            want[d, w] = want.get((d, w), 0) + 1
+    spark.createDataFrame(rows, "d int, t string").repartition(16).write.parquet(str(tmp_path / "texts"))
+    tf = we.term_freq(spark.read.parquet(str(tmp_path / "texts")), "d", "t")
+    assert {(r["doc"], r["term"]): r["f"] for r in tf.collect()} == want
+    moved = moved_columns(tf)
+    # beyond the limit texts whose digest may be repeated are moved
+    assert moved and (limit == 0 or not any({"t", "text"} & set(c) for c in moved))
+
+
+def test_marks_are_never_wrongly_false(spark):
+    rows = spark.range(5000).withColumnRenamed("id", "k")
+    got = sk.mark_maybe(rows, rows.filter("k % 10 = 0"), "k", "m").collect()
+    assert all(r["m"] for r in got if r["k"] % 10 == 0) and sum(r["m"] for r in got) < 600
+    assert not any(r["m"] for r in sk.mark_maybe(rows, rows.limit(0), "k", "m").collect())
+
+
+@pytest.mark.parametrize("few", [0, 3, 10_000])
+def test_large_samples_are_the_first_rows_by_draw(spark, monkeypatch, few):
+    df = spark.range(3000).select(F.col("id").alias("record_id"), F.lit("a").alias("activity_code"), F.lit("t").alias("title"), F.lit("s").alias("short_description"), F.lit("l").alias("long_description"))
+    want = [r["record_id"] for r in ex.sample_records(df, 1500, seed=3).collect()]
+    monkeypatch.setattr(ex, "FEW_ROWS", few)
+    for n in (1, 100, 1500, 2999, 3000, 3001):
+        got = [r["record_id"] for r in ex.sample_records(df, n, seed=3).collect()]
+        assert got[:1500] == want[:n] and len(got) == min(n, 3000) == len(set(got))
+    plan = plan_of(ex.sample_records(df, 1500, seed=3))
+    # rows with the very last draw only
+    assert few == 10_000 or ("TakeOrdered" not in plan and "Range" in plan and "filter" in plan.lower())
+    # one key over and over
+    same = df.withColumn("record_id", F.lit(5))
+    assert ex.sample_records(same, 700, seed=3).count() == 700 and ex.sample_records(same.limit(0), 700).count() == 0
+
+
+def test_cut_counts_rows_with_the_last_draw(spark):
+    draws = spark.createDataFrame([(f"{i // 3:032x}",) for i in range(30)], "draw string")
+    order = sorted(f"{i // 3:032x}" for i in range(30))
+    for n in (1, 2, 3, 4, 15, 29, 30):
+        assert ex._cut(draws, n) == (order[n - 1], n - order.index(order[n - 1]))
+    assert ex._cut(draws, 31) is None

@@ -416,6 +416,14 @@ def sample_records(spark, sf):
     return ex.sample_records(fx.research_release(spark, sf), 100, length=(50, 2000), donor="world fund|none", sector="^(EN|fr)$", seed=7)
 
 
+@query
+def sample_large(spark, sf):
+    """More records than one task should hold."""
+    none = F.lit(None).cast("string")
+    items = fx.table(spark, sf, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("record_id"), F.col("l_returnflag").alias("activity_code"), F.concat("l_returnflag", "l_linestatus").alias("title"), none.alias("short_description"), none.alias("long_description"))
+    return ex.sample_records(items, 20000, seed=3).select("record_id", "activity_code", "length")
+
+
 @query
 def code_rule_records(spark, sf):
     release = fx.research_release(spark, sf).withColumn("length", ex.text_length("title", "short_description", "long_description"))
@@ -472,6 +480,20 @@ def read_utf16(spark, sf):
     return de.read_utf16_dump(spark, path)
 
 
+@query
+def read_utf16_by_splits(spark, sf):
+    """Lines that end with CR LF: a file is read by several tasks."""
+    path = scratch_dir(spark, "utf16")
+    fields = F.concat_ws("|", F.col("o_orderkey").cast("string"), F.concat(F.lit('"'), "o_orderpriority", F.lit(" é")), F.when(F.col("o_custkey") % 3 != 0, F.col("o_orderstatus")).otherwise(""))
+    rows = fx.table(spark, sf, "orders").select(F.floor(F.col("o_orderkey") / 20000).alias("part"), F.lit(1).alias("k"), fields.alias("value"))
+    heads = rows.select("part").distinct().select("part", F.lit(0).alias("k"), F.lit("\ufeffid|priority|status").alias("value"))
+    # a folder for every part, each line with the first byte of its end
+    lines = rows.unionByName(heads).repartition("part").sortWithinPartitions("part", "k")
+    written = lines.select("part", F.concat(F.encode(F.concat("value", F.lit("\r")), "UTF-16LE"), F.lit(b"\n")).cast("string").alias("value"))
+    written.write.option("lineSep", "\0").partitionBy("part").text(path)
+    return de.read_utf16_dump(spark, path)
+
+
 @query
 def read_uniform(spark, sf):
     path = scratch_dir(spark, "uniform")

@@ -507,6 +507,9 @@ ORACLE["sample_records"] = f"""
     where coalesce(title, short_description, long_description) is not null and length >= 50 and length < 2000
           and regexp_matches(donor, 'world fund|none', 'i') and regexp_matches(sector, '^(EN|fr)$', 'i')
     order by md5(cast(record_id as varchar) || '#7'), record_id limit 100"""
+ORACLE["sample_large"] = """
+    select l_orderkey * 10 + l_linenumber as record_id, l_returnflag as activity_code, cast(length(l_returnflag || l_linestatus) as int) as length from lineitem
+    order by md5(cast(l_orderkey * 10 + l_linenumber as varchar) || '#3'), 1 limit 20000"""
 ORACLE["code_rule_records"] = f"""
     with {RELEASE}
     select record_id, donor, sector, length from measured
@@ -539,6 +542,8 @@ ORACLE["location_lines"] = f"""
     with {LOCATIONS} select {" || '|' || ".join(LOCATION_FIELDS)} || '|' || c.a || '|' || c.b || '|' || c.c as line from locations"""
 ORACLE["api_documents"] = """
     select event_id, 'http://docs.example/' || cast(event_id as varchar) || '.txt' as txturl from events where event_type <> 'error'"""
+ORACLE["read_utf16_by_splits"] = """
+    select cast(o_orderkey as varchar) as id, '"' || o_orderpriority || ' é' as priority, case when o_custkey % 3 <> 0 then o_orderstatus end as status from orders"""
 ORACLE["read_utf16"] = "select cast(c_custkey as varchar) as id, c_name || ' é' as name, c_mktsegment as segment from customer"
 ORACLE["read_uniform"] = "select l_orderkey, l_partkey, l_suppkey from lineitem"
 ORACLE["write_delimited"] = r"""

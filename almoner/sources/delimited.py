@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,18 +19,39 @@ GAZETTEER = (
 )
 
 
+# How a dump of low byte first begins, and the bytes that end its lines.
+_LOW_FIRST, _LINE_END = b"\xff\xfe", "\r\0\n\0"
+
+
+def _lines_by_bytes(spark: SparkSession, path: str) -> bool:
+    """Whether a dump has the low byte first and lines that end with CR LF."""
+    first = spark.read.text(path, lineSep="\n", recursiveFileLookup=True).select(F.col("value").cast("binary").alias("b")).first()
+    head = bytes(first["b"]) if first else b""
+    return head.startswith(_LOW_FIRST) and head.endswith(_LINE_END[:2].encode())
+
+
 def read_utf16_dump(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
     """All files of a folder, UTF-16 with one header each, as one table of text columns.
 
-    Byte order marks go with the decoding, NULs are removed. One task reads
-    one file, so rewrite a large dump to parquet before working on it.
+    Byte order marks and header lines go, NULs are removed, empty fields are
+    null; quotes are text. With the low byte first, as dumps commonly have it,
+    CR LF at the end of lines is found by its bytes, so a file is read by as
+    many tasks as it has splits: those four bytes across units would need the
+    unit 0A00, which no valid text has. Files of one folder have one byte order.
+    Where lines end otherwise, with the high byte first or without a mark, one
+    task reads one file. Only then do broken units become U+FFFD; else they are an error.
     """
-    raw = spark.read.csv(
+    whole = spark.read.csv(
         path, sep=sep, header=True, encoding="UTF-16", multiLine=True, recursiveFileLookup=True,
         quote=NO_QUOTE, escape=NO_QUOTE,
     )
-    clean = lambda text: text.replace("\0", "").lstrip("﻿")
-    return raw.select([F.translate(F.col(f"`{c}`"), "\0", "").alias(clean(c)) for c in raw.columns])
+    names = [c.replace("\0", "").lstrip("\ufeff") for c in whole.columns]
+    if not _lines_by_bytes(spark, path):
+        return whole.select([F.translate(F.col(f"`{c}`"), "\0", "").alias(n) for c, n in zip(whole.columns, names, strict=True)])
+    raw = spark.read.text(path, lineSep=_LINE_END, recursiveFileLookup=True).select(F.col("value").cast("binary").alias("b"))
+    data = raw.filter(F.substring("b", 1, 2) != F.lit(_LOW_FIRST)).select(F.explode(F.split(F.translate(F.decode("b", "UTF-16LE"), "\0", ""), "\n")).alias("line")).filter("line != ''")
+    fields = F.split("line", F.lit(re.escape(sep)), -1)
+    return data.select(fields.alias("f")).select([F.nullif(F.get("f", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)])
 
 
 def read_uniform(spark: SparkSession, path: str, sep: str, dtype: str = "string") -> DataFrame:

@@ -1,7 +1,9 @@
 """Reading, writing, nested records, arriving files."""
 
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from almoner.functions import text as tx
@@ -20,6 +22,32 @@ def test_utf16_dump_of_several_files(spark, tmp_path):
     assert sorted(tuple(r) for r in df.collect()) == [("1", '"é'), ("2", "xy"), ("3", "z")]
 
 
+@pytest.mark.parametrize("order", ["utf-16-le", "utf-16-be"])
+@pytest.mark.parametrize("end", ["\r\n", "\n"])
+def test_one_utf16_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch, order, end):
+    rng = random.Random(2)
+    letters = ["a", "é", "\u0a05", "\u0100", "\u0d00", "\u0a0d", "\U0001f600", '"', "\0", "\u3000", " ", "\u000d" if end == "\r\n" else "x"]
+    rows = [(str(i), "x" + "".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) + "y", rng.choice(["", "z"])) for i in range(4000)]
+    body = end.join("|".join(r) for r in [("id", "te\0xt", "rest"), *rows]) + end
+    (tmp_path / "dump").mkdir()
+    (tmp_path / "dump" / "a.txt").write_bytes(("\ufeff" + body).encode(order))
+    (tmp_path / "dump" / "b.txt").write_bytes(("\ufeff" + f"id|text|rest{end}b|c{end}{end}d|e|f|g").encode(order))
+    want = sorted([(a, t.replace("\0", ""), r or None) for a, t, r in rows] + [("b", "c", None), ("d", "e", "f")])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        df = de.read_utf16_dump(spark, str(tmp_path / "dump"))
+        assert df.columns == ["id", "text", "rest"]
+        split = df.rdd.getNumPartitions()
+        got = sorted((tuple(r) for r in df.collect()), key=str)
+        monkeypatch.setattr(de, "_lines_by_bytes", lambda *_: False)
+        one = de.read_utf16_dump(spark, str(tmp_path / "dump"))
+        assert one.rdd.getNumPartitions() <= 2
+        assert got == sorted((tuple(r) for r in one.collect()), key=str) == sorted(want, key=str)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert split > 8 if (order, end) == ("utf-16-le", "\r\n") else split <= 2
+
+
 def test_uniform_table_and_replacement(spark, tmp_path):
     (tmp_path / "aid.dat.txt").write_text('"id"|"usd"\n1|2.5\n2|x\n')
     df = de.read_uniform(spark, str(tmp_path / "aid.dat.txt"), "|", "double")

@@ -114,6 +114,33 @@ def lookup(records: DataFrame, ids: DataFrame, id_column: str, key: str = "geona
     return records.join(wanted, key, "left_semi")
 
 
+#: Ranges of keys in one filter.
+RANGES = 64
+
+
+def key_ranges(ids: list, most: int = RANGES) -> list[tuple]:
+    """Ranges that hold all keys, at most so many: parted at the widest gaps between neighbours."""
+    keys = sorted(set(ids))
+    if not keys:
+        return []
+    wide = sorted(range(1, len(keys)), key=lambda i: (keys[i - 1] - keys[i], i))[: most - 1]
+    cuts = [0, *sorted(wide), len(keys)]
+    return [(keys[a], keys[b - 1]) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def lookup_few(records: DataFrame, ids: list, key: str = "geonameid") -> DataFrame:
+    """Records of a few whole-number keys (thousands at most), without a join.
+
+    The keys' ranges reach the files' statistics, so of a table stored by key
+    (:func:`almoner.sources.delimited.store_by_key`) only what can hold them is read. Null keys have no records.
+    """
+    keys = [int(i) for i in ids if i is not None]
+    if not keys:
+        return records.limit(0)
+    near = reduce(lambda a, b: a | b, [F.col(key) == low if low == high else F.col(key).between(low, high) for low, high in key_ranges(keys)])
+    return records.filter(near & F.col(key).isin(sorted(set(keys))))
+
+
 def list_distinct(df: DataFrame, keys: list[str], column: str, name: str, sep: str = "|") -> DataFrame:
     """Distinct non-null values per key, ascending, joined to one text.
 

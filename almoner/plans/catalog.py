@@ -172,6 +172,16 @@ def gazetteer_bucketed(spark, sf):
     return found.select("geonameid", "name", "population")
 
 
+@query
+def gazetteer_few_ids(spark, sf):
+    """Places of the ten parts that are sold most, read by key."""
+    path = scratch_dir(spark, "by-key")
+    de.store_by_key(fx.gazetteer(spark, sf), path, "geonameid")
+    sold = fx.table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("q"))
+    ids = [r["l_partkey"] for r in sold.orderBy(F.desc("q"), "l_partkey").limit(10).collect()]
+    return ex.lookup_few(spark.read.parquet(path), ids).select("geonameid", "name", "population")
+
+
 @query
 def gazetteer_file(spark, sf):
     path = scratch_dir(spark, "gazetteer")

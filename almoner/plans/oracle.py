@@ -129,6 +129,9 @@ ORACLE["gazetteer_lookup"] = """
     select s_suppkey as geonameid, s_name, s_nationkey, s_acctbal from supplier where s_suppkey in (select l_suppkey from lineitem)"""
 ORACLE["gazetteer_bucketed"] = f"""
     select p_partkey as geonameid, {fx.PLACE} as name, cast(p_partkey * 10 as bigint) as population from part where p_partkey in (select l_partkey from lineitem)"""
+ORACLE["gazetteer_few_ids"] = f"""
+    select p_partkey as geonameid, {fx.PLACE} as name, cast(p_partkey * 10 as bigint) as population from part
+    where p_partkey in (select l_partkey from lineitem group by l_partkey order by sum(l_quantity) desc, l_partkey limit 10)"""
 ORACLE["gazetteer_file"] = f"""
     select p_partkey as geonameid, {fx.PLACE} as name, nullif({fx.ALTERNATES}, '') as alternatenames, {fx.PLACE_LAT} as latitude,
            {fx.PLACE_LNG} as longitude, cast(p_partkey * 10 as bigint) as population, p_size as dem, '2014-09-29' as modificationdate

@@ -90,6 +90,15 @@ def bucket_gazetteer(gaz: DataFrame, table: str, buckets: int, location: str | N
     writer.saveAsTable(table)
 
 
+def store_by_key(df: DataFrame, path: str, key: str, group_bytes: int = 8 << 20) -> None:
+    """Write Parquet for quick access by key: sorted, in row groups of ``group_bytes``, with statistics and a bloom filter.
+
+    Few row groups, and few pages of them, hold any given key; what reads a few keys skips the others.
+    """
+    ordered = df.repartitionByRange(key).sortWithinPartitions(key)
+    ordered.write.option("parquet.block.size", group_bytes).option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path)
+
+
 def write_delimited(df: DataFrame, path: str, sep: str, header: bool = True, quote: str | None = None) -> None:
     """Delimited text. Without ``quote`` fields are written as they are, so scrub the separator first."""
     df.write.mode("overwrite").csv(

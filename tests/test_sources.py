@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from almoner.functions import text as tx
+from almoner.operators import extracts as ex
 from almoner.operators import sentences as se
 from almoner.sources import delimited as de
 from almoner.sources import documents as do
@@ -182,3 +183,29 @@ def test_release_check(spark, tmp_path):
     stream = spark.readStream.text(str(tmp_path / "p")).withColumnRenamed("value", "page")
     ch.check_each_batch(stream, "page", files, "path", lambda df: answers.append(df.first()["newer"]), str(tmp_path / "c")).awaitTermination()
     assert answers == [False]
+
+
+def rows_scanned(df):
+    """Rows that the scan of a plan without shuffles has given."""
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+@pytest.mark.parametrize("ids", [[5], [17, 40_000, 99_999, 250_000, 399_999, 123, 124, 310_000, 77_000, 200_000], list(range(0, 400_000, 9001)), [-4, 10**12], [None]])
+def test_few_keys_read_few_rows(spark, tmp_path, ids):
+    df = spark.range(400_000).select(F.expr("(id * 7919) % 400000").alias("geonameid"), F.md5(F.col("id").cast("string")).alias("name"))
+    de.store_by_key(df, str(tmp_path / "stored"), "geonameid", 128 << 10)
+    found = ex.lookup_few(spark.read.parquet(str(tmp_path / "stored")), ids)
+    assert sorted(r["geonameid"] for r in found.collect()) == sorted(i for i in ids if i is not None and 0 <= i < 400_000)
+    # pages of some thousand rows
+    if ids != [None]:
+        assert rows_scanned(found) < 400_000 * len(ids) / 100
+
+
+def test_key_ranges_part_at_the_widest_gaps():
+    assert ex.key_ranges([]) == [] and ex.key_ranges([3, 3]) == [(3, 3)]
+    assert ex.key_ranges([1, 2, 3, 50, 51, 900], 3) == [(1, 3), (50, 51), (900, 900)]
+    assert ex.key_ranges([1, 2, 3, 50, 51, 900], 1) == [(1, 900)]
+    many = ex.key_ranges(list(range(0, 10_000, 3)))
+    assert len(many) == ex.RANGES and many[0][0] == 0 and many[-1][1] == 9999

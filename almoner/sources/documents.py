@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almoner.functions.text import join_fields
+from almoner.functions.text import join_fields, let
 
 
 def read_source_docs(spark: SparkSession, path: str) -> DataFrame:
@@ -52,15 +54,65 @@ FIELDS = ["title", "description", "iati-identifier", "other-identifier", "partic
 TRANSACTION_FIELDS = ["value", "flow-type", "transaction-date", "transaction-type"]
 
 
-def read_activities(spark: SparkSession, path: str) -> DataFrame:
+_CLOSING = "</iati-activity>"
+# What begins and ends text in which tags are no tags.
+_COMMENT, _LITERAL = ("<!--", "-->"), ("<![CDATA[", "]]>")
+
+
+def plain_xml(text: Column) -> Column:
+    """XML without comments, and with literal sections as escaped text."""
+    after = lambda t, mark: F.substring(t, F.length(F.substring_index(t, mark, 1)) + len(mark) + 1, F.length(t))
+
+    def escaped(t: Column) -> Column:
+        for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            t = F.replace(t, F.lit(raw), F.lit(entity))
+        return t
+
+    def step(state: Column, chunk: Column) -> Column:
+        inside = F.when(state["inside"] != "", state["inside"]).when(F.startswith(chunk, F.lit(_COMMENT[0])), "comment").when(F.startswith(chunk, F.lit(_LITERAL[0])), "literal").otherwise("")
+        # a section's own opening is no part of it
+        own = F.when((state["inside"] == "") & (inside == "literal"), F.substring(chunk, F.lit(len(_LITERAL[0]) + 1), F.length(chunk))).otherwise(chunk)
+
+        def told(x: Column) -> Column:
+            kind, t = x["inside"], x["own"]
+            ends = F.when(kind == "comment", F.contains(t, F.lit(_COMMENT[1]))).when(kind == "literal", F.contains(t, F.lit(_LITERAL[1]))).otherwise(F.lit(True))
+            said = (
+                F.when(kind == "", t)
+                .when(kind == "comment", F.when(ends, after(t, _COMMENT[1])).otherwise(""))
+                .otherwise(F.when(ends, F.concat(escaped(F.substring_index(t, _LITERAL[1], 1)), after(t, _LITERAL[1]))).otherwise(escaped(t)))
+            )
+            return F.struct(F.when(ends, "").otherwise(kind).alias("inside"), F.concat(state["out"], F.array(said)).alias("out"))
+
+        return let(F.struct(inside.alias("inside"), own.alias("own")), told)
+
+    start = F.struct(F.lit("").alias("inside"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(F.split(text, r"(?=<!--|<!\[CDATA\[)"), start, step, lambda state: F.array_join(state["out"], ""))
+
+
+def read_activities(spark: SparkSession, path: str, sections: bool = True) -> DataFrame:
     """``xml``: one row per activity element.
 
     Files are cut at the closing tag, so one very large file is still read by
-    many tasks.
+    many tasks. A closing tag within a comment or a literal (CDATA) section
+    ends nothing: a first pass finds the files in which a cut lies within one
+    (their names go to the driver), and one task each reads those as a whole.
+    ``sections=False`` says that there are none and spares that pass.
     """
-    raw = spark.read.text(path, lineSep="</iati-activity>", recursiveFileLookup=True)
+    raw = spark.read.text(path, lineSep=_CLOSING, recursiveFileLookup=True)
+    pieces, whole = raw.select("value"), []
+    if sections:
+        some = F.contains("value", F.lit(_COMMENT[0])) | F.contains("value", F.lit(_LITERAL[0]))
+        left = F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+        broken = raw.select("value", F.col("_metadata.file_path").alias("file")).filter(some).filter(left.rlike(r"<!--|<!\[CDATA\["))
+        files = sorted(r["file"] for r in broken.select("file").distinct().collect())
+        if files:
+            pieces = raw.filter(~F.col("_metadata.file_path").isin(files)).select("value")
+            texts = spark.read.text(files, wholetext=True)
+            whole = [texts.select(F.explode(F.split(plain_xml(F.col("value")), _CLOSING)).alias("value"))]
+        pieces = pieces.select(F.when(some, plain_xml(F.col("value"))).otherwise(F.col("value")).alias("value"))
     body = F.regexp_extract("value", r"(?s)<iati-activity[\s>].*", 0)
-    return raw.select(body.alias("body")).filter("body != ''").select(F.concat("body", F.lit("</iati-activity>")).alias("xml"))
+    bodies = reduce(DataFrame.unionByName, [pieces, *whole]).select(body.alias("body")).filter("body != ''")
+    return bodies.select(F.concat("body", F.lit(_CLOSING)).alias("xml"))
 
 
 def flatten_locations(activities: DataFrame) -> DataFrame:

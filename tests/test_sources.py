@@ -131,6 +131,37 @@ def test_locations_of_activities(spark, tmp_path):
     )
 
 
+def test_closing_tags_in_comments_and_literal_sections_end_nothing(spark, tmp_path):
+    from xml.etree import ElementTree
+
+    odd = [
+        "<!-- </iati-activity> -->", "<![CDATA[ </iati-activity> & <b> ]]>", "<![CDATA[ <!-- ]]>", "<!-- <![CDATA[ -->", "<!-- <iati-activity> <title>no</title> -->",
+        "<!-- a </iati-activity> <![CDATA[ b </iati-activity> c -->", "<![CDATA[]]>", "<!-- - -->", "<![CDATA[ x ]] > ]]>", "plain &lt;text&gt;",
+    ]
+    rng = random.Random(3)
+    one = lambda i, k: (
+        f"<iati-activity n='{i}'><title>{''.join(rng.choice(odd) for _ in range(k))}T{i}</title>{rng.choice(odd) if k else ''}"
+        f"<description>D{i}</description><location><coordinates latitude='{i}' longitude='{i + 1}'/></location></iati-activity>"
+    )
+    (tmp_path / "in").mkdir()
+    for name, k in (("odd", 4), ("odder", 9), ("plain", 0)):
+        (tmp_path / "in" / f"{name}.xml").write_text("<iati-activities>" + "\n".join(one(i, k) for i in range(120)) + "</iati-activities>")
+    # sections that close before the next tag break no cut
+    (tmp_path / "in" / "few.xml").write_text("<iati-activities>" + "".join(f"<iati-activity><!-- <iati-activity> --><title><![CDATA[a < b]]></title><location><coordinates latitude='{i}' longitude='0'/></location></iati-activity>" for i in range(9)) + "</iati-activities>")
+    want = []
+    for f in (tmp_path / "in").iterdir():
+        for a in ElementTree.parse(f).getroot():
+            c = a.find("location/coordinates")
+            want.append(((a.findtext("title") or "").strip(), a.findtext("description") or "", c.get("latitude"), c.get("longitude")))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = do.flatten_locations(do.read_activities(spark, str(tmp_path / "in"))).select("title", "description", "latitude", "longitude").collect()
+        none = do.read_activities(spark, str(tmp_path / "in" / "plain.xml"), sections=False).count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r[0].strip(), *r[1:]) for r in got) == sorted(want) and none == 120
+
+
 def test_api_answers(spark):
     answer = json.dumps({"documents": {"D1": {"txturl": "http://a"}, "D2": {"txturl": None}, "facets": {}}})
     df = spark.createDataFrame([(answer,)], "j string")

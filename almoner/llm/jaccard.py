@@ -27,7 +27,7 @@ from almoner.llm.tables import cut, keep, same_key_runs, text_bytes
 from almoner.llm.words import mix, shingles, words_of
 from almoner.operators.skew import keyed_join
 
-#: Tokens that similarity is estimated from before sets are compared.
+#: Tokens that similarity is estimated from before sets are compared; a sketch has a byte of each.
 COORDINATES = 64
 #: A bucket up to this many sets is not split.
 SMALL = BLOCK
@@ -64,17 +64,18 @@ def _signed(width: int, coordinates: int):
                 w = words_of(*text_bytes(batch.column("text")))
                 sets = shingles(w.hashes, w.bounds, width)
                 full = [i for i, s in enumerate(sets) if len(s)]
-                keys, tokens = [None] * len(sets), [None] * len(sets)
+                keys, tokens, sketches = [None] * len(sets), [None] * len(sets), [None] * len(sets)
                 if full:
                     some = [sets[i] for i in full]
                     starts, flat = np.cumsum([0, *map(len, some[:-1])]), np.concatenate(some)
                     one, two = (np.add.reduceat(mix(flat ^ np.uint64(s)), starts) for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
                     digest, sig = np.stack([one, two], 1), minhash(some, coordinates)
+                    short = sig[:, :COORDINATES].astype(np.uint8)
                     for k, i in enumerate(full):
-                        keys[i], tokens[i] = digest[k].tobytes(), sig[k].tobytes()
+                        keys[i], tokens[i], sketches[i] = digest[k].tobytes(), sig[k].tobytes(), short[k].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.binary()), pa.array(map(len, sets), pa.int64()), pa.array(tokens, pa.binary())],
-                    ["doc_id", "text_hash", "key", "n_shingles", "tokens"],
+                    [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.binary()), pa.array(map(len, sets), pa.int64()), pa.array(tokens, pa.binary()), pa.array(sketches, pa.binary())],
+                    ["doc_id", "text_hash", "key", "n_shingles", "tokens", "sketch"],
                 )
 
     return run
@@ -138,17 +139,25 @@ def _paths(signed: DataFrame, first: int, last: int) -> tuple[DataFrame, DataFra
     return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, deeper) if deeper else None, depth
 
 
-def _together(tokens: np.ndarray, depths: np.ndarray, a: slice, b: slice, run: int) -> np.ndarray:
+def _leaves(runs: int, depth: int, reached: Column | None) -> Column:
+    """The bucket that a set ends in, in every run, as four bytes of its number: a hash down the path to the depth that
+    the set has ``reached`` there (one byte a run; 1 everywhere if there is none)."""
+    out = []
+    for r in range(runs):
+        number, last = None, None
+        for level in range(depth if reached is not None else 1):
+            number = F.xxhash64(F.lit(r) if number is None else number, _token(_coordinate(r, level)))
+            here = number if last is None else F.when(F.substring(reached, r + 1, 1) > F.lit(bytes([level])), number).otherwise(last)
+            last = here
+        out.append(F.lpad(F.hex(last.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
+    return F.unhex(F.concat(*out))
+
+
+def _first_time(leaves: np.ndarray, a: slice, b: slice, run: int) -> np.ndarray:
     """Of pairs in one bucket of ``run``: those that no earlier run has in one bucket."""
-    new = np.ones((len(tokens[a]), len(tokens[b])), bool)
+    new = np.ones((len(leaves[a]), len(leaves[b])), bool)
     for r in range(run):
-        level, here = 0, depths[a, r][:, None] == depths[b, r][None]
-        deepest = int(depths[:, r].max(initial=1))
-        while level < deepest and here.any():
-            c = _coordinate(r, level)
-            here &= (tokens[a, c][:, None] == tokens[b, c][None]) | (depths[a, r][:, None] <= level)
-            level += 1
-        new &= ~here
+        new &= leaves[a, r][:, None] != leaves[b, r][None]
     return new
 
 
@@ -157,17 +166,17 @@ def _candidates(runs: int, least: int):
         for t in same_key_runs(batches, ["leaf", "lo", "hi"]):
             if t.num_rows < 2:
                 continue
-            tokens, depths = matrix(t.column("tokens"), np.uint32, coordinates_for(runs)), matrix(t.column("depths"), np.uint8, runs)
+            sketch, leaves = matrix(t.column("sketch"), np.uint8, COORDINATES), matrix(t.column("leaves"), np.uint32, runs)
             run, hit = t.column("run")[0].as_py(), np.zeros(t.num_rows, bool)
             a, b, same = sides(t)
-            agree = np.zeros((len(tokens[a]), len(tokens[b])), np.uint8)
+            agree = np.zeros((len(sketch[a]), len(sketch[b])), np.uint8)
             for j in range(COORDINATES):
-                agree += tokens[a, j][:, None] == tokens[b, j][None]
+                agree += sketch[a, j][:, None] == sketch[b, j][None]
             ok = agree >= least
             if same:
                 np.fill_diagonal(ok, False)
             if ok.any():
-                ok &= _together(tokens, depths, a, b, run)
+                ok &= _first_time(leaves, a, b, run)
                 hit[a] |= ok.any(1)
                 hit[b] |= ok.any(0)
             if hit.any():
@@ -208,7 +217,7 @@ def _links(runs: int, threshold: float):
         for t in same_key_runs(batches, ["leaf", "lo", "hi"]):
             if t.num_rows < 2:
                 continue
-            tokens, depths = matrix(t.column("tokens"), np.uint32, coordinates_for(runs)), matrix(t.column("depths"), np.uint8, runs)
+            leaves = matrix(t.column("leaves"), np.uint32, runs)
             sets = [np.frombuffer(s, np.uint64) for s in t.column("shingles").to_pylist()]
             run = t.column("run")[0].as_py()
             inter = intersections(sets).astype(np.float64)
@@ -216,7 +225,7 @@ def _links(runs: int, threshold: float):
             linked = inter >= threshold * (sizes[:, None] + sizes[None] - inter) - 1e-9
             np.fill_diagonal(linked, False)
             a, b, _ = sides(t)
-            part, both = linked[a, b] & _together(tokens, depths, a, b, run), np.zeros_like(linked)
+            part, both = linked[a, b] & _first_time(leaves, a, b, run), np.zeros_like(linked)
             both[a, b] |= part
             both[b, a] |= part.T
             yield from star_rows(t, both)
@@ -252,10 +261,10 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, width: int = 5, recal
     exact for the pairs found; verification reads the whole sets.
     """
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    signed = keep(named.mapInArrow(_signed(width, coordinates_for(runs_for(recall, threshold, MAX_DEPTH))), "doc_id long, text_hash long, key binary, n_shingles long, tokens binary"), "signed")
+    signed = keep(named.mapInArrow(_signed(width, coordinates_for(runs_for(recall, threshold, MAX_DEPTH))), "doc_id long, text_hash long, key binary, n_shingles long, tokens binary, sketch binary"), "signed")
     # equal texts have equal keys, so one text_hash and one row of tokens stand for a key
     reps = keep(
-        signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("text_hash").alias("text_hash"), F.min("tokens").alias("tokens")), "sets"
+        signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("text_hash").alias("text_hash"), F.min("tokens").alias("tokens"), F.min("sketch").alias("sketch")), "sets"
     )
     runs, wanted, depth = 0, runs_for(recall, threshold, 2), 1
     paths, deeper = [], []
@@ -267,16 +276,18 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, width: int = 5, recal
         runs, depth = wanted, max(depth, reached)
         wanted = runs_for(recall, threshold, depth)
     paths = reduce(DataFrame.unionByName, paths)
-    about, plain = reps.select("key", F.substring("tokens", 1, 4 * coordinates_for(runs)).alias("tokens"), "copies"), F.lit(bytes([1]) * runs)
     if not deeper:
-        about = about.withColumn("depths", plain)
+        about = reps.select("key", "sketch", _leaves(runs, depth, None).alias("leaves"))
     else:
         deeper = reduce(DataFrame.unionByName, deeper)
         each = [F.lpad(F.hex(F.coalesce(F.max(F.when(F.col("run") == r, F.col("depth"))), F.lit(1))), 2, "0") for r in range(runs)]
-        about = about.join(deeper.groupBy("key").agg(F.unhex(F.concat(*each)).alias("depths")), "key", "left")
-        about = keep(about.withColumn("depths", F.coalesce("depths", plain)), "about")
+        further = reps.join(deeper.groupBy("key").agg(F.unhex(F.concat(*each)).alias("_d")), "key", "left")
+        leaves = _leaves(runs, depth, F.coalesce("_d", F.lit(bytes([1]) * runs)))
+        about = further.select("key", "sketch", leaves.alias("leaves"))
+    # a row of a bucket takes a sketch and the numbers of its buckets along, no tokens
+    about = keep(about, "about")
     least = math.floor(COORDINATES * (threshold - SLACK * math.sqrt(threshold * (1 - threshold) / COORDINATES)))
-    rows = sorted_groups(blocked(paths.select("key", "run", "leaf", "n").join(about.drop("copies"), "key")))
+    rows = sorted_groups(blocked(paths.select("key", "run", "leaf", "n").join(about, "key")))
     hits = rows.mapInArrow(_candidates(runs, least), "key binary, run int, leaf long, n long")
     hits = keep(hits.distinct(), "candidates")
     left = keep(hits.select("key").distinct().join(reps.select("key", "text_hash"), "key"), "candidates")
@@ -284,7 +295,7 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, width: int = 5, recal
     texts = texts.join(left.select("text_hash", "key"), "text_hash").select("key", "text")
     sets = keep(texts.mapInArrow(_sets(width), "key binary, shingles binary"), "shingles")
     counted = hits.groupBy("leaf").agg(F.count("*").alias("n"))
-    rows = keyed_join(hits.drop("n"), counted, ["leaf"]).join(about, "key").join(sets, "key")
+    rows = keyed_join(hits.drop("n"), counted, ["leaf"]).join(about.drop("sketch"), "key").join(reps.select("key", "copies"), "key").join(sets, "key")
     found = keep(sorted_groups(blocked(rows)).mapInArrow(_links(runs, threshold), "a binary, b binary, links long"), "links")
     roots = components(found)
     least_id = roots.join(reps.select(F.col("key").alias("node"), "doc_id"), "node").groupBy("root").agg(F.min("doc_id").alias("class_id"))
@@ -295,7 +306,7 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, width: int = 5, recal
         .select("key", F.coalesce("class_id", "doc_id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
         .where("n_links > 0"), "classes",
     )
-    return signed.drop("tokens").join(facts, "key", "left").select(
+    return signed.drop("tokens", "sketch").join(facts, "key", "left").select(
         "doc_id", "text_hash", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_shingles"
     )
 

@@ -202,3 +202,94 @@ def test_queries_equal_their_sql(spark, name):
     for t in ("documents", "embeddings", "benchmark", "conversations"):
         db.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     assert differences(QUERIES[name](spark, SF).toPandas(), db.execute(ORACLE[name]).df()) == []
+
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def plain_words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def test_stages_equal_plain_python(spark):
+    """The join keeps the first of each class of all pairs at 0.8; decontamination keeps what shares no window of ten words;
+    mixing takes each leaf's budget; packing gives every text back."""
+    import tiktoken  # noqa: F401
+
+    import corpus_pipeline as cp
+    from almoner.llm.packing import END_OF_TEXT, VOCABULARY, encoder
+    from almoner.llm.queries import MIX
+
+    docs = table(spark, SF, "documents")
+    given = [r.asDict() for r in docs.collect()]
+
+    # join
+    sets = {}
+    for d in given:
+        w = plain_words(d["text"])
+        sets[d["doc_id"]] = {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {" ".join(w)} if w else set()
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            both = len(sets[a] & sets[b])
+            if both and 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    joined = cp.jaccard_join(spark, docs, SF)
+    assert sorted(r["doc_id"] for r in joined.collect()) == [i for i in ids if find(i) == i]
+
+    # decontamination
+    windows = set()
+    for r in table(spark, SF, "benchmark").collect():
+        q = plain_words(r["text"])
+        n = min(10, len(q))
+        windows |= {(n, tuple(q[i : i + n])) for i in range(len(q) - n + 1) if n}
+    hit = lambda w: any((n, tuple(w[i : i + n])) in windows for n in {n for n, _ in windows} for i in range(len(w) - n + 1))
+    clean = cp.decontamination(spark, docs, SF)
+    assert sorted(r["doc_id"] for r in clean.collect()) == [d["doc_id"] for d in sorted(given, key=lambda d: d["doc_id"]) if not hit(plain_words(d["text"]))]
+
+    # mixing, with the tree of the query
+    def domain(source):
+        number = re.search("([0-9]+)$", source or "")
+        return "web" if number and int(number[1]) == 0 else "reference" if number and int(number[1]) < 10 else "forum"
+
+    size = lambda d: len((d["text"] or "").split())
+    leaf = lambda d: (domain(d["source"]), d["lang"] or "(none)", d["source"] or "(none)")
+    tokens, taken, longest = Counter(), Counter(), Counter()
+    for d in given:
+        tokens[leaf(d)] += size(d)
+        longest[leaf(d)] = max(longest[leaf(d)], size(d))
+    want = naive_budgets(dict(tokens), MIX, sum(tokens.values()) * 70 // 100, 2)
+    for r in cp.mixing(spark, docs, SF).collect():
+        taken[leaf(r)] += size(r)
+    assert all(want[k] - 1e-6 <= taken[k] <= want[k] + longest[k] for k in tokens if tokens[k])
+
+    # packing
+    with open(VOCABULARY, "rb") as f:
+        encode = encoder(f.read())
+    pieces = defaultdict(list)
+    for r in cp.packing(spark, docs, SF).collect():
+        for a, b, s in zip(r["cu_seqlens"], r["cu_seqlens"][1:], r["segments"], strict=False):
+            pieces[s["doc_id"]].append((s["token_start"], r["input_ids"][a:b]))
+    for d in given:
+        whole = [t for _, part in sorted(pieces[d["doc_id"]]) for t in part]
+        assert whole.pop() == END_OF_TEXT and encode.decode(whole) == (d["text"] or "")
+
+
+def test_registered_queries_return_a_row_for_every_input_row(spark):
+    from almoner.llm.queries import QUERIES
+
+    docs = table(spark, SF, "documents").count()
+    assert QUERIES["op1_sharding"](spark, SF).count() == docs
+    assert QUERIES["op5_toxicity"](spark, SF).count() == docs
+    pages = QUERIES["op3_main_text"](spark, SF).collect()
+    assert len(pages) == table(spark, SF, "pages").count() and all(r["n_chars"] == len(r["text"]) > 0 for r in pages)
+    packed = QUERIES["op2_packing"](spark, SF).select(F.explode("segments.doc_id").alias("d"))
+    assert packed.distinct().count() == docs

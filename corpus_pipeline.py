@@ -49,7 +49,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing),
 ]
 
-#: A trained network and a public tokenizer are not for SQL; tests/llm compares every stage with a brute-force version.
+#: A trained network and a public tokenizer are not for SQL. tests/llm compares the join, decontamination, mixing and packing with plain
+#: Python; of the toxicity stage it tests what it keeps by the scores, whose windows and slopes have tests of their own.
 ORACLE_SQL = None
 
 

@@ -95,7 +95,7 @@ def split_long(tokens: list[np.ndarray], length: int) -> tuple[np.ndarray, np.nd
 def pack(ids: list[int | None], tokens: list[np.ndarray], length: int, first: int, filler: int) -> Iterator[pa.RecordBatch]:
     """Packed rows of these texts, numbered from ``first``."""
     text, start, size = split_long(tokens, length)
-    bins = best_fit(size, length)
+    bins, count = best_fit(size, length), np.arange(length, dtype=np.int32)
     for k in range(0, len(bins), 512):
         some = bins[k : k + 512]
         matrix, place = np.full((len(some), length), filler, np.int32), np.zeros((len(some), length), np.int32)
@@ -105,7 +105,7 @@ def pack(ids: list[int | None], tokens: list[np.ndarray], length: int, first: in
             for p in b:
                 s, n = int(start[p]), int(size[p])
                 matrix[row, at : at + n] = tokens[text[p]][s : s + n]
-                place[row, at : at + n] = np.arange(n)
+                place[row, at : at + n] = count[:n]
                 at += n
                 sums.append(at)
             heads.append(np.array(sums, np.int32))
@@ -126,9 +126,11 @@ def pack(ids: list[int | None], tokens: list[np.ndarray], length: int, first: in
 
 def _packed(vocabulary: bytes, length: int, gather: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, number = encoder(vocabulary), TaskContext.get().partitionId() << 33
+        encode, number = encoder(vocabulary).encode_ordinary, TaskContext.get().partitionId() << 33
         ids: list[int | None] = []
         tokens: list[np.ndarray] = []
+        # copies of a text that meet in a part are encoded once
+        known: dict[str, np.ndarray] = {}
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -138,12 +140,16 @@ def _packed(vocabulary: bytes, length: int, gather: int):
                 yield b
             ids.clear()
             tokens.clear()
+            known.clear()
             held = 0
 
         for whole in batches:
             for batch in cut(whole, "text", _CHUNK):
                 for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    t = np.append(encode.encode_to_numpy(text or "", disallowed_special=()).astype(np.int32), np.int32(END_OF_TEXT))
+                    text = text or ""
+                    t = known.get(text)
+                    if t is None:
+                        t = known[text] = np.array([*encode(text), END_OF_TEXT], np.int32)
                     ids.append(name)
                     tokens.append(t)
                     held += len(t)

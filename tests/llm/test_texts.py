@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -236,6 +237,57 @@ def test_repeated_text_of_an_article_is_no_template():
     assert len(wr.different(["<p>A</p>", "<p class=x>A</p>", "<p>B</p>"])) == 2
 
 
+def test_slots_correct_a_mark_on_template():
+    import json
+
+    pages = [f"<body><article>We are looking for people all the time</article><div class=t><p>Story {i} has words of its own {i * 7}</p><p>and goes on with {i * 13} of these</p></div></body>" for i in range(8)]
+    want = "Story 3 has words of its own 21\nand goes on with 39 of these"
+    assert wr.main_text(pages[3]) == "We are looking for people all the time"
+    assert wr.main_text(pages[3], json.loads(wr.induce(pages))) == want
+
+
+def test_slots_find_the_articles_of_given_pages_without_their_tags():
+    import json
+
+    rows = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["url", "html"]).to_pylist()
+    hosts = {}
+    for r in rows:
+        if r["url"] and r["html"]:
+            hosts.setdefault(r["url"].split("/")[2], []).append(r["html"])
+    same = total = 0
+    for pages in hosts.values():
+        bare = [p.replace("<article", "<div").replace("</article", "</div") for p in pages]
+        if (wrapper := wr.induce(wr.different(bare))) is not None:
+            matcher = wr.Matcher(json.loads(wrapper))
+            same += sum(wr.main_text(a) == wr.main_text(b, matcher) for a, b in zip(pages, bare, strict=True))
+            total += len(pages)
+    assert total > 100 and same >= 0.98 * total
+
+
+def test_wrappers_of_deep_and_wide_pages():
+    import json
+
+    deep = ["<div>" * 2000 + f"<p>x {i}</p>" + "<b>" * i for i in range(4)]
+    assert wr.main_text(deep[2], json.loads(wr.induce(deep))) == "x 2"
+    wide = ["<body>" + "".join(f"<p>{'<a>t</a>' if (i * 7 + j * j) % 11 == 0 else ''}w{i} {j}</p>" for j in range(3000)) + "</body>" for i in range(4)]
+    assert wr.main_text(wide[2], json.loads(wr.induce(wide))) == wr.main_text(wide[2])
+
+
+def test_long_lists_match_like_short_ones(monkeypatch):
+    r = np.random.default_rng(3)
+    for _ in range(30):
+        a, b = (wr.Node("a", {}, [wr.Node(str(t), {}, [wr.Node("x") for _ in range(k)]) for t, k in zip(r.integers(0, 3, 9), r.integers(0, 3, 9), strict=True)]) for _ in "ab")
+        sizes = []
+        for small in (1 << 10, 0):
+            monkeypatch.setattr(wr, "SMALL_TABLE", small)
+            sizes.append(len(wr.align(wr.label, lambda n: n.children, wr.label, lambda n: n.children, a, b)))
+        assert sizes[0] == sizes[1]
+        monkeypatch.setattr(wr, "LARGE_TABLE", 0)
+        pairs = wr.align(wr.label, lambda n: n.children, wr.label, lambda n: n.children, a, b)
+        assert all(x.tag == y.tag for x, y in pairs) and len(pairs) <= sizes[0]
+        monkeypatch.undo()
+
+
 def brute_match(a, b):
     """Size of the largest order-keeping top-down matching, by all subsets of children."""
     if wr.label(a) != wr.label(b):

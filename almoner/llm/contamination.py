@@ -138,16 +138,43 @@ def _longest(symbols: np.ndarray, order: np.ndarray, block: Block) -> tuple[np.n
     return place, query, length
 
 
-def occurrences(symbols: np.ndarray, order: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """(place in the block, place in the shard) of every occurrence of every window."""
+def matches(symbols: np.ndarray, order: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in the block, place in the shard, words) of every longest match that holds a window.
+
+    A match begins where a window occurs and the words before it differ. The
+    occurrences of a window are grouped by the word before them, once however
+    often the benchmark repeats it, so pairs within a match are never formed.
+    """
     _, query, length = _longest(symbols, order, block)
     need = block.window[query]
     query = query[(length >= need) & (block.left[query] >= need)]
+    if not len(query):
+        return query, query, query
     need = block.window[query]
     first, last = (bound(symbols, order, block, query, need, after) for after in (False, True))
-    count = last - first
-    within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    return np.repeat(query, count), order[np.repeat(first, count) + within]
+    _, one, which = np.unique(np.stack([first, last]), axis=1, return_index=True, return_inverse=True)
+    which, size = which.ravel(), (last - first)[one]
+    base = np.cumsum(size) - size
+    places = order[_spread(first[one], size)]
+    before = np.where(places > 0, symbols[places - 1], np.uint64(0))
+    words, rank = np.unique(before, return_inverse=True)
+    key = np.repeat(np.arange(len(one)), size) * np.int64(len(words)) + rank.ravel()
+    by = np.lexsort((places, key))
+    places, key = places[by], key[by]
+    # what begins an item or a document has no word before it, and differs
+    mine = np.where(block.offset[query] > 0, block.hashes[query - 1], np.uint64(0))
+    at = np.minimum(np.searchsorted(words, mine), len(words) - 1)
+    same = (words[at] == mine) & (mine > 0)
+    start, end = base[which], base[which] + size[which]
+    low, high = (np.where(same, np.searchsorted(key, which * np.int64(len(words)) + at, side), end) for side in ("left", "right"))
+    s = np.concatenate([np.repeat(query, low - start), np.repeat(query, end - high)])
+    p = places[np.concatenate([_spread(start, low - start), _spread(high, end - high)])]
+    return s, p, common(symbols, p, block, s, block.left[s])
+
+
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers ``start`` to ``start + size`` of every range, one after the other."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
 
 
 def _searched(block: Block, column: str, width: int):
@@ -158,15 +185,7 @@ def _searched(block: Block, column: str, width: int):
             for batch in cut(whole, column, SHARD_BYTES):
                 w = words_of(*text_bytes(batch.column(column)))
                 symbols, order = _sorted_shard(w.hashes, w.bounds, block.depth)
-                s, p = occurrences(symbols, order, block)
-                # neighbours on a diagonal are one longer match
-                by = np.lexsort((s, p - s))
-                s, p = s[by], p[by]
-                head = np.ones(len(s), bool)
-                head[1:] = (np.diff(s) != 1) | (np.diff(p) != 1)
-                start = np.flatnonzero(head)
-                n = np.diff(np.append(start, len(s))) - 1 + block.window[s[start]] if len(s) else start
-                s, p = s[start], p[start]
+                s, p, n = matches(symbols, order, block)
                 begin = w.bounds[:-1] + np.arange(len(w.bounds) - 1)
                 doc = np.searchsorted(begin, p, "right") - 1
                 by = np.lexsort((s, p, doc))

@@ -59,6 +59,44 @@ def test_matches_equal_brute_force(spark, monkeypatch, block_bytes):
     assert {r["doc_id"] for r in clean.collect()} == {i for i, t in enumerate(docs) if not brute_hits(t, items)[1]}
 
 
+def plain_matches(w, q, window):
+    """Longest common runs of two lists of words that hold a window, by all diagonals."""
+    least, out = min(window, len(q)), []
+    for shift in range(-len(q) + 1, len(w)):
+        run = 0
+        for i in range(len(q) + 1):
+            if i < len(q) and 0 <= i + shift < len(w) and w[i + shift] == q[i]:
+                run += 1
+                continue
+            if run and run >= least:
+                out.append((i - run, i - run + shift, run))
+            run = 0
+    return sorted(out)
+
+
+@pytest.mark.parametrize("window", [1, 3, 10])
+def test_every_longest_match_is_found_once(window):
+    r = np.random.default_rng(window)
+    for letters in ("a", "ab", "abc"):
+        items = [(k, " ".join(r.choice(list(letters), int(r.integers(1, 30))))) for k in range(4)]
+        docs = [" ".join(r.choice(list(letters), int(r.integers(1, 60)))) for _ in range(5)]
+        block = co.block_of(items, window)
+        batch = pa.record_batch({"text": docs, "_n_words": [0] * 5, "_matches": pa.array([[]] * 5, pa.list_(pa.struct([])))})
+        (got,) = co._searched(block, "text", window)(iter([batch]))
+        for text, found in zip(docs, got.column("_matches").to_pylist(), strict=True):
+            want = sorted((k, *m) for k, t in items for m in plain_matches(words(text), words(t), window))
+            assert sorted((m["item_id"], m["item_start"], m["doc_start"], m["n_words"]) for m in found) == want
+
+
+def test_one_word_over_and_over():
+    block = co.block_of([(7, "a " * 3000)], 10)
+    batch = pa.record_batch({"text": ["a " * 12000], "_n_words": [0], "_matches": pa.array([[]], pa.list_(pa.struct([])))})
+    (got,) = co._searched(block, "text", 10)(iter([batch]))
+    found = got.column("_matches").to_pylist()[0]
+    # a match for every diagonal of ten words or more
+    assert len(found) == 12000 + 3000 - 2 * 10 + 1 and max(m["n_words"] for m in found) == 3000
+
+
 def test_empty_benchmark_and_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")

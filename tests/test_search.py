@@ -129,6 +129,44 @@ def test_geocode_plan_has_no_all_pairs_join(spark, monkeypatch):
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("errors", [1, 2, 3])
+def test_names_that_share_a_word_meet_by_deletions(spark, errors, monkeypatch):
+    """Pairs are not formed of all names that begin alike, and none within the edits is lost."""
+    rng = random.Random(errors)
+    word = lambda n: "".join(rng.choice("abcdé") for _ in range(n))
+    names = sorted({f"San {word(6)}" for _ in range(300)} | {f"San {word(20)}" for _ in range(5)} | {word(n) for n in (4, 5, 30)})
+    texts = set()
+    for n in rng.sample(names, 60):
+        chars = list(n)
+        for _ in range(rng.randint(0, errors)):
+            at = rng.randrange(len(chars))
+            chars[at : at + rng.choice([0, 1])] = rng.choice(["", "b", "x"])
+        texts.add("".join(chars).strip())
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(sorted(texts))], "id int, text string")
+    want = {(n, i, min(c)) for i, t in enumerate(sorted(texts)) for n in names if (c := [d for _, run in windows(t) if (d := edit_distance(n, run)) <= errors])}
+    met = []
+    within = gz._within
+    monkeypatch.setattr(gz, "_within", lambda pairs, e: met.append(pairs) or within(pairs, e))
+    monkeypatch.setattr(gz, "SHARED", {errors: 20})
+    got = {(r["placename"], r["id"], r["cost"]) for r in gz.geocode(gaz_table(spark, [(n, "") for n in names]), docs, errors, "id", ["text"]).collect()}
+    assert got == want and len(want) >= 60
+    runs = len({run for t in texts for _, run in windows(t)})
+    assert met[0].count() < runs * 60
+
+
+def test_runs_that_share_no_segment_stay_in_their_task(spark):
+    """Only runs with an unchanged segment of a name leave, whatever else a line holds; a name of few letters makes no deletions of the text."""
+    from almoner.operators.runs import key_map, runs_near, segment_keys
+
+    names = spark.createDataFrame([("Rome",), ("New York",), ("Brand#7",)], "placename string")
+    count, sizes = gz.name_sizes(names)
+    lines = spark.createDataFrame([(5, "😀 rain of Rome, " + "other words " * 2000 + "Nw York"), (None, ""), (7, "Brnd#7")], "id int, line string")
+    lengths = sorted({n for s in sizes.values() for n in s})
+    near = runs_near(lines, "id", "line", gz.run_lengths(sizes, 1), lengths, 1, key_map(segment_keys(names, 1), 2 * count)).collect()
+    found = {(r["id"], r["start"], r["run"]) for r in near}
+    assert {(5, 2, "Rome"), (5, 4003, "Nw York"), (7, 0, "Brnd#7")} <= found and len(near) < 12
+
+
 def brute_sentences(sources, candidates, errors, per_error):
     out = set()
     for (sid, no), sentence in sources.items():

@@ -10,8 +10,8 @@ from almoner.operators.areas import within
 from almoner.operators.extracts import not_null
 from almoner.operators.grid import area_runs, spread_over_disc, spread_over_runs, sum_by_cell
 from almoner.operators.shares import MONEY, location_share, project_total_share
-from almoner.operators.skew import keyed_join
-from almoner.session import settle
+from almoner.operators.skew import dealt_out, keyed_join
+from almoner.session import settle, stored
 
 # Precision code -> layer, and layer -> administrative level.
 LAYER_OF_CODE = {"1": "prec1", "2": "prec2", "3": "prec3", "4": "prec4", "5": "prec568", "6": "prec568", "8": "prec568"}
@@ -30,7 +30,9 @@ def money_at_spots(locs: DataFrame, amount: str) -> DataFrame:
     share, and a project's shares are one number, so neither a project with a
     large part of all rows nor one with many amounts multiplies rows.
     """
-    located = locs.filter(not_null("longitude", "latitude")).withColumn("layer", _lookup("precision_code", LAYER_OF_CODE))
+    located = locs.filter(not_null("longitude", "latitude")).select("project_id", "longitude", "latitude", amount, _lookup("precision_code", LAYER_OF_CODE).alias("layer"))
+    # nearly every row is a group of its own: no task holds a split's groups
+    located = dealt_out(located)
     shares = project_total_share(location_share(located, amount))
     # one location row per amount group in the input is one receiving location
     spots = located.filter(F.col("layer").isNotNull()).groupBy("project_id", "layer", "longitude", "latitude").agg(F.count("*").alias("n"))
@@ -48,7 +50,8 @@ def allocate(locs: DataFrame, amount: str, areas: DataFrame, grid: Grid, metres:
     spread evenly over the cells. Money of code 1 off the grid is the layer
     ``outside``, without a cell. Locations of other codes outside all areas are dropped.
     """
-    spots = money_at_spots(locs, amount)
+    # read for two kinds of layers, summed up once
+    spots = stored(money_at_spots(locs, amount), "spots")
     leveled = spots.withColumn("adm_level", _lookup("layer", LEVEL_OF_LAYER)).filter("adm_level is not null")
     held = within(leveled, areas).select("layer", "longitude", "latitude", "financials", "gid")
     # one checkpoint of spots with their area, read for three kinds of layers

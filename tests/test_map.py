@@ -10,7 +10,7 @@ from almoner.functions import geo
 from almoner.functions.geo import Grid
 from almoner.operators import areas as ar
 from almoner.operators import grid as gr
-from almoner.plans.allocation import allocate
+from almoner.plans.allocation import allocate, money_at_spots
 from tests.conftest import plan_of
 
 GRID = Grid(-10.0, 10.0, 0.5, 40, 40)
@@ -67,6 +67,17 @@ def shapes(spark):
     return spark.createDataFrame([(g, "0", [[{"x": x, "y": y} for x, y in r] for r in rings]) for g, rings in SHAPES.items()], AREA)
 
 
+def test_no_aggregate_holds_the_groups_of_an_input_split(spark, tmp_path):
+    """Locations are dealt out before they are counted, so a task's groups are not those of all rows that it reads."""
+    rows = [(i, "1", float(i % 90), 5.0, 1) for i in range(40)]
+    spark.createDataFrame(rows, "project_id long, precision_code string, longitude double, latitude double, amount long").write.parquet(str(tmp_path / "l"))
+    plan = plan_of(money_at_spots(spark.read.parquet(str(tmp_path / "l")), "amount"))
+    lines = plan.splitlines()
+    for at in (i for i, line in enumerate(lines) if "FileScan" in line):
+        above = next(line for line in reversed(lines[:at]) if "Aggregate" in line or "Exchange" in line)
+        assert "Exchange" in above
+
+
 @pytest.mark.parametrize("block", [0.7, 3.0, 50.0])
 def test_within_equals_brute_force(spark, shapes, block):
     rng = random.Random(1)

@@ -15,7 +15,7 @@ def read_source_docs(spark: SparkSession, path: str) -> DataFrame:
 
     Folders ``source_id=<source>``, as Spark writes them, are read as well, whatever their files are called.
     """
-    return _numbered(spark, f"{path.rstrip('/')}/*/*", r"(?:/([0-9]+)/\1\.html|/source_id=([0-9]+)/[^/]+)$", 2).select(F.col("id")[0].alias("source_id"), "html")
+    return _numbered(spark, path, r"(?:/([0-9]+)/\1\.html|/source_id=([0-9]+)/[^/]+)$", 2).select(F.col("id")[0].alias("source_id"), "html")
 
 
 def read_hit_docs(spark: SparkSession, path: str) -> DataFrame:
@@ -23,16 +23,22 @@ def read_hit_docs(spark: SparkSession, path: str) -> DataFrame:
 
     Several files of one hit are one document, in order of their names.
     """
-    docs = _numbered(spark, f"{path.rstrip('/')}/*/*/*", r"/(?:source_id=)?([0-9]+)/(?:hit_id=)?([0-9]+)/[^/]+$", 2)
+    docs = _numbered(spark, path, r"/(?:source_id=)?([0-9]+)/(?:hit_id=)?([0-9]+)/[^/]+$", 2)
     parts = docs.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("file", "html"))).alias("parts"))
     html = F.array_join(F.transform("parts", lambda p: p["html"]), "\n").alias("html")
     return parts.select(F.col("id")[0].alias("source_id"), F.col("id")[1].alias("hit_id"), html)
 
 
 def _numbered(spark: SparkSession, path: str, pattern: str, groups: int) -> DataFrame:
-    """``id`` (the groups of ``pattern`` that are not empty), ``file, html`` of the files whose path fits."""
-    read = spark.read.text(path, wholetext=True)
-    found = F.array(*[F.regexp_extract("_metadata.file_path", pattern, k + 1) for k in range(groups)])
+    """``id`` (the groups of ``pattern`` that are not empty), ``file, html`` of the files whose path below ``path`` fits.
+
+    Folders are listed from the top, by tasks where there are many; a pattern of folders would be expanded file by file on the driver.
+    """
+    read = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    depth = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).depth()
+    below = rf"^[^:/]+:(?://[^/]*)?(?:/[^/]*){{{depth}}}{pattern}"
+    found = F.array(*[F.regexp_extract("_metadata.file_path", below, k + 1) for k in range(groups)])
     named = read.select(F.filter(found, lambda g: g != "").alias("id"), F.col("_metadata.file_path").alias("file"), F.col("value").alias("html"))
     return named.filter(F.size("id") > 0)
 

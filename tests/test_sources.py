@@ -12,6 +12,7 @@ from almoner.operators import sentences as se
 from almoner.sources import delimited as de
 from almoner.sources import documents as do
 from almoner.streaming import changes as ch
+from tests.conftest import plan_of
 
 
 def test_utf16_dump_of_several_files(spark, tmp_path):
@@ -116,6 +117,18 @@ def test_document_folders(spark, tmp_path):
     ]
 
 
+def test_folders_are_listed_from_the_top(spark, tmp_path):
+    base = tmp_path / "7"
+    for path in ("1/5/a.html", "1/5/b.html", "2/source_id=9", "3/8/4/deep.html", "source_id=2/hit_id=6/part-0", "4/x/c.html"):
+        (base / path).parent.mkdir(parents=True, exist_ok=True)
+        (base / path).write_text(path)
+    hits = do.read_hit_docs(spark, str(base))
+    assert "InMemoryFileIndex(1 paths)" in plan_of(hits)
+    assert sorted(map(tuple, hits.collect())) == [("1", "5", "1/5/a.html\n1/5/b.html"), ("2", "6", "source_id=2/hit_id=6/part-0")]
+    (tmp_path / "none").mkdir()
+    assert do.read_hit_docs(spark, f"{tmp_path}/none/").count() == 0
+
+
 def test_locations_of_activities(spark, tmp_path):
     one = (
         '<iati-activity default="x"><title>A &amp; B</title><sector code="1">S1</sector><sector>S2</sector>'

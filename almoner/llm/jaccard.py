@@ -25,7 +25,7 @@ from almoner.llm.components import components
 from almoner.llm.groups import BLOCK, blocked, matrix, sides, sorted_groups, star_rows
 from almoner.llm.tables import cut, keep, same_key_runs, text_bytes
 from almoner.llm.words import mix, shingles, words_of
-from almoner.operators.skew import keyed_join
+from almoner.operators.skew import keyed_join, maybe_in
 
 #: Tokens that similarity is estimated from before sets are compared; a sketch has a byte of each.
 COORDINATES = 64
@@ -110,47 +110,62 @@ def coordinates_for(runs: int) -> int:
     return max(COORDINATES, runs * MAX_DEPTH)
 
 
+def _bucket(run: int, depth: int) -> Column:
+    """The bucket that a set's first ``depth`` tokens of a run lead to: a hash down the path."""
+    number = F.lit(run)
+    for level in range(depth):
+        number = F.xxhash64(number, _token(_coordinate(run, level)))
+    return number
+
+
+def _in_runs(signed: DataFrame, first: int, last: int, **buckets: int) -> DataFrame:
+    """Rows (key, run) with the buckets at these depths, from the tokens where they lie."""
+    each = [F.struct(F.lit(r).alias("run"), *[_bucket(r, depth).alias(name) for name, depth in buckets.items()]) for r in range(first, last)]
+    return signed.select("key", F.explode(F.array(*each)).alias("_p")).select("key", "_p.*")
+
+
 def _paths(signed: DataFrame, first: int, last: int) -> tuple[DataFrame, DataFrame | None, int]:
-    """Buckets of two or more sets in these runs, as rows (key, run, leaf, n); rows (key, run, depth) of sets that went
-    further than one token, also of those that ended alone; the greatest depth."""
-    level = signed.select("key", F.explode(F.array(*[
-        F.struct(F.lit(r).alias("run"), F.xxhash64(F.lit(r), _token(_coordinate(r, 0))).alias("leaf")) for r in range(first, last)
-    ])).alias("_p")).select("key", "_p.run", "_p.leaf")
+    """Buckets of two or more sets in these runs, as rows (key, run, leaf, n); rows (key, run, leaf, depth) of sets that went
+    further than one token, also of those that ended alone; the greatest depth.
+
+    Tokens are not moved: a further token is read where it lies, and only rows of buckets that are too large leave.
+    """
+    level = _in_runs(signed, first, last, leaf=1)
     done, deeper, depth = [], [], 1
     while True:
         sizes = level.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1")
         now = keep(keyed_join(level, sizes, ["leaf"]).select("key", "run", "leaf", "n"), "paths")
-        big = now.where(F.col("n") > SMALL)
-        if depth == MAX_DEPTH or big.isEmpty():
+        large = now.where(F.col("n") > SMALL).groupBy("leaf").agg(F.min("n").alias("n"))
+        if depth == MAX_DEPTH or large.isEmpty():
             done.append(now)
             break
-        step = F.lit(None).cast("binary")
-        for r in range(first, last):
-            step = F.when(F.col("run") == r, _token(_coordinate(r, depth))).otherwise(step)
-        below = keep(
-            big.join(signed.select("key", "tokens"), "key").select("key", "run", "leaf", "n", F.xxhash64("leaf", step).alias("child")), "paths"
-        )
+        large = keep(large, "large")
+        # a bucket's number tells the whole path to it, so whoever has it came through buckets that were split
+        further = maybe_in(_in_runs(signed, first, last, leaf=depth, child=depth + 1), large, "leaf")
+        below = keep(keyed_join(further, large, ["leaf"]).select("key", "run", "leaf", "n", "child"), "paths")
         most = below.groupBy("leaf", "n", "child").count().groupBy("leaf").agg((F.max("count") >= DENSE * F.first("n")).alias("dense"))
         split = keep(most.where("not dense").select("leaf"), "split")
         done.append(now.join(split, "leaf", "left_anti").select("key", "run", "leaf", "n"))
         level = below.join(split, "leaf", "left_semi").select("key", "run", F.col("child").alias("leaf"))
         depth += 1
-        deeper.append(level.select("key", "run", F.lit(depth).alias("depth")))
+        deeper.append(level.select("key", "run", "leaf", F.lit(depth).alias("depth")))
     return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, deeper) if deeper else None, depth
 
 
-def _leaves(runs: int, depth: int, reached: Column | None) -> Column:
-    """The bucket that a set ends in, in every run, as four bytes of its number: a hash down the path to the depth that
-    the set has ``reached`` there (one byte a run; 1 everywhere if there is none)."""
-    out = []
-    for r in range(runs):
-        number, last = None, None
-        for level in range(depth if reached is not None else 1):
-            number = F.xxhash64(F.lit(r) if number is None else number, _token(_coordinate(r, level)))
-            here = number if last is None else F.when(F.substring(reached, r + 1, 1) > F.lit(bytes([level])), number).otherwise(last)
-            last = here
-        out.append(F.lpad(F.hex(last.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
-    return F.unhex(F.concat(*out))
+_LOW = 0xFFFFFFFF
+
+
+def _leaves(reps: DataFrame, runs: int, deeper: DataFrame | None) -> DataFrame:
+    """``key, sketch, leaves``: the bucket that a set ends in, in every run, as four bytes of its number: that of the first
+    token, or of the greatest depth that ``deeper`` has for the set and run."""
+    four = lambda number: F.lpad(F.hex(number.bitwiseAND(F.lit(_LOW))), 8, "0")
+    about = reps.select("key", "sketch", F.unhex(F.concat(*[four(_bucket(r, 1)) for r in range(runs)])).alias("leaves"))
+    if deeper is None:
+        return about
+    last = F.shiftleft(F.col("depth").cast("long"), 32) + F.col("leaf").bitwiseAND(F.lit(_LOW))
+    ends = deeper.groupBy("key").agg(*[F.max(F.when(F.col("run") == r, last)).alias(f"_{r}") for r in range(runs)])
+    each = [F.coalesce(four(F.col(f"_{r}")), F.hex(F.substring("leaves", 4 * r + 1, 4))) for r in range(runs)]
+    return about.join(ends, "key", "left").select("key", "sketch", F.unhex(F.concat(*each)).alias("leaves"))
 
 
 def _first_time(leaves: np.ndarray, a: slice, b: slice, run: int) -> np.ndarray:
@@ -276,14 +291,7 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, width: int = 5, recal
         runs, depth = wanted, max(depth, reached)
         wanted = runs_for(recall, threshold, depth)
     paths = reduce(DataFrame.unionByName, paths)
-    if not deeper:
-        about = reps.select("key", "sketch", _leaves(runs, depth, None).alias("leaves"))
-    else:
-        deeper = reduce(DataFrame.unionByName, deeper)
-        each = [F.lpad(F.hex(F.coalesce(F.max(F.when(F.col("run") == r, F.col("depth"))), F.lit(1))), 2, "0") for r in range(runs)]
-        further = reps.join(deeper.groupBy("key").agg(F.unhex(F.concat(*each)).alias("_d")), "key", "left")
-        leaves = _leaves(runs, depth, F.coalesce("_d", F.lit(bytes([1]) * runs)))
-        about = further.select("key", "sketch", leaves.alias("leaves"))
+    about = _leaves(reps, runs, reduce(DataFrame.unionByName, deeper) if deeper else None)
     # a row of a bucket takes a sketch and the numbers of its buckets along, no tokens
     about = keep(about, "about")
     least = math.floor(COORDINATES * (threshold - SLACK * math.sqrt(threshold * (1 - threshold) / COORDINATES)))

@@ -11,6 +11,7 @@ from almoner.llm.components import components
 from almoner.llm.embeddings import near_vectors, tables_for
 from almoner.llm.jaccard import one_of_each, similar_texts
 from almoner.llm.words import shingles, words_of
+from tests.conftest import moved_columns
 
 DOC = "doc_id long, text string, lang string, key string, n int"
 
@@ -140,6 +141,44 @@ def test_runs_are_counted_again_when_later_ones_go_deeper(spark, monkeypatch):
     assert got == len(rows) and asked == [(0, 4), (4, 6), (6, 8), (8, 10)]
 
 
+def test_tokens_stay_where_they_are_when_buckets_are_split(spark, monkeypatch):
+    """Splitting moves numbers of buckets only; a set's leaves are the ends of its paths."""
+    monkeypatch.setattr(ja, "SMALL", 4)
+    kept, moved = ja.keep, []
+    monkeypatch.setattr(ja, "keep", lambda df, label: moved.extend(moved_columns(df)) or kept(df, label))
+    r = np.random.default_rng(9)
+    tokens = r.integers(0, 3, (200, ja.coordinates_for(3))).astype("<u4")
+    rows = [(f"{i:03}".encode(), tokens[i].tobytes(), tokens[i, :64].astype(np.uint8).tobytes()) for i in range(200)]
+    signed = spark.createDataFrame(rows, "key binary, tokens binary, sketch binary")
+    done, deeper, depth = ja._paths(signed, 0, 3)
+    assert depth > 2 and moved and not any("tokens" in c for c in moved)
+    about = ja._leaves(signed, 3, deeper)
+    assert not any("tokens" in c for c in moved_columns(about))
+    leaves = {bytes(x["key"]): np.frombuffer(bytes(x["leaves"]), ">u4") for x in about.collect()}
+    assert len(leaves) == 200
+    # plainly: a bucket of more than SMALL sets, of which no token has half, is split
+    want = {}
+
+    def down(members, run, level):
+        for token in {int(tokens[i, ja._coordinate(run, level)]) for i in members}:
+            part = [i for i in members if tokens[i, ja._coordinate(run, level)] == token]
+            following = [int(tokens[i, ja._coordinate(run, level + 1)]) for i in part] if level + 1 < ja.MAX_DEPTH else []
+            if len(part) > ja.SMALL and following and 2 * max(map(following.count, following)) < len(part):
+                down(part, run, level + 1)
+            else:
+                want.update({(i, run): frozenset(part) for i in part})
+
+    for run in range(3):
+        down(range(200), run, 0)
+    ends = {}
+    for x in done.collect():
+        ends.setdefault((x["run"], x["leaf"]), set()).add(int(bytes(x["key"])))
+    assert sorted(map(sorted, ends.values())) == sorted(sorted(m) for _, m in {(run, m) for (_, run), m in want.items()} if len(m) > 1)
+    for run in range(3):
+        for i in range(200):
+            assert {j for j in range(200) if leaves[f"{j:03}".encode()][run] == leaves[f"{i:03}".encode()][run]} == want[i, run]
+
+
 def test_words_and_shingles_of_bytes():
     text = "Ünïted, THE x2 end".encode()
     w = words_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]))

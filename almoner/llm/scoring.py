@@ -195,7 +195,7 @@ def train(net: Network, inputs: np.ndarray, classes: np.ndarray, rate: float, st
 def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Lower-cased words of all texts, end to end, and where each text's begin (one more for the end). Null: empty."""
     data, offsets = text_bytes(column)
-    lowered = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+    lowered = data | ((data - np.uint8(65) < 26).view(np.uint8) << 5)
     # an array of its own: Arrow's string functions misread slices
     texts = pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(lowered))
     lists = pc.ascii_split_whitespace(texts)
@@ -225,14 +225,15 @@ class Subwords:
         """Ids of these words, end to end, and where each word's begin (one more for the end)."""
         if not len(words):
             return np.zeros(0, np.int64), np.zeros(1, np.int64)
-        said = words.to_pylist()
-        ids = self.encode.encode_to_numpy(" " + " ".join(said), disallowed_special=()).astype(np.int64)
+        # one text for all of them, made without a Python string for each
+        said = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), pa.scalar(" ", words.type))[0].as_py()
+        ids = self.encode.encode_to_numpy(" " + said, disallowed_special=()).astype(np.int64)
         ends, word_ends = np.cumsum(self.size[ids]), np.cumsum(pc.binary_length(words).to_numpy().astype(np.int64) + 1)
         at = np.searchsorted(ends, word_ends)
         if ends[-1] == word_ends[-1] and (ends[at] == word_ends).all():
             return ids, np.concatenate([[0], at + 1])
         # some white space outside of ASCII ties words together: one by one
-        each = [self.encode.encode_ordinary(" " + w) for w in said]
+        each = [self.encode.encode_ordinary(" " + w) for w in words.to_pylist()]
         return np.array([i for e in each for i in e], np.int64), np.cumsum([0, *map(len, each)])
 
 

@@ -247,6 +247,18 @@ def small_language(reader, column):
     return sc.Language(0, 0, 0, *sc.classify(counts, reader.subwords.starts_word())), ids, bounds
 
 
+def test_words_of_any_kind_are_joined_as_one_text(monkeypatch):
+    joined, join = [], sc.pc.binary_join
+    monkeypatch.setattr(sc.pc, "binary_join", lambda *a: joined.append(1) or join(*a))
+    sub = sc.Subwords(Path(sc.VOCABULARY).read_bytes())
+    words = ["road", "x\u2003y", "\u00e9t\u00e9", "<|endoftext|>", "a" * 300]
+    for kind in (pa.string(), pa.large_string()):
+        for some in (pa.array(words, kind), pa.array(["cut", *words, "off"], kind).slice(1, len(words))):
+            ids, starts = sub.of(some)
+            assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:], strict=True)] == [sub.encode.encode_ordinary(" " + w) for w in words]
+    assert len(joined) == 4
+
+
 def test_every_subword_is_scored_once_with_its_own_context():
     reader = sc.Reader(Path(sc.VOCABULARY).read_bytes())
     texts = ["the cat sat on the mat and " * k + "end" * (k % 3) for k in range(12)]

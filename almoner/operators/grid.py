@@ -6,6 +6,7 @@ import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from almoner.functions.geo import EQUATOR_M, FLATTENING, Grid, cell_centre, crosses, crossing_x, edges, first_cell_from, half_width_deg, to_cell
@@ -65,15 +66,24 @@ def area_runs(areas: DataFrame, grid: Grid) -> DataFrame:
     return runs.select("gid", "row", "_p.low", "_p.high").filter("low <= high")
 
 
+def _reach_deg(metres: float) -> float:
+    """Latitude difference that no point of a disc exceeds; a degree of latitude is shortest at the equator."""
+    return math.degrees(metres / (EQUATOR_M * (1 - FLATTENING) ** 2))
+
+
+def _first_row(lat: Column, reach: float, grid: Grid) -> Column:
+    """The first grid row whose centres a disc around this latitude can hold."""
+    return F.greatest(first_cell_from((grid.y0 - lat - reach) / grid.px), F.lit(0))
+
+
 def disc_spans(lng: Column, lat: Column, metres: float, grid: Grid) -> Column:
     """Cells whose centre is at most ``metres`` along the spheroid from a point, as column runs.
 
     A disc that crosses the date line goes on at the other end of the grid, with a second run in its rows; one that
     holds a pole has whole rows there.
     """
-    # a degree of latitude is shortest at the equator
-    reach = math.degrees(metres / (EQUATOR_M * (1 - FLATTENING) ** 2))
-    first = F.greatest(first_cell_from((grid.y0 - lat - reach) / grid.px), F.lit(0))
+    reach = _reach_deg(metres)
+    first = _first_row(lat, reach, grid)
     last = F.least(F.floor((grid.y0 - lat + reach) / grid.px - 0.5).cast("int"), F.lit(grid.nrows - 1))
 
     def in_row(row: Column) -> Column:
@@ -124,36 +134,81 @@ def spread_over_cells(areas: DataFrame, amount: str, grid: Grid) -> DataFrame:
 
 def spread_over_runs(amounts: DataFrame, runs: DataFrame) -> DataFrame:
     """The same for areas as runs; ``amounts`` are the columns ``gid`` and ``_amount`` and any others to keep, several rows per area or none."""
+    each = amount_runs(amounts, runs)
+    return each.select(*[c for c in each.columns if c not in ("row", "low", "high", "value")], F.explode(F.sequence("low", "high")).alias("col"), "row", "value")
+
+
+def amount_runs(amounts: DataFrame, runs: DataFrame) -> DataFrame:
+    """Amounts of areas, spread evenly, as runs: what ``amounts`` has besides ``_amount``, ``row, low, high, value``."""
     keep = [c for c in amounts.columns if c != "_amount"]
     each = amounts.filter("_amount != 0").join(run_counts(runs), "gid").select(*keep, even_share(F.col("_amount"), F.col("n_cells")).alias("value"))
     # sizes are estimated before rows are multiplied, so no side is broadcast by estimate
-    met = each.hint("merge").join(runs.hint("merge"), "gid")
-    return met.select(*keep, F.explode(F.sequence("low", "high")).alias("col"), "row", "value")
+    return each.hint("merge").join(runs.hint("merge"), "gid").select(*keep, "row", "low", "high", "value")
 
 
 def disc_cells(points: DataFrame, keys: list[str], amount: str, metres: float, areas: DataFrame, grid: Grid) -> DataFrame:
     """Discs around points clipped to the area (``gid``) the point lies in.
 
-    Returns ``keys, gid, amount, spans`` with the clipped runs. Both sides meet
-    as runs per area and grid row, not as single cells; a disc's runs are few,
-    bounded by the radius, when they are put together again.
+    Returns ``keys, gid, amount, spans`` with the clipped runs; ``keys`` tell points of an area apart. An area's runs
+    lie in bands of as many grid rows as a disc can have, each with the rows of the next one, so a disc meets one
+    band, as one row, and is whole there.
     """
-    discs = points.filter(F.col(amount) != 0).select(
-        *keys, "gid", amount,
-        F.explode(disc_spans(F.col("longitude"), F.col("latitude"), metres, grid)).alias("d"),
-    ).withColumn("row", F.col("d.row"))
-    held = area_runs(areas, grid)
-    low, high = F.greatest("d.low", held["low"]), F.least("d.high", held["high"])
-    met = discs.hint("merge").join(held.hint("merge"), ["gid", "row"]).filter(low <= high)
-    run = F.struct("row", low.alias("low"), high.alias("high"))
-    return met.groupBy(*keys, "gid", amount).agg(F.collect_list(run).alias("spans"))
+    reach = _reach_deg(metres)
+    deep = int(2 * reach / grid.px) + 2
+    band = lambda row: F.floor(row / deep).cast("int")
+    columns = list(dict.fromkeys([*keys, "gid", amount, "longitude", "latitude"]))
+    discs = points.filter(F.col(amount) != 0).select(*columns, band(_first_row(F.col("latitude"), reach, grid)).alias("_band"))
+    banded = area_runs(areas, grid).select("gid", F.explode(F.array(band(F.col("row")) - 1, band(F.col("row")))).alias("_band"), F.struct("row", "low", "high").alias("_run"))
+    held = banded.groupBy("gid", "_band").agg(F.collect_list("_run").alias("_runs"))
+    # by place in the band
+    in_row = lambda i: F.filter("_runs", lambda h: h["row"] == F.col("_band") * deep + i)
+    held = held.select("gid", "_band", F.transform(F.sequence(F.lit(0), F.lit(2 * deep - 1)), in_row).alias("_held"))
+
+    def clipped(span: Column) -> Column:
+        met = F.filter(F.get("_held", span["row"] - F.col("_band") * deep), lambda h: (h["low"] <= span["high"]) & (h["high"] >= span["low"]))
+        return F.transform(met, lambda h: F.struct(span["row"].alias("row"), F.greatest(span["low"], h["low"]).alias("low"), F.least(span["high"], h["high"]).alias("high")))
+
+    spans = F.flatten(F.transform(disc_spans(F.col("longitude"), F.col("latitude"), metres, grid), clipped))
+    # sizes are estimated before rows are multiplied, so no side is broadcast by estimate
+    met = keyed_join(discs.hint("merge"), held.hint("merge"), ["gid", "_band"])
+    # exploding one value prices it once, a filter would a second time
+    return met.select(*dict.fromkeys([*keys, "gid", amount]), F.explode(F.array(spans)).alias("spans")).filter(F.size("spans") > 0)
+
+
+def _disc_shares(points: DataFrame, keys: list[str], amount: str, metres: float, areas: DataFrame, grid: Grid) -> DataFrame:
+    """Clipped discs with the ``value`` of each of their cells."""
+    discs = disc_cells(points, keys, amount, metres, areas, grid)
+    return discs.withColumn("value", even_share(F.col(amount), _cell_count(F.col("spans"))))
 
 
 def spread_over_disc(points: DataFrame, keys: list[str], amount: str, metres: float, areas: DataFrame, grid: Grid) -> DataFrame:
     """``keys, gid, col, row, value``: each point's amount over the cells of its clipped disc."""
-    discs = disc_cells(points, keys, amount, metres, areas, grid)
-    each = even_share(F.col(amount), _cell_count(F.col("spans"))).alias("value")
-    return _cells(discs, *keys, "gid", each).select(*keys, "gid", "col", "row", "value")
+    return _cells(_disc_shares(points, keys, amount, metres, areas, grid), *keys, "gid", "value").select(*keys, "gid", "col", "row", "value")
+
+
+def disc_runs(points: DataFrame, keys: list[str], amount: str, metres: float, areas: DataFrame, grid: Grid) -> DataFrame:
+    """``gid, row, low, high, value``: the same as runs of columns."""
+    discs = _disc_shares(points, keys, amount, metres, areas, grid)
+    return discs.select("gid", "value", F.explode("spans").alias("_s")).select("gid", "_s.*", "value")
+
+
+def sum_over_runs(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, col, row, value``: of every cell, the sum of the values of the runs (``row, low, high, value``) that hold it.
+
+    A run is what it adds where it begins and takes away behind its end, so work is two rows a run, however wide, and
+    cells are made from the sums. Values are decimals, whose sums are exact, and not null.
+    """
+    ends = runs.select(*keys, "row", F.explode(F.array(
+        F.struct(F.col("low").alias("col"), F.col("value").alias("value"), F.lit(1).alias("n")),
+        F.struct((F.col("high") + 1).alias("col"), F.negative("value").alias("value"), F.lit(-1).alias("n")),
+    )).alias("_e")).select(*keys, "row", "_e.*")
+    steps = ends.groupBy(*keys, "row", "col").agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
+    # a grid row has no more steps than columns, and one more
+    along = W.partitionBy(*keys, "row").orderBy("col")
+    levels = steps.select(
+        *keys, "row", F.col("col").alias("low"), (F.lead("col").over(along) - 1).alias("high"), F.sum("value").over(along).alias("value"), F.sum("n").over(along).alias("n")
+    )
+    return levels.filter("n > 0").select(*keys, F.explode(F.sequence("low", "high")).alias("col"), "row", "value")
 
 
 def overlapping(cells: DataFrame, keys: list[str]) -> DataFrame:

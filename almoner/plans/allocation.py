@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from almoner.functions.geo import Grid
 from almoner.operators.areas import within
 from almoner.operators.extracts import not_null
-from almoner.operators.grid import area_runs, spread_over_disc, spread_over_runs, sum_by_cell
+from almoner.operators.grid import amount_runs, area_runs, disc_runs, sum_by_cell, sum_over_runs
 from almoner.operators.shares import MONEY, location_share, project_total_share
 from almoner.operators.skew import dealt_out, keyed_join
 from almoner.session import settle, stored
@@ -35,11 +35,12 @@ def money_at_spots(locs: DataFrame, amount: str) -> DataFrame:
     located = dealt_out(located)
     shares = project_total_share(location_share(located, amount))
     # one location row per amount group in the input is one receiving location
-    spots = located.filter(F.col("layer").isNotNull()).groupBy("project_id", "layer", "longitude", "latitude").agg(F.count("*").alias("n"))
+    # (no filter here that would be pushed below the shuffle, whose result serves both aggregates)
+    spots = located.groupBy("project_id", "layer", "longitude", "latitude").agg(F.count("*").alias("n"))
     priced = keyed_join(spots, shares, ["project_id"])
-    return priced.groupBy("layer", "longitude", "latitude").agg(
-        F.sum(F.col("financials_per_loc").cast("decimal(24,2)") * F.col("n").cast("decimal(14,0)")).cast(MONEY).alias("financials")
-    ).filter("financials is not null")
+    money = F.sum(F.when(F.col("layer").isNotNull(), F.col("financials_per_loc").cast("decimal(24,2)") * F.col("n").cast("decimal(14,0)"))).cast(MONEY)
+    # spots of other codes have no sum
+    return priced.groupBy("layer", "longitude", "latitude").agg(money.alias("financials")).filter("financials is not null")
 
 
 def allocate(locs: DataFrame, amount: str, areas: DataFrame, grid: Grid, metres: float = DISC_METRES) -> DataFrame:
@@ -65,14 +66,11 @@ def allocate(locs: DataFrame, amount: str, areas: DataFrame, grid: Grid, metres:
     none = F.lit(None).cast("int")
     layers.append(lost.select(F.lit("outside").alias("layer"), none.alias("col"), none.alias("row"), value))
 
-    discs = spread_over_disc(
-        routed.filter("layer = 'prec2'"), ["longitude", "latitude"], "financials", metres, areas.filter("adm_level = '0'"), grid
-    )
-    layers.append(discs.groupBy("col", "row").agg(F.sum("value").alias("value")).select(F.lit("prec2").alias("layer"), "col", "row", "value"))
-
+    discs = disc_runs(routed.filter("layer = 'prec2'"), ["longitude", "latitude"], "financials", metres, areas.filter("adm_level = '0'"), grid)
     by_area = routed.filter("layer not in ('prec1', 'prec2')").groupBy("layer", "gid").agg(F.sum("financials").cast(MONEY).alias("_amount"))
-    spread = spread_over_runs(by_area, area_runs(areas, grid))
-    layers.append(spread.groupBy("layer", "col", "row").agg(F.sum("value").alias("value")))
+    spread = amount_runs(by_area, area_runs(areas, grid))
+    runs = [discs.withColumn("layer", F.lit("prec2")), spread]
+    layers += [sum_over_runs(r.select("layer", "row", "low", "high", "value"), ["layer"]) for r in runs]
     out = layers[0]
     for layer in layers[1:]:
         out = out.unionByName(layer)

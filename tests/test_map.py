@@ -2,6 +2,7 @@
 
 import math
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -289,3 +290,33 @@ def test_discs_near_a_pole_are_whole_rows(spark):
         centre = lambda c, r: (grid.x0 + (c + 0.5) * grid.px, grid.y0 - (r + 0.5) * grid.px)
         rows = range(6) if y > 0 else range(354, 360)
         assert cells == {(c, r) for c in range(720) for r in rows if metres(x, y, *centre(c, r)) <= 90000}
+
+
+def test_sums_over_runs_are_those_over_cells(spark):
+    """Overlapping, touching, single and wide runs, amounts that cancel out, gaps, rows apart; two rows a run are summed, however wide it is."""
+    runs = [("a", 0, 2, 5, "1.50"), ("a", 0, 4, 9, "0.25"), ("a", 0, 10, 10, "3"), ("a", 0, 12, 14, "-2"), ("a", 0, 12, 14, "2"), ("a", 1, 0, 3599, "7"), ("b", 0, 5, 5, "1"), ("a", 0, 2, 5, "1.50")]
+    df = spark.createDataFrame([(k, r, a, b, Decimal(v)) for k, r, a, b, v in runs], "layer string, row int, low int, high int, value decimal(33,13)")
+    want: dict = {}
+    for k, r, a, b, v in runs:
+        for c in range(a, b + 1):
+            want[k, c, r] = want.get((k, c, r), 0) + Decimal(v)
+    summed = gr.sum_over_runs(df, ["layer"])
+    got = [((x["layer"], x["col"], x["row"]), x["value"]) for x in summed.collect()]
+    assert len(got) == len(want) and dict(got) == want
+    assert summed.schema["value"].dataType.simpleString() == "decimal(38,13)"
+
+
+def test_discs_meet_their_area_as_one_row(spark, shapes):
+    """Discs are cut at their area's runs wherever in a band of rows they lie; a disc meets its band before it has rows."""
+    points = [(i, 1, 9.0 + 0.13 * (i % 20), 1.0 + 0.37 * i, 10) for i in range(24)]
+    df = spark.createDataFrame(points, "i int, gid long, longitude double, latitude double, m int")
+    held: dict = {}
+    for x in gr.area_runs(shapes, GRID).filter("gid = 1").collect():
+        held.setdefault(x["row"], []).append((x["low"], x["high"]))
+    spans = df.select("i", F.explode(gr.disc_spans(F.col("longitude"), F.col("latitude"), 150000.0, GRID)).alias("d")).select("i", "d.*").collect()
+    want = {(s["i"], s["row"], c) for s in spans for a, b in held.get(s["row"], []) for c in range(max(a, s["low"]), min(b, s["high"]) + 1)}
+    discs = gr.disc_cells(df, ["i"], "m", 150000.0, shapes, GRID)
+    got = [(x["i"], x["row"], x["col"]) for x in gr.shape_cells(discs, ["i"]).collect()]
+    assert want and len(got) == len(set(got)) and set(got) == want
+    plan = plan_of(discs)
+    assert "Generate" in plan[: plan.index("SortMergeJoin")] and "_band" in plan

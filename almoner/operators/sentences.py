@@ -149,8 +149,11 @@ def _region(line: Column, place: Column, size: Column, allowed: Column) -> Colum
     )
 
 
-def _best_window(sentence: Column, region: Column, place: Column, allowed: Column) -> Column:
-    """Best whole-word window near ``place`` of a line: ``cost, start, shorter, match``; null if none fits."""
+def _best_window(sentence: Column, region: Column, place: Column, allowed: Column, errors: int) -> Column:
+    """Best whole-word window near ``place`` of a line: ``cost, start, shorter, match``; null if none fits.
+
+    ``errors`` bounds ``allowed``: a distance is computed no further than that, which takes time as the length, not as its square.
+    """
     size, begin = F.length(sentence), _begin(place, allowed)
     is_word = lambda t, at: F.substring(t, at, F.lit(1)).rlike(WORD)
 
@@ -168,11 +171,11 @@ def _best_window(sentence: Column, region: Column, place: Column, allowed: Colum
         def judged(i: Column, n: Column) -> Column:
             match = F.substring(text, i, n)
             return F.struct(
-                F.levenshtein(sentence, match).alias("cost"), (i + begin - 1).alias("start"), (-n).alias("shorter"), match.alias("match")
+                F.levenshtein(sentence, match, max(errors, 1)).alias("cost"), (i + begin - 1).alias("start"), (-n).alias("shorter"), match.alias("match")
             )
 
         every = F.flatten(F.transform(starts, lambda i: F.transform(fitting(i), lambda n: judged(i, n))))
-        return F.array_min(F.filter(every, lambda w: w["cost"] <= allowed))
+        return F.array_min(F.filter(every, lambda w: w["cost"].between(0, allowed)))
 
     return let(region, windows)
 
@@ -272,7 +275,7 @@ def match_sentences(sentences: DataFrame, candidates: DataFrame, errors: int = 5
         .select(
             "source_id", "hit_id", "sentence",
             # exploding drops what does not fit without pricing it a second time in a filter
-            F.explode(F.array_compact(F.array(_best_window(F.col("sentence"), F.col("region"), F.col("place"), F.col("allowed"))))).alias("best"),
+            F.explode(F.array_compact(F.array(_best_window(F.col("sentence"), F.col("region"), F.col("place"), F.col("allowed"), errors)))).alias("best"),
         )
     )
     best = windows.groupBy("source_id", "hit_id", "sentence").agg(F.min("best").alias("best"))

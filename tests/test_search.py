@@ -265,3 +265,21 @@ def test_runs_are_made_of_the_numbers_of_words_that_occur(spark):
     lines = spark.createDataFrame([(1, "a new York and Rome or " + " ".join(["w"] * 22))], "id int, line string")
     got = gz.word_runs(lines, "id", "line", lengths).collect()
     assert sorted(r["run"] for r in got if len(r["run"]) < 20) == ["Rome", "York", "York and", "and Rome", "new York"] and sum(len(r["run"]) == 39 for r in got) == 3
+
+
+@pytest.mark.parametrize("errors", [0, 1, 3])
+def test_distances_are_bounded_by_the_edits_allowed(spark, errors):
+    """Up to ``errors`` edits of a sentence with letters of several bytes are found with their number, one more is not; no distance is computed in full."""
+    text = "Äußere Straßen führen übers Gebirge zum großen Hafen der Könige"
+    at = [3, 10, 18, 27]
+    lines = []
+    for n in range(errors + 2):
+        chars = list(text)
+        for i in at[:n]:
+            chars[i] = "é"
+        lines.append((1, n, f"vorn {''.join(chars)} hinten"))
+    src = se.source_sentences(spark.createDataFrame([(1, text)], "s int, t string"), "s", "t")
+    found = se.match_sentences(src, se.clean_candidates(spark.createDataFrame(lines, "s int, h int, t string"), "s", "h", "t"), errors, 2)
+    assert sorted((r["hit_id"], r["cost"]) for r in found.collect()) == [(n, n) for n in range(errors + 1)]
+    distances = re.findall(r"levenshtein\([^()]*(?:\([^()]*\)[^()]*)*\)", found._jdf.queryExecution().optimizedPlan().toString())
+    assert distances and all(re.search(rf"Some\({max(errors, 1)}\)|, {max(errors, 1)}\)$", d) for d in distances)

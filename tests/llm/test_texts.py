@@ -382,6 +382,25 @@ def test_template_is_decided_from_all_pages_of_all_layouts(spark):
 # --- packing ---
 
 
+def test_what_few_pages_say_is_template_too(spark):
+    """A part that a tenth of a host's pages have, none of them among those with the least digests, is proposed and left out where it stands outside of the content."""
+    body = lambda i, more: f"<html><body><div class=w><div class=c><p>Story {i} has words {i * i} of its own</p><p>And {i * 7} more of them than others</p></div>{more}</div></body></html>"
+    promo = "<div class=k><p>Order our box</p></div>"
+    both = [(i, body(i, ""), body(i, promo)) for i in range(60)]
+    digests = {r["i"]: r for r in spark.createDataFrame(both, "i int, a string, b string").select("i", F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")).collect()}
+    few = sorted(digests, key=lambda i: -digests[i]["b"])[:6]
+    least = sorted(r["b"] if i in few else r["a"] for i, r in digests.items())[: wr.PAGES]
+    assert not set(least) & {digests[i]["b"] for i in few}
+    rows = [(i, f"http://h.org/{i}", b if i in few else a) for i, a, b in both]
+    got = {r["page_id"]: r["_text"] for r in wr.extract_articles(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert got == {i: f"Story {i} has words {i * i} of its own\nAnd {i * 7} more of them than others" for i in range(60)}
+    # places are counted among siblings of one label
+    page = wr.parse("<body><p>a</p><p>a</p><div><p>a</p></div><div><br></div></body>")
+    said, places = wr.places_of(page)
+    assert said == wr.said_by(page) and len(set(places)) == 3 and {text for _, text in places} == {wr.digest("a")}
+
+
+
 def naive_best_fit(sizes, length):
     bins = []
     for i in np.argsort(-sizes, kind="stable"):

@@ -30,16 +30,16 @@ DIM, INNER = 16, 32
 #: Frequent subwords with a class, and with an input vector, of their own; the others have classes by mass on either side of a word's start.
 OWN_CLASS, OWN_INPUT, SIDE_CLASSES = 192, 4096, 16
 CLASSES = OWN_CLASS + 2 * SIDE_CLASSES
-#: The fit reads one training text in so many, or more for at least so many words.
-ONE_IN, LEAST_WORDS = 128, 400_000
-#: Windows of a task of the fit; rounds of it; steps of a task in a round, at least; windows of a step; rate of the first round.
+#: A round of the fit reads its part of the training texts, or more for at least so many words.
+LEAST_WORDS = 400_000
+#: Windows that a task of the fit holds at once; rounds of it; steps of a task in a round, at least; windows of a step; rate of the first round.
 SHARE, ROUNDS, STEPS, BATCH, RATE = 16384, 4, 48, 256, 0.02
 #: Greatest length of a slope.
 LONGEST = 1.0
 #: Words whose counts every task knows; the counts of the others are joined.
 FREQUENT = 1 << 17
 #: Texts to be counted and to be scored at once, in bytes; subwords whose windows are made at once, and windows that a cache holds.
-_COUNTED, _CHUNK, _BLOCK, _CACHED = 2 << 20, 1 << 20, 8192, 40
+_COUNTED, _CHUNK, _BLOCK, _CACHED = 2 << 20, 1 << 20, 8192, 32
 PARTS = 8
 
 
@@ -92,8 +92,8 @@ _ONES = np.ones(max(WINDOW, CLASSES), np.float32)
 _SEEN = (np.arange(WINDOW)[None] <= np.arange(SCORED)[:, None] + CONTEXT).astype(np.float32)
 
 
-def forward(net: Network, inputs: np.ndarray, trace: bool = False):
-    """Logits of the class at every scored place (windows x SCORED, CLASSES); place i's input is the subword before it."""
+def forward(net: Network, inputs: np.ndarray):
+    """What the classes of every scored place (windows x SCORED) are told from, and the steps to it; place i's input is the subword before it."""
     n = len(inputs)
     x = net.embed.take(inputs, 0)
     x += net.place
@@ -106,90 +106,137 @@ def forward(net: Network, inputs: np.ndarray, trace: bool = False):
     np.clip(a, -60, 60, out=a)
     np.exp(a, out=a)
     a *= _SEEN
-    total = (a.reshape(-1, WINDOW) @ _ONES[:WINDOW]).reshape(n, SCORED, 1)
+    a /= (a.reshape(-1, WINDOW) @ _ONES[:WINDOW]).reshape(n, SCORED, 1)
     seen = np.matmul(a, v)
-    seen /= total
     h = own + seen.reshape(-1, DIM)
     u = h @ net.up
     u += net.up_bias
     np.maximum(u, 0, out=u)
-    g = h + u @ net.down
-    z = g @ net.out
-    z += net.out_bias
-    return (z, (x, k, v, own, q, a / total, seen, h, u, g)) if trace else z
+    g = np.empty((len(h), DIM + 1), h.dtype)
+    np.matmul(u, net.down, out=g[:, :DIM])
+    g[:, :DIM] += h
+    # the last one meets the classes' bias
+    g[:, DIM] = 1
+    return g, (x, k, v, own, q, a, seen, h, u)
+
+
+def _classes(net: Network, g: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each place's weights of the classes, their sum and the natural logarithm of the probability of the wanted class."""
+    out = np.concatenate([net.out, net.out_bias[None]])
+    rows, at = np.arange(len(want)), np.maximum(want, 0)
+    z = g @ out
+    picked = z[rows, at]
+    with np.errstate(over="ignore"):
+        np.exp(z, out=z)
+        total = z @ _ONES[:CLASSES]
+    # far from where products with them vanish or overflow
+    if not (total.min(initial=1) > 1e-30 and total.max(initial=0) < 1e30):
+        z = g @ out
+        z -= z.max(1, keepdims=True)
+        picked = z[rows, at]
+        np.exp(z, out=z)
+        total = z @ _ONES[:CLASSES]
+    return z, total, picked - np.log(total)
 
 
 def class_logs(net: Network, inputs: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each scored place's class; 0 where there is none (-1)."""
-    z = forward(net, inputs)
     want = classes.ravel()
-    picked = z[np.arange(len(want)), np.maximum(want, 0)]
-    with np.errstate(over="ignore"):
-        np.exp(z, out=z)
-    total = z @ _ONES[:CLASSES]
-    if not (total.min(initial=1) > 0 and total.max(initial=0) < np.inf):
-        z = forward(net, inputs)
-        top = z.max(1)
-        picked -= top
-        total = np.exp(z - top[:, None]) @ _ONES[:CLASSES]
-    return np.where(want >= 0, picked - np.log(total), 0).reshape(classes.shape)
+    logs = _classes(net, forward(net, inputs)[0], want)[2]
+    return np.where(want >= 0, logs, 0).reshape(classes.shape)
 
 
 def gradients(net: Network, inputs: np.ndarray, classes: np.ndarray) -> tuple[float, Network]:
-    """Mean loss over the scored places and its slope in every part."""
-    z, (x, k, v, own, q, a, seen, h, u, g) = forward(net, inputs, True)
-    n, want = len(inputs), classes.ravel()
-    real = (want >= 0).astype(np.float32)[:, None]
-    count = max(float(real.sum()), 1)
-    z -= z.max(1, keepdims=True)
-    p = np.exp(z)
-    total = p.sum(1, keepdims=True)
-    p /= total
-    rows, at = np.arange(len(want)), np.maximum(want, 0)
-    loss = float(((np.log(total[:, 0]) - z[rows, at]) * real[:, 0]).sum() / count)
-    p[rows, at] -= 1
-    p *= real / count
-    d_g = p @ net.out.T
-    d_u = (d_g @ net.down.T) * (u > 0)
-    d_h = d_g + d_u @ net.up.T
-    d_seen = d_h.reshape(n, SCORED, DIM)
-    d_a = np.matmul(d_seen, v.transpose(0, 2, 1))
-    d_s = a * (d_a - (d_seen * seen).sum(2, keepdims=True))
-    d_q = np.matmul(d_s, k)
-    d_kv = np.concatenate([np.matmul(d_s.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), d_seen)], 2).reshape(-1, 2 * DIM)
-    d_x = (d_kv @ net.both.T).reshape(n, WINDOW, DIM)
-    d_x[:, CONTEXT:] += (d_h + d_q.reshape(-1, DIM) @ net.query.T).reshape(n, SCORED, DIM)
+    """Mean loss over the scored places and its slope in every part. Few windows at a time, for a cache to hold them."""
+    count = max(int((classes >= 0).sum()), 1)
+    d_x = np.empty((len(inputs), WINDOW, DIM), net.embed.dtype)
+    loss, sums = 0.0, [np.zeros_like(p) for p in net.parts()[2:-2]] + [np.zeros((DIM + 1, CLASSES), net.out.dtype)]
+    both, query, up, down, out = (np.ascontiguousarray(p.T) for p in (net.both, net.query, net.up, net.down, net.out))
+    for i in range(0, len(inputs), _CACHED):
+        g, (x, k, v, own, q, a, seen, h, u) = forward(net, inputs[i : i + _CACHED])
+        n, want = len(x), classes[i : i + _CACHED].ravel()
+        p, total, logs = _classes(net, g, want)
+        real = (want >= 0).astype(p.dtype)
+        loss -= float((logs * real).sum())
+        # the slopes of a place's classes, but for a factor that is left to narrower rows
+        p[np.arange(len(want)), np.maximum(want, 0)] -= total
+        real /= total * count
+        d_g = p @ out
+        d_g *= real[:, None]
+        g *= real[:, None]
+        d_u = d_g @ down
+        d_u *= u > 0
+        d_h = d_g + d_u @ up
+        d_seen = d_h.reshape(n, SCORED, DIM)
+        d_s = np.matmul(d_seen, v.transpose(0, 2, 1))
+        d_s -= ((d_seen * seen).reshape(-1, DIM) @ _ONES[:DIM]).reshape(n, SCORED, 1)
+        d_s *= a
+        d_q = np.matmul(d_s, k).reshape(-1, DIM)
+        d_kv = np.empty((n, WINDOW, 2 * DIM), p.dtype)
+        np.matmul(d_s.transpose(0, 2, 1), q, out=d_kv[:, :, :DIM])
+        np.matmul(a.transpose(0, 2, 1), d_seen, out=d_kv[:, :, DIM:])
+        d_kv = d_kv.reshape(-1, 2 * DIM)
+        d_x[i : i + n] = (d_kv @ both).reshape(n, WINDOW, DIM)
+        d_h += d_q @ query
+        d_x[i : i + n, CONTEXT:] += d_h.reshape(n, SCORED, DIM)
+        for s, d in zip(sums, (own.T @ d_q, x.reshape(-1, DIM).T @ d_kv, h.T @ d_u, d_u.sum(0), u.T @ d_g, g.T @ p), strict=True):
+            s += d.reshape(s.shape)
     d_embed = np.zeros_like(net.embed)
-    flat, back = np.unique(inputs, return_inverse=True)
-    for c in range(DIM):
-        d_embed[flat, c] = np.bincount(back.ravel(), d_x[:, :, c].ravel(), len(flat))
-    return loss, Network(d_embed, d_x.sum(0), own.T @ d_q.reshape(-1, DIM), x.reshape(-1, DIM).T @ d_kv, h.T @ d_u, d_u.sum(0), u.T @ d_g, g.T @ p, p.sum(0))
+    flat = inputs.ravel()
+    order = np.argsort(flat, kind="stable")
+    first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+    if len(first):
+        d_embed[flat[order[first]]] = np.add.reduceat(d_x.reshape(-1, DIM)[order], first, axis=0)
+    return loss / count, Network(d_embed, d_x.sum(0), *sums[:-1], sums[-1][:DIM], sums[-1][DIM])
+
+
+class Adam:
+    """A network on its way, from window to window."""
+
+    def __init__(self, net: Network, rate: float, seed: int = 0):
+        self.shape, self.now = net, net.flat()
+        self.mean, self.square = np.zeros_like(self.now), np.zeros_like(self.now)
+        self.rate, self.random, self.done = rate, np.random.default_rng(seed), 0
+
+    def net(self) -> Network:
+        return self.shape.like(self.now)
+
+    def over(self, inputs: np.ndarray, classes: np.ndarray, steps: int = 1, batch: int = BATCH) -> None:
+        """As many passes over these windows as ``steps`` need."""
+        each = -(-len(inputs) // batch)
+        for _ in range(max(1, -(-steps // each)) if each else 0):
+            order = self.random.permutation(len(inputs))
+            for i in range(0, len(order), batch):
+                some = order[i : i + batch]
+                self.step(inputs[some], classes[some])
+
+    def step(self, inputs: np.ndarray, classes: np.ndarray) -> None:
+        d = gradients(self.net(), inputs, classes)[1].flat()
+        # a step that leads too far is shortened, one that leads nowhere is left out
+        length = math.sqrt(float(d @ d))
+        if not math.isfinite(length):
+            return
+        self.done += 1
+        d *= min(1.0, LONGEST / max(length, 1e-12))
+        self.mean *= 0.9
+        self.mean += 0.1 * d
+        d *= d
+        d *= 0.01
+        self.square *= 0.99
+        self.square += d
+        np.divide(self.square, 1 - 0.99**self.done, out=d)
+        np.sqrt(d, out=d)
+        d += 1e-8
+        np.divide(self.mean, d, out=d)
+        d *= self.rate / (1 - 0.9**self.done)
+        self.now -= d
 
 
 def train(net: Network, inputs: np.ndarray, classes: np.ndarray, rate: float, steps: int = STEPS, batch: int = BATCH, seed: int = 0) -> Network:
     """Adam over these windows, as many passes as ``steps`` need."""
-    r = np.random.default_rng(seed)
-    now = [p.copy() for p in net.parts()]
-    mean, square = [np.zeros_like(p) for p in now], [np.zeros_like(p) for p in now]
-    each = -(-len(inputs) // batch)
-    done = 0
-    for _ in range(max(1, -(-steps // each)) if each else 0):
-        order = r.permutation(len(inputs))
-        for i in range(0, len(order), batch):
-            some = order[i : i + batch]
-            _, slope = gradients(Network(*now), inputs[some], classes[some])
-            # a step that leads too far is shortened, one that leads nowhere is left out
-            length = math.sqrt(sum(float((d.astype(np.float64) ** 2).sum()) for d in slope.parts()))
-            if not math.isfinite(length):
-                continue
-            done += 1
-            for d in slope.parts():
-                d *= min(1.0, LONGEST / max(length, 1e-12))
-            for p, m, s, d in zip(now, mean, square, slope.parts(), strict=True):
-                m += 0.1 * (d - m)
-                s += 0.01 * (d * d - s)
-                p -= rate / (1 - 0.9**done) * m / (np.sqrt(s / (1 - 0.99**done)) + 1e-8)
-    return Network(*now)
+    adam = Adam(net, rate, seed)
+    adam.over(inputs, classes, steps, batch)
+    return adam.net()
 
 
 def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -269,6 +316,8 @@ class Language:
     classes: np.ndarray
     inputs: np.ndarray
     within: np.ndarray
+    #: Windows of all training texts, about
+    windows: int = 0
 
     def base(self, count) -> np.ndarray:
         return np.log10((np.asarray(count, np.float64) + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
@@ -336,29 +385,34 @@ class Reader:
         return known.dictionary, number, starts, flat, before[starts] + np.arange(texts + 1)
 
 
-def _sampled(batches: Iterator[pa.RecordBatch], vocabulary: bytes, language: Language) -> Iterator[pa.RecordBatch]:
-    reader, number = Reader(vocabulary), TaskContext.get().partitionId() << 33
+def _read_windows(batches: Iterator[pa.RecordBatch], vocabulary: bytes, language: Language) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Inputs and classes of all windows, those of some texts at a time."""
+    reader = Reader(vocabulary)
     for whole in batches:
         for batch in cut(whole, "text", _CHUNK):
             _, _, _, ids, bounds = reader.read(batch.column(0))
             for a in range(0, batch.num_rows, 256):
                 b = min(a + 256, batch.num_rows)
                 x, y, _ = windows(ids[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], language)
-                raw = lambda m, w: pa.Array.from_buffers(pa.binary(w), len(m), [None, pa.py_buffer(m.tobytes())]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(number + np.arange(len(x))), raw(x.astype("<i2"), 2 * WINDOW), raw(y.astype("<i2"), 2 * SCORED)], ["number", "inputs", "classes"])
-                number += len(x)
-
-
-def _trained(batches: Iterator[pa.RecordBatch], net: Network, rate: float) -> Iterator[pa.RecordBatch]:
-    """What a task's windows make of the network, times their number."""
-    parts = [b for b in batches if b.num_rows]
-    if parts:
-        whole = pa.Table.from_batches(parts)
-        x = np.frombuffer(b"".join(whole.column("inputs").to_pylist()), "<i2").reshape(-1, WINDOW).astype(np.int64)
-        y = np.frombuffer(b"".join(whole.column("classes").to_pylist()), "<i2").reshape(-1, SCORED).astype(np.int64)
-        part = TaskContext.get().partitionId()
-        got = train(net, x, y, rate, seed=part).flat().astype(np.float64) * len(x)
-        yield pa.RecordBatch.from_arrays([pa.array([part % PARTS], pa.int32()), pa.array([part], pa.int32()), pa.array([got.tobytes()], pa.binary()), pa.array([len(x)], pa.int64())], ["slot", "part", "sums", "n"])
+                yield x.astype(np.int16), y.astype(np.int16)
+
+
+def _trained(batches: Iterator[pa.RecordBatch], vocabulary: bytes, language: Language, net: Network, rate: float) -> Iterator[pa.RecordBatch]:
+    """What the windows of a task's texts make of the network, times their number. About SHARE windows are held at once."""
+    part = TaskContext.get().partitionId()
+    adam, held, n = Adam(net, rate, part), [], 0
+    for x, y in _read_windows(batches, vocabulary, language):
+        held.append((x, y))
+        n += len(x)
+        if sum(len(x) for x, _ in held) >= SHARE:
+            adam.over(*map(np.concatenate, zip(*held, strict=True)))
+            held = []
+    if held:
+        adam.over(*map(np.concatenate, zip(*held, strict=True)), steps=max(1, STEPS - adam.done))
+    if n:
+        sums = adam.now.astype(np.float64) * n
+        yield pa.RecordBatch.from_arrays([pa.array([part % PARTS], pa.int32()), pa.array([part], pa.int32()), pa.array([sums.tobytes()], pa.binary()), pa.array([n], pa.int64())], ["slot", "part", "sums", "n"])
+    pa.default_memory_pool().release_unused()
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,24 +425,31 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n], pa.int64())], ["sums", "n"])
 
 
+def texts_of_round(training: DataFrame, k: int, rounds: int, words: int) -> DataFrame:
+    """The texts that round ``k`` reads: its part of all, or more for LEAST_WORDS words. Every text is in a round."""
+    whole = 1 << 20
+    size = min(whole, max(-(-whole // rounds), round(whole * LEAST_WORDS / max(words, 1))))
+    return training.where(F.pmod(F.xxhash64("doc_id", "text") - F.lit(k * whole // rounds), F.lit(whole)) < size)
+
+
 def fit(training: DataFrame, language: Language, vocabulary: bytes, rounds: int = ROUNDS) -> Network:
-    """The network after some rounds over one training text in ONE_IN, or more for LEAST_WORDS words at least.
+    """The network after some rounds, which together read all training texts; each reads LEAST_WORDS words at least, if there are so many.
 
-    In a round every task trains on its own windows from the same network, and the results' mean is the next one.
-    Tasks have about SHARE windows each, so their number grows with the corpus. Means are added up in PARTS tasks; the
-    driver holds PARTS networks of some 0.6 MB.
+    In a round every task trains on the windows of its own texts from the same network, and the results' mean is the
+    next one. Texts are read where they lie, in no more tasks than have SHARE windows each. Means are added up in PARTS
+    tasks; the driver holds PARTS networks of some 0.6 MB.
     """
-    words = max(language.tokens - language.texts, 1)
-    chance = min(1.0, max(1 / ONE_IN, LEAST_WORDS / words))
-    some = training.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < round(chance * (1 << 20)))
-    rows = keep(some.select("text").mapInArrow(partial(_sampled, vocabulary=vocabulary, language=language), "number long, inputs binary, classes binary"), "windows")
-    net, n = fresh(), rows.count()
-    parts = -(-n // SHARE)
-    for k in range(rounds if n else 0):
-        own = rows.repartition(parts, "number").sortWithinPartitions("number").mapInArrow(partial(_trained, net=net, rate=RATE / 2**k), "slot int, part int, sums binary, n long")
+    words = language.tokens - language.texts
+    net = fresh()
+    for k in range(rounds if language.texts else 0):
+        some = texts_of_round(training, k, rounds, words)
+        parts = max(1, math.ceil(min(1, max(1 / rounds, LEAST_WORDS / max(words, 1))) * language.windows / SHARE))
+        task = partial(_trained, vocabulary=vocabulary, language=language, net=net, rate=RATE / 2**k)
+        own = some.select("text").coalesce(parts).mapInArrow(task, "slot int, part int, sums binary, n long")
         added = own.repartition(PARTS, "slot").sortWithinPartitions("slot", "part").mapInArrow(_added, "sums binary, n long").collect()
         total = sum(r["n"] for r in added)
-        net = net.like(sum(np.frombuffer(r["sums"]) for r in sorted(added, key=lambda r: (r["n"], bytes(r["sums"])))) / total)
+        if total:
+            net = net.like(sum(np.frombuffer(r["sums"]) for r in sorted(added, key=lambda r: (r["n"], bytes(r["sums"])))) / total)
     return net
 
 
@@ -439,7 +500,8 @@ def score_texts(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = F
 
     A-Z are lowered; tokens are words between ASCII white space, then one end. ``base_score`` adds up smoothed unigram
     logs from the counts of all training texts (those not :func:`held_out`). ``score`` is the network's: the same words
-    as subword ids, each scored once in windows of WINDOW inputs, CONTEXT of them shared with the window before.
+    as subword ids, each scored once in windows of WINDOW inputs, CONTEXT of them shared with the window before. The network
+    is trained on all training texts.
 
     Null texts are empty and have the end alone. Repeated rows count and are scored as often; null doc_ids stay null and
     are learned from; other columns are not used; an empty table gives no rows; without training texts every base
@@ -459,7 +521,7 @@ def score_texts(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = F
     for r in words.mapInArrow(partial(_count_subwords, vocabulary=file), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r["id"]] = r["n"]
     counts[voc.end] = texts
-    language = Language(tokens + texts, distinct + (texts > 0), texts, *classify(counts, voc.starts_word()))
+    language = Language(tokens + texts, distinct + (texts > 0), texts, *classify(counts, voc.starts_word()), int(counts.sum()) // SCORED + texts // 2)
     net = fit(training, language, file)
 
     top = words.orderBy(F.desc("c"), "word").limit(frequent).toArrow()

@@ -326,6 +326,32 @@ def test_training_beats_counts_on_texts_with_an_order():
     assert sc.class_logs(net, x, y).sum() + language.within[late].sum() > 0.5 * np.log(counts / counts.sum())[late].sum()
 
 
+def test_the_fit_reads_every_training_text(spark, monkeypatch):
+    monkeypatch.setattr(sc, "LEAST_WORDS", 1)
+    file = Path(sc.VOCABULARY).read_bytes()
+    texts = [f"said {i} of the {i % 7} roads " * (1 + i % 3) for i in range(40)]
+    language, ids, _ = small_language(sc.Reader(file), pa.array(texts))
+    language.tokens, language.texts = len(ids) * 10, len(texts)
+    net = lambda left_out: sc.fit(spark.createDataFrame([(i, t) for i, t in enumerate(texts) if i != left_out], "doc_id long, text string").coalesce(1), language, file, rounds=2).flat()
+    whole = net(None)
+    assert np.isfinite(whole).all() and (whole == net(None)).all()
+    assert all((whole != net(i)).any() for i in (0, 13, 39))
+
+
+def test_a_task_trains_on_all_of_its_windows(spark, monkeypatch):
+    """Also where it can't hold them at once."""
+    file = Path(sc.VOCABULARY).read_bytes()
+    texts = pa.array([f"word {i} of many" for i in range(700)])
+    language, ids, bounds = small_language(sc.Reader(file), texts)
+    seen = []
+    monkeypatch.setattr(sc, "SHARE", 300)
+    monkeypatch.setattr(sc.TaskContext, "get", classmethod(lambda _: type("T", (), {"partitionId": lambda _: 3})()))
+    monkeypatch.setattr(sc.Adam, "step", lambda self, x, y: seen.extend(y[y >= 0].tolist()))
+    monkeypatch.setattr(sc, "STEPS", 1)
+    (out,) = sc._trained(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), file, language, sc.fresh(), sc.RATE)
+    assert out.column("n").to_pylist() == [700] and sorted(seen) == sorted(language.classes[ids].tolist())
+
+
 def test_language_model_query_keeps_every_document(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert figures(QUERIES["op12_language_model"](spark, SF).collect()) == plain_base(rows)

@@ -471,3 +471,18 @@ def test_a_long_random_string_is_one_span(spark):
     word = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(60_000))
     found = sc.scan_secrets(spark.createDataFrame([(1, "x " + word)], "doc_id int, text string")).first()["spans"]
     assert [(s["kind"], s["start"], s["end"]) for s in found if s["kind"] == "entropy"] == [("entropy", 2, 2 + len(word))]
+
+
+def test_a_single_article_is_weighed_once(monkeypatch):
+    weighed, weight = [], wr.weight
+    monkeypatch.setattr(wr, "weight", lambda *a: weighed.append(1) or weight(*a))
+    page = "<html><body><nav class='menu'>Home</nav><article class='post'><p>One.<p>Two.</article></body></html>"
+    assert wr.main_text(page) == "One.\nTwo." and len(weighed) == 1
+
+
+def test_nodes_with_the_same_attributes_keep_their_own_texts():
+    first, second = wr.parse("<div class='a' id=b>x<b>y</b></div><div class='a' id=b>z</div>").children
+    assert first.attrs == second.attrs == {"class": "a", "id": "b"}
+    assert [n.own() for n in (first, second, first)] == ["x", "z", "x"]
+    long = "<p data-x='" + "y" * 200 + "' class='big &amp; small'>"
+    assert wr.parse(long).children[0].attrs == {"class": "big & small"}

@@ -326,6 +326,31 @@ def test_long_lists_match_like_short_ones(monkeypatch):
         monkeypatch.undo()
 
 
+def test_no_list_of_children_is_too_long_to_be_matched_whole(monkeypatch):
+    """More different children than are matched at once, and more steps than are remembered, give the pairs of the whole table."""
+
+    def page(count, seed):
+        r = np.random.default_rng(seed)
+        return wr.parse("<body>" + "".join("<p>" + "".join(f"<{t}>w</{t}>" for t in r.choice(["b", "i", "u", "em", "q"], 5)) + f"t {j}</p>" for j in range(count)) + "</body>")
+
+    def places(a, b):
+        at = [{id(n): i for i, n in enumerate(wr.Laid(t, wr.label, lambda n: n.children, wr.Trees()).nodes)} for t in (a, b)]
+        return sorted((at[0][id(x)], at[1][id(y)]) for x, y in wr.align(wr.label, lambda n: n.children, wr.label, lambda n: n.children, a, b))
+
+    a, b = page(40, 3), page(45, 4)
+    found = places(a, b)
+    assert len(found) > 40 * 3
+    for kinds, table in ((1 << 18, 0), (1 << 18, 200), (0, 0), (0, 1 << 29)):
+        monkeypatch.setattr(wr, "SMALL_TABLE", 0)
+        monkeypatch.setattr(wr, "LARGE_KINDS", kinds)
+        monkeypatch.setattr(wr, "LARGE_TABLE", table)
+        assert places(a, b) == found
+        with monkeypatch.context() as m:
+            m.setattr(wr, "MOST_MATCHES", 2)
+            m.setattr(wr, "MOST_SCORES", 0)
+            assert places(a, b) == found
+
+
 def brute_match(a, b):
     """Size of the largest order-keeping top-down matching, by all subsets of children."""
     if wr.label(a) != wr.label(b):

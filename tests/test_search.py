@@ -154,6 +154,32 @@ def test_names_that_share_a_word_meet_by_deletions(spark, errors, monkeypatch):
     assert met[0].count() < runs * 60
 
 
+def test_three_edits_of_names_that_share_a_word_need_no_deletions(spark, monkeypatch):
+    """Blocks are compared in tiles: neither texts by deletion nor a map of them is made, whatever the lengths, and no pair is lost or added."""
+    from almoner.operators import runs as ru
+
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdé😀") for _ in range(n))
+    names = sorted({f"San {word(6)}" for _ in range(150)} | {f"San {word(n)}" for n in (20, 59, 60, 61, 62, 80)})
+    texts = []
+    for n in names[::4] + names[-6:]:
+        chars = list(n)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(chars) + 1)
+            chars[at : at + rng.choice([0, 1])] = rng.choice(["", "b", "x"])
+        texts.append("".join(chars))
+    made = []
+    monkeypatch.setattr(ru, "TILE", 32)
+    monkeypatch.setattr(gz, "SHARED", {3: 20})
+    monkeypatch.setattr(gz, "deletion_keys", lambda *a: made.append(a) or pytest.fail("texts by deletion"))
+    names_, runs = spark.createDataFrame([(n,) for n in names], "placename string"), spark.createDataFrame([(t,) for t in sorted(set(texts))], "run string")
+    keys = ru.segment_keys(names_, 3)
+    # every run has every key: all pairs meet in some block
+    met = gz.near_names(keys, runs.crossJoin(spark.createDataFrame(keys.select("_key").distinct().collect(), "_key long")), 3, False)
+    want = {(n, t, d) for n in names for t in set(texts) if (d := edit_distance(n, t)) <= 3}
+    assert {tuple(r) for r in met.select("placename", "run", "cost").collect()} == want and len(want) > 60 and not made
+
+
 def test_runs_that_share_no_segment_stay_in_their_task(spark):
     """Only runs with an unchanged segment of a name leave, whatever else a line holds; a name of few letters makes no deletions of the text."""
     from almoner.operators.runs import key_map, runs_near, segment_keys

@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import os
+import sys
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import partial, reduce
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almoner.functions.text import join_fields, let
 
+# functions that run inside tasks travel with them: executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: What opening a file counts as, in bytes, where files of a few KB are read: some thousand to a task.
+SMALL_FILE = 1 << 16
+
 
 def read_source_docs(spark: SparkSession, path: str) -> DataFrame:
     """``source_id, html`` from ``<path>/<source>/<source>.html``; folders not named by digits are ignored.
@@ -29,6 +42,64 @@ def read_hit_docs(spark: SparkSession, path: str) -> DataFrame:
     return parts.select(F.col("id")[0].alias("source_id"), F.col("id")[1].alias("hit_id"), html)
 
 
+def write_hit_docs(docs: DataFrame, path: str) -> None:
+    """``source_id, hit_id, text`` (numbers and text) as folders ``source_id=…/hit_id=…`` with one text file each, a line feed behind every text.
+
+    In a folder that all machines mount, tasks write the files themselves: there Spark's writer starts processes for the rights of every
+    file and its driver moves every folder. All of a folder is written by one task, in one order, and put in place at once, so a repeated task
+    writes the same. Elsewhere Spark's writer is used.
+    """
+    spark = docs.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    keys = ["source_id", "hit_id"]
+    docs = docs.select(*keys, "text")
+    if files.getScheme() != "file":
+        docs.write.partitionBy(*keys).text(path)
+        return
+    top = files.makeQualified(root).toUri().getPath()
+    os.makedirs(top)
+    dealt = docs.repartition(*keys).sortWithinPartitions(*keys, "text")
+    dealt.mapInArrow(partial(_in_folders, top=top), "n long").write.format("noop").mode("overwrite").save()
+
+
+def _in_folders(batches: Iterator[pa.RecordBatch], top: str) -> Iterator[pa.RecordBatch]:
+    """Writes a file for each run of rows that agree in their keys."""
+    last, texts, count = None, [], 0
+
+    def put() -> None:
+        folder = os.path.join(top, *(f"{n}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for n, v in zip(("source_id", "hit_id"), last, strict=True)))
+        os.makedirs(folder, exist_ok=True)
+        # names that begin with a point are not read
+        with open(part := f"{folder}/.{uuid.uuid4().hex}", "wb") as f:
+            f.write("".join([f"{t or ''}\n" for t in texts]).encode())
+        os.replace(part, f"{folder}/part-00000.txt")
+
+    for b in batches:
+        for source, hit, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if texts and (source, hit) != last:
+                put()
+                texts, count = [], count + 1
+            last = (source, hit)
+            texts.append(text)
+    if texts:
+        put()
+        count += 1
+    yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["n"])
+
+
+@contextmanager
+def small_files(spark: SparkSession) -> Iterator[None]:
+    """While files of a few KB are read: a task opens many of them."""
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(SMALL_FILE))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _numbered(spark: SparkSession, path: str, pattern: str, groups: int) -> DataFrame:
     """``id`` (the groups of ``pattern`` that are not empty), ``file, html`` of the files whose path below ``path`` fits.
 

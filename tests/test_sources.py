@@ -117,6 +117,24 @@ def test_document_folders(spark, tmp_path):
     ]
 
 
+def test_candidates_are_written_by_tasks(spark, tmp_path):
+    """A folder for each candidate, without checksums or what a commit leaves; rows of one folder are one file; many files make few tasks."""
+    rows = [(k % 7, k, f"é {k}" if k % 5 else None) for k in range(300)] + [(3, 3, "again"), (None, 5, "x")]
+    docs = spark.createDataFrame(rows, "source_id bigint, hit_id bigint, text string").repartition(9)
+    do.write_hit_docs(docs, f"file://{tmp_path}/hits")
+    do.write_hit_docs(docs.limit(0), f"{tmp_path}/none")
+    files = sorted(str(f.relative_to(tmp_path / "hits")) for f in (tmp_path / "hits").rglob("*") if f.is_file())
+    assert files == sorted({f"source_id={'__HIVE_DEFAULT_PARTITION__' if s is None else s}/hit_id={h}/part-00000.txt" for s, h, _ in rows})
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    with do.small_files(spark):
+        hits = do.read_hit_docs(spark, f"{tmp_path}/hits")
+        assert spark.read.text(f"{tmp_path}/hits", wholetext=True, recursiveFileLookup=True).rdd.getNumPartitions() <= 16
+        found = {(r["source_id"], r["hit_id"]): r["html"] for r in hits.collect()}
+    want = {(str(s), str(h)): f"{t or ''}\n" for s, h, t in rows if s is not None}
+    assert found == want | {("3", "3"): "again\né 3\n"} and spark.conf.get("spark.sql.files.openCostInBytes") == before
+    assert do.read_hit_docs(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_folders_are_listed_from_the_top(spark, tmp_path):
     base = tmp_path / "7"
     for path in ("1/5/a.html", "1/5/b.html", "2/source_id=9", "3/8/4/deep.html", "source_id=2/hit_id=6/part-0", "4/x/c.html"):
